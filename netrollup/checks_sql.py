@@ -45,7 +45,8 @@ def _rollup(keys: dict[str, str], outputs: dict[str, str], route: str, id_parts:
         f"{stamp} as timestamp", f"{deal} as dealTime",
         f"{key_text} || '_' || ({deal}) as _id", "'5' as timeType",
     ]
-    group = ", ".join(dict.fromkeys([window, *[k for k in keys.values() if "'" not in k]]))
+    group = ", ".join(dict.fromkeys(
+        x for x in [window, *keys.values()] if "'" not in x and not x.isdigit()))
     return (f"{_TELEMETRY} select {', '.join(cols)} from m where {route} "
             f"group by {group} {having}")
 

@@ -41,7 +41,7 @@ def parse(raw: DataFrame, fields: Iterable[str] = ALL_FIELDS,
     return (
         rows.withColumn("malformed", text)
         .where(record.isNotNull() | F.col("malformed").isNotNull())
-        .select(*carried, "malformed", *[typed(f, record[f]) for f in fields])
+        .select(*carried, "malformed", *[typed(f) for f in fields])
     )
 
 

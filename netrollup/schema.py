@@ -49,14 +49,18 @@ def json_schema(fields: Iterable[str]) -> T.ArrayType:
     return T.ArrayType(T.StructType([T.StructField(f, T.StringType()) for f in fields]))
 
 
-def typed(name: str, text: Column) -> Column:
-    """The value of field ``name`` from its JSON text; null where it is no number."""
+def typed(name: str, source: str = "record") -> Column:
+    """Field ``name`` of the text struct ``source``, in its own type; null where a
+    number is expected and the text is none."""
+    text = f"{source}.{name}"
     if name in COUNTER:
         # Whole numbers first: going through double loses digits above 2**53.
-        whole = text.try_cast("bigint")
-        return F.coalesce(whole, text.try_cast("double").try_cast("bigint")).alias(name)
-    if name in GAUGE or name == EVENT_TIME:
-        return text.try_cast("double").alias(name)
-    if name in IDENTITY:
-        return text.alias(name)
-    raise KeyError(f"unknown field {name!r}")
+        value = f"coalesce(try_cast({text} as bigint), " \
+                f"try_cast(try_cast({text} as double) as bigint))"
+    elif name in GAUGE or name == EVENT_TIME:
+        value = f"try_cast({text} as double)"
+    elif name in IDENTITY:
+        value = text
+    else:
+        raise KeyError(f"unknown field {name!r}")
+    return F.expr(value).alias(name)

@@ -6,71 +6,63 @@ event ids grow with time, so multiples of them act as monotone counters.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netrollup.functions import epoch_seconds_ntz
 
-
-def _route_fields() -> list[tuple[str, str, dict[str, Column]]]:
-    """(topic, tag, message fields) of each route; position = event_id % 11."""
-    e, v = F.col("event_id"), F.col("value")
-    device = F.col("user_id") % 7
-    side = (F.col("user_id") % 2).cast("string")
-
-    def named(prefix: str, number: Column) -> Column:
-        return F.concat(F.lit(prefix), number.cast("string"))
-
-    def each(names: str, column: Column) -> dict[str, Column]:
-        return {n: column for n in names.split()}
-
-    uuid, host = named("dev-", device), named("host-", device)
-    fabric, cpe = named("fab-", device % 3), named("cpe-", device % 4)
-    if_name = named("eth", side)
-    base = {"fabric": fabric, "collectdate": epoch_seconds_ntz(F.col("ts"))}
-    box = {"resourceUuid": uuid, "host": host, **base}
-    share, pct = v / 500, v / 5
-    rx, tx, packets, faults = e * 1500, e * 700, e * 3, F.floor(e / 50)
-    port = {
-        "rxBytes": rx, "txBytes": tx,
-        **each("rxPkts txPkts", packets),
-        **each("rxDrops txDrops rxErrs txErrs", faults),
-    }
-    link = {**each("jitter rtt", v), "loss": share}
-    total, free = e + 5000000, v * 10000
-    return [
-        ("cpe", "cpe", {**box, "cpu": share, "memUsage": pct,
-                        "diskTotal": total, "diskFree": free, "connections": v}),
-        ("cpe", "cpePopDelay", {**box, "cpe": cpe, **link, "lossIpsec": share,
-                                **each("jitterIpsec rttIpsec", v)}),
-        ("cpe", "cepTunStats", {**box, "cpe": cpe, **link, "rxByte": rx, "txByte": tx}),
-        ("cpe", "cpePort", {**box, "ifName": if_name, "monIfKey": named("mk-", side), **port}),
-        ("vpe", "vpe", {**box, "cpu": share, "memUsage": pct}),
-        ("vpe", "vpeDisk", {**box, "inodesTotal": F.lit(100000), "inodesFree": v * 100,
-                            "total": total, "free": free, "used": total - free,
-                            "usedPercent": pct}),
-        ("vpe", "vpeConnection", {**box, "connections": v}),
-        ("vpe", "vpePort", {**box, "ifName": if_name,
-                            "peer": named("peer-", F.col("user_id") % 5),
-                            "isCpe": F.when(side == "0", "y").otherwise("n"), **port}),
-        ("switch", "switch", {"switchUuid": named("sw-", device), **base,
-                              "cpuUsage": pct, "memUsage": share, "memUse": v}),
-        ("switch", "switchPort", {
-            "switchUuid": named("sw-", device), "host": host, **base,
-            "deviceType": F.lit("switch"), "portUuid": named("port-", side),
-            **each("inUtilization outUtilization", v),
-            "inTraffic": rx, "outTraffic": tx,
-            **each("inBroadcastPkg inPkg inUcastPkg", packets),
-            **each("outBroadcastPkg outPkg outUcastPkg", packets),
-            **each("inDiscardPkg inErrorPkg outDiscardPkg outErrorPkg", faults),
-        }),
-        ("sdwan", "vpeDelay", {
-            "resourceUuid": uuid, **base, "category": named("cat-", side),
-            "src": named("s", device), "srcName": named("S", device),
-            "dst": named("d", side), "dstName": named("D", side),
-            "delay": v, "jitter": v, "loss": share,
-        }),
-    ]
+# Message fields by route, as SQL over e, u, v (id, user, value), d (device) and
+# c (epoch seconds).  A route's position is event_id % 11.
+_BASE = {"fabric": "concat('fab-', d % 3)", "collectdate": "c"}
+_BOX = {"resourceUuid": "concat('dev-', d)", "host": "concat('host-', d)", **_BASE}
+_SWITCH = {"switchUuid": "concat('sw-', d)", **_BASE}
+_CPE = {"cpe": "concat('cpe-', d % 4)"}
+_IF_NAME = {"ifName": "concat('eth', u % 2)"}
+_FAULTS = "floor(e / 50)"
+_PORT = {
+    "rxBytes": "e * 1500", "txBytes": "e * 700", "rxPkts": "e * 3", "txPkts": "e * 3",
+    **dict.fromkeys(("rxDrops", "txDrops", "rxErrs", "txErrs"), _FAULTS),
+}
+_LINK = {"jitter": "v", "rtt": "v", "loss": "v / 500"}
+_DISK = {"total": "5000000 + e", "free": "v * 10000"}
+_IN_OUT = {
+    "inTraffic": "e * 1500", "outTraffic": "e * 700",
+    **{f"{way}{kind}": "e * 3" for way in ("in", "out") for kind in
+       ("BroadcastPkg", "Pkg", "UcastPkg")},
+    **{f"{way}{kind}": _FAULTS for way in ("in", "out") for kind in ("DiscardPkg", "ErrorPkg")},
+}
+ROUTES = (
+    ("cpe", "cpe", {**_BOX, "cpu": "v / 500", "memUsage": "v / 5", "connections": "v",
+                    "diskTotal": _DISK["total"], "diskFree": _DISK["free"]}),
+    ("cpe", "cpePopDelay", {**_BOX, **_CPE, **_LINK, "jitterIpsec": "v", "rttIpsec": "v",
+                            "lossIpsec": "v / 500"}),
+    ("cpe", "cepTunStats", {**_BOX, **_CPE, **_LINK, "rxByte": "e * 1500",
+                            "txByte": "e * 700"}),
+    ("cpe", "cpePort", {**_BOX, **_IF_NAME, "monIfKey": "concat('mk-', u % 2)", **_PORT}),
+    ("vpe", "vpe", {**_BOX, "cpu": "v / 500", "memUsage": "v / 5"}),
+    ("vpe", "vpeDisk", {**_BOX, **_DISK, "used": "5000000 + e - v * 10000",
+                        "usedPercent": "v / 5", "inodesTotal": "100000",
+                        "inodesFree": "v * 100"}),
+    ("vpe", "vpeConnection", {**_BOX, "connections": "v"}),
+    ("vpe", "vpePort", {**_BOX, **_IF_NAME, "peer": "concat('peer-', u % 5)",
+                        "isCpe": "if(u % 2 = 0, 'y', 'n')", **_PORT}),
+    ("switch", "switch", {**_SWITCH, "cpuUsage": "v / 5", "memUsage": "v / 500",
+                          "memUse": "v"}),
+    ("switch", "switchPort", {**_SWITCH, "host": _BOX["host"], "deviceType": "'switch'",
+                              "portUuid": "concat('port-', u % 2)", "inUtilization": "v",
+                              "outUtilization": "v", **_IN_OUT}),
+    ("sdwan", "vpeDelay", {
+        "resourceUuid": _BOX["resourceUuid"], **_BASE, "category": "concat('cat-', u % 2)",
+        "src": "concat('s', d)", "srcName": "concat('S', d)",
+        "dst": "concat('d', u % 2)", "dstName": "concat('D', u % 2)",
+        "delay": "v", "jitter": "v", "loss": "v / 500",
+    }),
+)
+
+
+def _message(tag: str, fields: dict[str, str]) -> str:
+    pairs = ", ".join(f"'{n}', {x}" for n, x in ({"resourceLogo": f"'{tag}'"} | fields).items())
+    return f"to_json(named_struct({pairs}))"
 
 
 def raw_from_events(events: DataFrame, cut_every: int | None = None) -> DataFrame:
@@ -78,23 +70,21 @@ def raw_from_events(events: DataFrame, cut_every: int | None = None) -> DataFram
 
     ``cut_every=n`` spoils every n-th message by dropping its last character.
     """
-    number = F.col("event_id") % 11
-    topic = value = None
-    for i, (name, tag, fields) in enumerate(_route_fields()):
-        text = F.to_json(F.struct(
-            F.lit(tag).alias("resourceLogo"), *[c.alias(n) for n, c in fields.items()]
-        ))
-        here = number == i
-        topic = F.when(here, name) if topic is None else topic.when(here, name)
-        value = F.when(here, text) if value is None else value.when(here, text)
+    topic = " ".join(f"when {i} then '{t}'" for i, (t, _, _) in enumerate(ROUTES))
+    value = " ".join(f"when {i} then {_message(g, f)}" for i, (_, g, f) in enumerate(ROUTES))
+    value = f"case e % 11 {value} end"
     if cut_every:
-        spoilt = F.col("event_id") % cut_every == 0
-        value = F.when(spoilt, F.substring(value, F.lit(1), F.length(value) - 1)).otherwise(value)
-    arrival = F.timestamp_seconds(epoch_seconds_ntz(F.col("ts")))
+        value = f"regexp_replace({value}, if(e % {cut_every} = 0, '.$', '$'), '')"
+    rows = events.select(
+        F.col("event_id").alias("e"), F.col("user_id").alias("u"), F.col("value").alias("v"),
+        F.expr("user_id % 7").alias("d"), epoch_seconds_ntz(F.col("ts")).alias("c"),
+    )
     # A generator keeps later text filters from being pushed into, and so
     # repeating, the expression that builds the message.
-    return events.select(
-        topic.alias("topic"), F.explode(F.array(value)).alias("value"), arrival.alias("arrival")
+    return rows.selectExpr(
+        f"case e % 11 {topic} end as topic",
+        f"explode(array({value})) as value",
+        "timestamp_seconds(c) as arrival",
     )
 
 
