@@ -12,9 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from netrollup.schema import ALL_FIELDS, json_schema, typed
-
-_WHITESPACE = " \t\r\n"
+from netrollup.schema import ALL_FIELDS, MISFIT, lenient_records, typed_schema
 
 
 def parse(raw: DataFrame, fields: Iterable[str] = ALL_FIELDS,
@@ -26,22 +24,18 @@ def parse(raw: DataFrame, fields: Iterable[str] = ALL_FIELDS,
     further columns of ``raw`` to carry along.
     """
     fields, carried = list(fields), ["topic", "arrival", *keep]
-    records, record = F.col("records"), F.col("record")
-    lines = raw.withColumn("records", F.from_json("value", json_schema(fields)))
-    rows = lines.select(
-        *carried, "value", "records", F.explode_outer("records").alias("record")
-    )
-    # Only lines that gave no record are looked at again.  Testing ``record`` as
-    # well keeps these filters above the explode, where the parse is not repeated.
-    text = F.when(
-        record.isNull() & records.isNull()
-        & (F.btrim(F.col("value"), F.lit(_WHITESPACE)) != ""),
-        F.col("value"),
+    record = F.col("record")
+    lines = raw.withColumn("message", F.from_json(
+        "value", typed_schema(fields), {"columnNameOfCorruptRecord": MISFIT}
+    ))
+    # The typed read takes nearly every line.  What it rejects, be it an array of
+    # objects, a quoted number or no JSON at all, is read again as text.
+    records = F.expr(
+        f"if(message.{MISFIT} is null, array(message), {lenient_records(fields)})"
     )
-    return (
-        rows.withColumn("malformed", text)
-        .where(record.isNotNull() | F.col("malformed").isNotNull())
-        .select(*carried, "malformed", *[typed(f) for f in fields])
+    rows = lines.select(*carried, F.explode_outer(records).alias("record"))
+    return rows.where(record.isNotNull()).select(
+        *carried, record[MISFIT].alias("malformed"), *[record[f].alias(f) for f in fields]
     )
 
 

@@ -1,15 +1,13 @@
 """Field catalogue of the telemetry messages.
 
-Every message is one flat JSON object.  Fields are read from JSON as text and
-typed here, so one quoted or fractional number never changes a column's type.
+Every message is one flat JSON object whose fields have fixed types, so one quoted
+or fractional number in the input never changes a column's type.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Wire field names, by kind.
@@ -43,24 +41,48 @@ RAW_SCHEMA = T.StructType([
 ])
 
 
-def json_schema(fields: Iterable[str]) -> T.ArrayType:
-    """Reader schema.  An array of structs accepts a lone object (one element)
-    as well as a line that holds an array of objects."""
-    return T.ArrayType(T.StructType([T.StructField(f, T.StringType()) for f in fields]))
+# Extra field of the typed reader schema: the raw text of a line it cannot take.
+MISFIT = "misfit"
 
 
-def typed(name: str, source: str = "record") -> Column:
-    """Field ``name`` of the text struct ``source``, in its own type; null where a
-    number is expected and the text is none."""
-    text = f"{source}.{name}"
+def field_type(name: str) -> str:
     if name in COUNTER:
-        # Whole numbers first: going through double loses digits above 2**53.
-        value = f"coalesce(try_cast({text} as bigint), " \
-                f"try_cast(try_cast({text} as double) as bigint))"
-    elif name in GAUGE or name == EVENT_TIME:
-        value = f"try_cast({text} as double)"
-    elif name in IDENTITY:
-        value = text
-    else:
-        raise KeyError(f"unknown field {name!r}")
-    return F.expr(value).alias(name)
+        return "bigint"
+    if name in GAUGE or name == EVENT_TIME:
+        return "double"
+    if name in IDENTITY:
+        return "string"
+    raise KeyError(f"unknown field {name!r}")
+
+
+def typed_schema(fields: Iterable[str]) -> str:
+    """Reader schema of a well-formed message: one object, every field in its type."""
+    return ", ".join([f"{f} {field_type(f)}" for f in fields] + [f"{MISFIT} string"])
+
+
+def lenient_records(fields: Iterable[str]) -> str:
+    """SQL that reads ``value`` where the typed schema does not fit.
+
+    Every field is read as text and then cast, so a quoted or fractional number
+    counts as what it says and other text as null.  A lone object becomes an array
+    of one, an array of objects stays what it is.  Anything else becomes one empty
+    record with the raw text in its misfit field.
+    """
+    def cast(name: str) -> str:
+        kind, text = field_type(name), f"r.{name}"
+        if kind == "bigint":
+            # Whole numbers first: going through double loses digits above 2**53.
+            return (f"coalesce(try_cast({text} as bigint), "
+                    f"try_cast(try_cast({text} as double) as bigint))")
+        return text if kind == "string" else f"try_cast({text} as {kind})"
+
+    def record(field_sql, misfit: str) -> str:
+        pairs = ", ".join(f"'{f}', {field_sql(f)}" for f in fields)
+        return f"named_struct({pairs}, '{MISFIT}', {misfit})"
+
+    fields = list(fields)
+    schema = ", ".join(f"{f}: string" for f in fields)
+    read = record(cast, "cast(null as string)")
+    empty = record(lambda f: f"cast(null as {field_type(f)})", "value")
+    return (f"coalesce(transform(from_json(value, 'array<struct<{schema}>>'), "
+            f"r -> if(r is null, null, {read})), array({empty}))")
