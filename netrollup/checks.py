@@ -148,7 +148,7 @@ def stream_arrival_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "arrival")
     arrival_stream(
         _stream_raw(spark, sf_dir), [spec], table_sink(f"{path}/tables"), f"{path}/progress",
-        clock=F.timestamp_seconds(F.lit(ARRIVAL_CLOCK)), available_now=True,
+        clock=f"timestamp_seconds({ARRIVAL_CLOCK})", available_now=True,
     ).awaitTermination()
     return read_table(spark, f"{path}/tables/{spec.table}").select(spec.columns)
 

@@ -10,12 +10,13 @@ Merging the same rows again leaves the table as it is.  One writer per table.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netrollup.functions import slice_ms
 
 SLICE = "dealSlice"
+_DAY_MS = 86400000
 _NO_SLICE = "__HIVE_DEFAULT_PARTITION__"
 
 # Up to this many touched slices are listed for partition pruning; beyond it
@@ -67,10 +68,15 @@ def _stored(spark: SparkSession, path: str, slices: list | None) -> DataFrame |
         raise
 
 
-def _touched(incoming: DataFrame) -> list | None:
-    """Slices that ``incoming`` touches, or None if they are too many to list."""
-    starts = [r[0] for r in incoming.select(SLICE).distinct().limit(_MAX_LISTED + 1).collect()]
-    return starts if len(starts) <= _MAX_LISTED else None
+def _touched(one_each: DataFrame) -> tuple[list | None, int]:
+    """Slices touched (None if they are too many to list), and the rows that lost a
+    collision."""
+    lost = F.sum(F.col("n_rows") - 1).alias("lost")
+    per_slice = one_each.groupBy(SLICE).agg(lost)
+    found = per_slice.limit(_MAX_LISTED + 1).collect()
+    if len(found) <= _MAX_LISTED:
+        return [r[SLICE] for r in found], sum(r["lost"] for r in found)
+    return None, one_each.agg(lost).first()["lost"]
 
 
 def _overlay(stored: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -95,18 +101,23 @@ def merge(rows: DataFrame, path: str, keys: list[str] | None = None,
     """Upsert ``rows`` into the table at ``path``; returns the collision count, the
     number of incoming rows that lost to another row with the same ``_id``.
 
-    ``slice_s`` is the width of a stored slice; keep it the same for a table's life.
+    ``slice_s`` is the width of a stored slice, a day at most; keep it the same for a
+    table's life.
     """
+    if not 0 < slice_s <= 86400:
+        raise ValueError("slice_s must be between 1 second and one day")
     spark = rows.sparkSession
-    seen = Observation()
-    one_each = resolve_collisions(rows, _order(rows, keys)).observe(
-        seen, F.sum(F.col("n_rows") - 1).alias("collisions")
-    ).drop("n_rows").withColumn(SLICE, slice_ms(F.col("dealTime"), slice_s))
-    one_each.persist()
+    counted = resolve_collisions(rows, _order(rows, keys)).withColumn(
+        SLICE, slice_ms(F.col("dealTime"), slice_s)
+    )
+    # Used twice.  Lost blocks are computed again from the input.
+    counted.persist()
     try:
-        slices = _touched(one_each)
-        collisions = seen.get["collisions"] or 0
-        stored = None if slices == [] else _stored(spark, path, slices)
+        slices, lost = _touched(counted)
+        if slices == []:
+            return 0
+        one_each = counted.drop("n_rows")
+        stored = _stored(spark, path, slices)
         if stored is not None and slices is None:
             touched = one_each.select(F.col(SLICE).alias("touched")).distinct()
             stored = stored.join(touched, F.col(SLICE).eqNullSafe(F.col("touched")), "left_semi")
@@ -117,11 +128,27 @@ def merge(rows: DataFrame, path: str, keys: list[str] | None = None,
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy(SLICE).parquet(path)
         )
-        return collisions
+        return lost
     finally:
-        one_each.unpersist()
+        counted.unpersist()
+
 
+def read_table(spark: SparkSession, path: str, schema=None, since: int | None = None,
+               until: int | None = None) -> DataFrame:
+    """The stored metric rows, of ``since <= dealTime < until`` (ms) where given.
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """The stored metric rows."""
-    return spark.read.option("mergeSchema", True).parquet(path).drop(SLICE)
+    A time range reads only its slices.  Give ``schema`` for a large table: without
+    it Spark opens every file to learn the columns.
+    """
+    reader = spark.read
+    if schema is None:
+        reader = reader.option("mergeSchema", True)
+    else:
+        reader = reader.schema(f"{schema}, {SLICE} bigint")
+    rows = reader.parquet(path)
+    if since is not None:
+        # A slice starts at or before its rows; slices are at most a day wide.
+        rows = rows.where((F.col(SLICE) > since - _DAY_MS) & (F.col("dealTime") >= since))
+    if until is not None:
+        rows = rows.where((F.col(SLICE) < until) & (F.col("dealTime") < until))
+    return rows.drop(SLICE)

@@ -8,7 +8,7 @@ again after a failure gets the same keys and overwrites its own rows.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,19 +20,19 @@ from netrollup.streaming.common import Sink, start, write_quarantine
 
 
 def arrival_stream(raw: DataFrame, specs, sink: Sink, checkpoint: str, window_s: int = 300,
-                   quarantine_path: str | None = None, clock: Column | None = None,
+                   quarantine_path: str | None = None, clock: str = "current_timestamp()",
                    compat_float32: bool = False, available_now: bool = False,
                    name: str | None = None) -> StreamingQuery:
     """Roll up every trigger's lines into the tables of ``specs``.
 
-    ``clock`` replaces the processing time, for tests and replays.
+    ``clock`` is SQL over the raw record that replaces the processing time, for tests
+    and replays.
     """
     specs = list(specs)
-    now = F.current_timestamp() if clock is None else clock
     topics = list(dict.fromkeys(s.topic for s in specs))
     # Fixed before the parse, where a clock taken from the raw line is still at hand.
     lines = raw.where(F.col("topic").isin(topics)).withColumn(
-        "dealTime", bucket_ms(F.unix_seconds(now), 300)
+        "dealTime", bucket_ms(F.unix_seconds(F.expr(clock)), 300)
     )
     parsed = parse(lines, fields_of(specs), keep=["dealTime"])
 

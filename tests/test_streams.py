@@ -1,0 +1,164 @@
+"""Streams over files: one file is one arrival window."""
+
+import datetime as dt
+import json
+import time
+from pathlib import Path
+
+import pytest
+
+from netrollup.plans.batch import replay
+from netrollup.plans.specs import BY_KEY, PROGRAMS
+from netrollup.schema import RAW_SCHEMA
+from netrollup.sinks.merge import read_table
+from netrollup.sources.files import stream_archive, write_archive
+from netrollup.streaming.arrival import arrival_stream
+from netrollup.streaming.common import external_sink, stop_gracefully, table_sink
+from netrollup.streaming.event_time import event_stream
+
+FLOW = BY_KEY["r09_vpe_interface"]
+T0 = 1591760100
+
+
+def message(i, uuid="u1", **extra):
+    return {"resourceLogo": "vpePort", "resourceUuid": uuid, "fabric": "f", "host": "h",
+            "ifName": "e0", "peer": "p", "isCpe": "y", "collectdate": T0 + i,
+            "rxBytes": 100 * i, "txBytes": 10 * i, "rxPkts": i, "txPkts": i} | extra
+
+
+def add_file(spark, path, at, lines, topic="vpe"):
+    """One archive file, later than those before it."""
+    rows = [(topic, m if isinstance(m, str) else json.dumps(m), dt.datetime.fromtimestamp(at))
+            for m in lines]
+    write_archive(spark.createDataFrame(rows, RAW_SCHEMA).coalesce(1), path)
+    time.sleep(0.01)
+
+
+def drain(query):
+    query.awaitTermination()
+    assert query.exception() is None
+
+
+def stored(spark, tmp, spec=FLOW):
+    return sorted(
+        ((r._id, r.rxTotal, r.rxBytes, r.timestamp) for r in read_table(
+            spark, f"{tmp}/tables/{spec.table}").collect()), key=str)
+
+
+CLOCK = "arrival"
+
+
+def run_arrival(spark, tmp, specs=(FLOW,), **options):
+    raw = stream_archive(spark, f"{tmp}/raw", files_per_trigger=1)
+    options = {"clock": CLOCK, "available_now": True} | options
+    drain(arrival_stream(raw, specs, options.pop("sink", table_sink(f"{tmp}/tables")),
+                         f"{tmp}/progress", **options))
+
+
+def test_one_window_per_batch(spark, tmp):
+    add_file(spark, f"{tmp}/raw", T0 + 290, [message(0), message(100)])
+    # A late message joins the window it arrives in and pulls its timestamp back.
+    add_file(spark, f"{tmp}/raw", T0 + 590, [message(90), message(310)])
+    run_arrival(spark, tmp)
+    assert stored(spark, tmp) == [
+        (f"u1_e0_{T0}000", 10000, 800.0, T0 * 1000),
+        (f"u1_e0_{T0 + 300}000", 22000, 800.0, T0 * 1000),
+    ]
+
+
+def test_streaming_continues_from_its_checkpoint(spark, tmp):
+    add_file(spark, f"{tmp}/raw", T0, [message(0), message(100)])
+    run_arrival(spark, tmp)
+    add_file(spark, f"{tmp}/raw", T0 + 300, [message(310), message(320)])
+    run_arrival(spark, tmp)
+    assert [r[0] for r in stored(spark, tmp)] == [f"u1_e0_{T0}000", f"u1_e0_{T0 + 300}000"]
+
+
+def test_batch_run_again_after_a_failure_keeps_its_keys(spark, tmp):
+    add_file(spark, f"{tmp}/raw", T0, [message(0), message(100), message(5, uuid="u2")])
+    write, seen = table_sink(f"{tmp}/tables"), []
+
+    def failing(rows, spec):
+        write(rows, spec)
+        seen.append({r.dealTime for r in rows.collect()})
+        if len(seen) == 1:
+            raise RuntimeError("lost the driver")
+
+    with pytest.raises(Exception, match="lost the driver"):
+        run_arrival(spark, tmp, sink=failing, clock="current_timestamp()")
+    first = stored(spark, tmp)
+    time.sleep(1.5)
+    run_arrival(spark, tmp, sink=failing, clock="current_timestamp()")
+    assert len(seen) == 2 and seen[0] == seen[1]
+    assert stored(spark, tmp) == first and len(first) == 2
+
+
+def test_processing_time_labels_the_window(spark, tmp):
+    add_file(spark, f"{tmp}/raw", T0, [message(0)])
+    before = int(time.time()) // 300 * 300000
+    run_arrival(spark, tmp, clock="current_timestamp()")
+    after = int(time.time()) // 300 * 300000
+    row, = read_table(spark, f"{tmp}/tables/{FLOW.table}").collect()
+    assert before <= row.dealTime <= after and row.timestamp == T0 * 1000
+
+
+def test_program_writes_all_its_tables_and_the_quarantine(spark, tmp):
+    cpe = {"resourceLogo": "cpe", "resourceUuid": "c1", "collectdate": T0, "cpu": 0.5}
+    add_file(spark, f"{tmp}/raw", T0, [cpe, '{"resourceLogo":'], topic="cpe")
+    add_file(spark, f"{tmp}/raw", T0, [message(0), message(10)])
+    run_arrival(spark, tmp, PROGRAMS["cpe"], quarantine_path=f"{tmp}/bad")
+    have = {p.name for p in Path(tmp, "tables").iterdir()}
+    assert have == {"network_cpe_basic", "network_cpe_pop"}
+    bad = spark.read.parquet(f"{tmp}/bad").collect()
+    assert [(r.topic, r.value) for r in bad] == [("cpe", '{"resourceLogo":')]
+    row, = read_table(spark, f"{tmp}/tables/network_cpe_pop").collect()
+    assert (row.peer, row.rxTotal, row.rxBytes) == ("p", 1000, 800.0)
+
+
+def test_external_sink(spark, tmp):
+    add_file(spark, f"{tmp}/raw", T0, [message(0)])
+    sink = external_sink("json", {"path": f"{tmp}/out"})
+    run_arrival(spark, tmp, sink=sink)
+    row, = spark.read.json(f"{tmp}/out").collect()
+    assert row["_id"] == f"u1_e0_{T0}000" and row["timeType"] == "5"
+
+
+def test_event_windows_close_with_the_watermark(spark, tmp):
+    add_file(spark, f"{tmp}/raw", T0, [message(0), message(310)])
+    add_file(spark, f"{tmp}/raw", T0 + 1, [message(100)])  # late, yet within the delay
+    add_file(spark, f"{tmp}/raw", T0 + 2, [message(2000)])
+    raw = stream_archive(spark, f"{tmp}/raw", files_per_trigger=1)
+    drain(event_stream(raw, [FLOW], table_sink(f"{tmp}/tables"), f"{tmp}/progress",
+                       delay="10 minutes", available_now=True))
+    assert stored(spark, tmp) == [
+        (f"u1_e0_{T0}000", 10000, 800.0, T0 * 1000),
+        (f"u1_e0_{T0 + 300}000", 0, None, (T0 + 300) * 1000),
+    ]
+
+
+def test_event_stream_equals_replay(spark, tmp):
+    lines = [message(i * 29 % 1500, uuid=f"u{i % 3}") for i in range(60)]
+    for part in range(3):
+        add_file(spark, f"{tmp}/raw", T0 + part, lines[part::3])
+    add_file(spark, f"{tmp}/raw", T0 + 9, [message(10**6, uuid="end")])
+    raw = stream_archive(spark, f"{tmp}/raw", files_per_trigger=1)
+    drain(event_stream(raw, PROGRAMS["vpe"][3:5], table_sink(f"{tmp}/tables"),
+                       f"{tmp}/progress", delay="1 hour", available_now=True))
+    archive = spark.read.schema(RAW_SCHEMA).parquet(f"{tmp}/raw")
+    for spec in PROGRAMS["vpe"][3:5]:
+        want = replay(archive, spec).where("resourceUuid <> 'end'").collect()
+        got = read_table(spark, f"{tmp}/tables/{spec.table}").select(spec.columns).collect()
+        assert sorted(map(str, got)) == sorted(map(str, want)) and len(got) > 10
+
+
+def test_live_trigger_and_graceful_stop(spark, tmp):
+    add_file(spark, f"{tmp}/raw", T0, [message(0), message(100)])
+    raw = stream_archive(spark, f"{tmp}/raw")
+    query = arrival_stream(raw, [FLOW], table_sink(f"{tmp}/tables"), f"{tmp}/progress",
+                           clock=CLOCK, name="live")
+    deadline = time.monotonic() + 60
+    while query.lastProgress is None and time.monotonic() < deadline:
+        time.sleep(0.2)
+    stop_gracefully(query, timeout_s=60)
+    assert not query.isActive and query.exception() is None
+    assert stored(spark, tmp) == [(f"u1_e0_{T0}000", 10000, 800.0, T0 * 1000)]
