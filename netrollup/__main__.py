@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from netrollup.plans.batch import replay_tables
 from netrollup.plans.specs import PROGRAMS
@@ -22,7 +22,7 @@ from netrollup.sinks.other import env_options
 from netrollup.sources.files import read_archive
 from netrollup.sources.kafka import kafka_options, read_kafka
 from netrollup.streaming.arrival import arrival_stream
-from netrollup.streaming.common import await_any, table_sink
+from netrollup.streaming.common import await_any, table_sink, write_tables
 from netrollup.streaming.event_time import event_stream
 
 
@@ -75,11 +75,13 @@ def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
 def run_replay(spark: SparkSession, args: argparse.Namespace) -> None:
     raw = read_archive(spark, args.archive)
     specs = [s for group in chosen(args.program).values() for s in group]
-    keys = {s.table: list(s.keys) for s in specs}
     tables = replay_tables(raw, specs, args.window, args.on, args.compat_float32)
-    for table, rows in tables.items():
-        lost = merge(rows, f"{args.tables}/{table}", keys[table], args.slice)
-        print(f"{table}: {lost} rows lost to another row with the same key")
+
+    def sink(rows: DataFrame, spec) -> None:
+        lost = merge(rows, f"{args.tables}/{spec.table}", list(spec.keys), args.slice)
+        print(f"{spec.table}: {lost} rows lost to another row with the same key")
+
+    write_tables(spark, [(tables[s.table], s) for s in specs], sink)
 
 
 def main(argv: list[str] | None = None) -> None:

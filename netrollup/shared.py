@@ -40,4 +40,4 @@ def stage(df: DataFrame, partition_by: list[str]) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, "stage")
     df.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(df.columns)

@@ -73,19 +73,23 @@ def raw_from_events(events: DataFrame, cut_every: int | None = None) -> DataFram
     topic = " ".join(f"when {i} then '{t}'" for i, (t, _, _) in enumerate(ROUTES))
     value = " ".join(f"when {i} then {_message(g, f)}" for i, (_, g, f) in enumerate(ROUTES))
     value = f"case e % 11 {value} end"
-    if cut_every:
-        value = f"regexp_replace({value}, if(e % {cut_every} = 0, '.$', '$'), '')"
     rows = events.select(
         F.col("event_id").alias("e"), F.col("user_id").alias("u"), F.col("value").alias("v"),
         F.expr("user_id % 7").alias("d"), epoch_seconds_ntz(F.col("ts")).alias("c"),
     )
     # A generator keeps later text filters from being pushed into, and so
     # repeating, the expression that builds the message.
-    return rows.selectExpr(
+    raw = rows.selectExpr(
+        "e",
         f"case e % 11 {topic} end as topic",
         f"explode(array({value})) as value",
         "timestamp_seconds(c) as arrival",
     )
+    if cut_every:
+        raw = raw.withColumn("value", F.expr(
+            f"if(e % {cut_every} = 0, left(value, length(value) - 1), value)"
+        ))
+    return raw.drop("e")
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ from netrollup.functions import bucket_ms
 from netrollup.operators.parse import parse
 from netrollup.operators.rollup import rollup_many, table_of
 from netrollup.plans.batch import fields_of
-from netrollup.streaming.common import Sink, start, write_quarantine
+from netrollup.streaming.common import Sink, start, write_quarantine, write_tables
 
 
 def arrival_stream(raw: DataFrame, specs, sink: Sink, checkpoint: str, window_s: int = 300,
@@ -44,8 +44,9 @@ def arrival_stream(raw: DataFrame, specs, sink: Sink, checkpoint: str, window_s:
         try:
             if quarantine_path is not None:
                 write_quarantine(batch, quarantine_path, batch_id)
-            for spec in specs:
-                sink(table_of(grouped, spec, compat_float32), spec)
+            write_tables(
+                batch.sparkSession,
+                [(table_of(grouped, spec, compat_float32), spec) for spec in specs], sink)
         finally:
             grouped.unpersist()
             if quarantine_path is not None:

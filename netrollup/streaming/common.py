@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -34,6 +36,15 @@ def external_sink(fmt: str, options: dict[str, str] | None = None,
     return write
 
 
+def write_tables(spark: SparkSession, tables, sink: Sink, at_once: int = 4) -> None:
+    """Hand (rows, roll-up) pairs to ``sink``, some side by side: each is a few short
+    jobs that would leave a cluster idle one after the other."""
+    write = inheritable_thread_target(spark)(lambda table: sink(*table))
+    with ThreadPoolExecutor(at_once) as pool:
+        for _ in pool.map(write, tables):
+            pass
+
+
 def write_quarantine(parsed: DataFrame, path: str, batch_id: int) -> None:
     """Keep the malformed lines of a batch; a repeated batch replaces its own."""
     (

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from netrollup.operators.parse import parse
 from netrollup.operators.rollup import event_seconds, rollup_many, table_of
 from netrollup.plans.batch import fields_of
-from netrollup.streaming.common import Sink, start
+from netrollup.streaming.common import Sink, start, write_tables
 
 
 def event_aggregates(raw: DataFrame, specs, window_s: int, delay: str) -> DataFrame:
@@ -42,8 +42,9 @@ def event_stream(raw: DataFrame, specs, sink: Sink, checkpoint: str, window_s: i
     def write_closed(batch: DataFrame, batch_id: int) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            for spec in specs:
-                sink(table_of(batch, spec, compat_float32), spec)
+            write_tables(
+                batch.sparkSession,
+                [(table_of(batch, spec, compat_float32), spec) for spec in specs], sink)
         finally:
             batch.unpersist()
 
