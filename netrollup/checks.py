@@ -55,6 +55,23 @@ def op_after_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay(sample_raw(spark, sf_dir, CUT_EVERY), BY_KEY["r11_vpe_delay"], DAY)
 
 
+def op_lenient_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters written as text or with a fraction count like plain ones."""
+    raw = sample_raw(spark, sf_dir)
+    quoted = F.regexp_replace("value", r'"(rxBytes|txPkts)":(\d+)', r'"$1":"$2"')
+    fraction = F.regexp_replace("value", r'"(txBytes|rxPkts)":(\d+)', r'"$1":$2.0')
+    style = F.pmod(F.xxhash64("value"), F.lit(3))
+    mixed = F.when(style == 0, quoted).when(style == 1, fraction).otherwise(F.col("value"))
+    return replay(raw.withColumn("value", mixed), FLOW, DAY)
+
+
+def op_array_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that hold an array of messages, here each message twice."""
+    twice = F.concat(F.lit("["), "value", F.lit(", "), "value", F.lit("]"))
+    raw = sample_raw(spark, sf_dir).withColumn("value", twice)
+    return route_counts(parse(raw, ["resourceLogo"]))
+
+
 def _bucket_counts(spark: SparkSession, sf_dir: str, compat_float32: bool) -> DataFrame:
     seconds = epoch_seconds_ntz(F.col("ts")).cast("double")
     bucket = bucket_ms(seconds, 300, compat_float32)
@@ -166,7 +183,8 @@ def stream_event_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op_route_counts, op_cpe_flag_route, op_quarantine, op_after_quarantine, op_bucket5,
+        op_route_counts, op_cpe_flag_route, op_quarantine, op_after_quarantine,
+        op_lenient_numbers, op_array_lines, op_bucket5,
         op_bucket5_float32, op_doc_key_null, op_ratio_zero, r09_at_300s, r09_by_arrival,
         r06_float32, all_tables_one_pass, op_upsert_merge, op_upsert_collisions,
         stream_arrival_rollup, stream_event_rollup,

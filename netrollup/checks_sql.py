@@ -186,6 +186,7 @@ ORACLE: dict[str, str] = {
                count(*) as n_lines, count(*) as n_cut
         from events where event_id % 97 = 0 group by 1""",
     "op_after_quarantine": _r11(" and e % 97 <> 0"),
+    "op_lenient_numbers": _R9,
     "op_bucket5": """
         select cast(floor(floor(epoch(ts)) / 300) as bigint) * 300000 as bucket,
                count(*) as n_events
@@ -234,6 +235,10 @@ ORACLE: dict[str, str] = {
         having="having w + 86400 <= (select max(c) - 3600 from m where route = 7)"),
 }
 
+ORACLE["op_array_lines"] = (
+    "select topic, resourceLogo, n_rows * 2 as n_rows, n_malformed"
+    f" from ({ORACLE['op_route_counts']})"
+)
 ORACLE["all_tables_one_pass"] = " union all ".join(
     _table_ids(f"network_{name[4:]}", ORACLE[name])
     for name in list(ORACLE) if name[0] == "r" and name[1:3].isdigit() and "_at_" not in name

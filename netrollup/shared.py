@@ -8,21 +8,21 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _CONF = "spark.checkpoint.dir"
+_OWN = "netrollup.local.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's checkpoint folder.
 
-    Where the session names none (single-machine runs, tests) a temporary folder
-    is chosen once and kept for the session.
+    A local session (tests) that names none gets a temporary folder, kept for the
+    session.  On a cluster such a folder would not be shared, so there it is an error.
     """
-    folder = spark.conf.get(_CONF, None)
+    folder = spark.conf.get(_CONF, None) or spark.conf.get(_OWN, None)
     if not folder:
-        own = "netrollup.local.dir"
-        folder = spark.conf.get(own, None)
-        if not folder:
-            folder = tempfile.mkdtemp(prefix="netrollup-")
-            spark.conf.set(own, folder)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {_CONF} to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="netrollup-")
+        spark.conf.set(_OWN, folder)
     return folder.rstrip("/")
 
 

@@ -76,6 +76,9 @@ def test_arguments():
 def test_shared_folder_is_the_clusters_where_it_names_one(spark):
     named = SimpleNamespace(conf={"spark.checkpoint.dir": "hdfs://shared/dir/"})
     assert shared_dir(named) == "hdfs://shared/dir"
+    unnamed = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master="yarn"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(unnamed)
     own = shared_dir(spark)
     assert own == shared_dir(spark) and new_path(spark, "x") != new_path(spark, "x")
 
