@@ -12,18 +12,17 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from netrollup.plans.batch import replay_tables
 from netrollup.plans.specs import PROGRAMS
-from netrollup.session import recommended
-from netrollup.sinks.merge import merge
+from netrollup.session import REPLAY, STREAM, tune
 from netrollup.sinks.other import env_options
 from netrollup.sources.files import read_archive
 from netrollup.sources.kafka import kafka_options, read_kafka
 from netrollup.streaming.arrival import arrival_stream
 from netrollup.streaming.common import await_any, table_sink, write_tables
-from netrollup.streaming.event_time import event_stream
+from netrollup.streaming.event_time import event_stream, quarantine_stream
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -64,11 +63,13 @@ def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
         ))
         common = {"window_s": args.window, "compat_float32": args.compat_float32, "name": name}
         progress = f"{args.checkpoint}/{name}"
-        if args.event_time:
-            event_stream(raw, specs, sink, progress, delay=args.delay, **common)
-        else:
-            bad = args.quarantine and f"{args.quarantine}/{name}"
+        bad = args.quarantine and f"{args.quarantine}/{name}"
+        if not args.event_time:
             arrival_stream(raw, specs, sink, progress, quarantine_path=bad, **common)
+            continue
+        event_stream(raw, specs, sink, progress, delay=args.delay, **common)
+        if bad:
+            quarantine_stream(raw, bad, f"{progress}-quarantine", name=f"{name}-quarantine")
     await_any(spark)
 
 
@@ -76,18 +77,17 @@ def run_replay(spark: SparkSession, args: argparse.Namespace) -> None:
     raw = read_archive(spark, args.archive)
     specs = [s for group in chosen(args.program).values() for s in group]
     tables = replay_tables(raw, specs, args.window, args.on, args.compat_float32)
-
-    def sink(rows: DataFrame, spec) -> None:
-        lost = merge(rows, f"{args.tables}/{spec.table}", list(spec.keys), args.slice)
-        print(f"{spec.table}: {lost} rows lost to another row with the same key")
-
+    sink = table_sink(args.tables, args.slice)
     write_tables(spark, [(tables[s.table], s) for s in specs], sink)
 
 
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
-    spark = recommended(SparkSession.builder.appName("netrollup")).getOrCreate()
-    run_stream(spark, args) if args.action == "stream" else run_replay(spark, args)
+    spark = SparkSession.builder.appName("netrollup").getOrCreate()
+    if args.action == "stream":
+        run_stream(tune(spark, STREAM), args)
+    else:
+        run_replay(tune(spark, REPLAY), args)
 
 
 if __name__ == "__main__":

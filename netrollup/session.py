@@ -4,23 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-RECOMMENDED = {
+_COMMON = {
     # Coalesces the small partitions left after aggregation and splits large slices
     # when tables are written.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # An upper bound; adaptive execution shrinks it to the data.
-    "spark.sql.shuffle.partitions": "2000",
-    # Open event-time windows live outside the executors' heap.
+    "spark.sql.session.timeZone": "UTC",
+}
+
+# Replay of a large archive.  Partitions are an upper bound that adaptive execution
+# shrinks: some 250 MB of partial aggregates each where 100 TB of lines leave 2 TB.
+REPLAY = _COMMON | {"spark.sql.shuffle.partitions": "8000"}
+
+# Streams.  An event-time stream keeps its number of state partitions for life.
+STREAM = _COMMON | {
+    "spark.sql.shuffle.partitions": "400",
+    # Open windows live outside the executors' heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.session.timeZone": "UTC",
 }
 
 
-def recommended(builder: SparkSession.Builder, **overrides: str) -> SparkSession.Builder:
-    """``builder`` with the recommended settings; ``overrides`` use ``__`` for dots."""
-    settings = RECOMMENDED | {k.replace("__", "."): v for k, v in overrides.items()}
+def tune(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """Apply ``settings`` except where the session was started with its own value."""
+    own = spark.sparkContext.getConf()
     for key, value in settings.items():
-        builder = builder.config(key, value)
-    return builder
+        if not own.contains(key):
+            spark.conf.set(key, value)
+    return spark

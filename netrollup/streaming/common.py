@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -15,14 +16,19 @@ from netrollup.operators.parse import quarantine
 from netrollup.sinks.merge import merge
 from netrollup.sinks.other import write_external
 
+_LOG = logging.getLogger("netrollup")
+
 # Receives the finished rows of one table and the roll-up that made them.
 Sink = Callable[[DataFrame, object], None]
 
 
 def table_sink(root: str, slice_s: int = 3600) -> Sink:
-    """Upsert each roll-up into the parquet table ``root/<table name>``."""
+    """Upsert each roll-up into the parquet table ``root/<table name>``; rows that lost
+    to another with the same key are counted in the log."""
     def write(rows: DataFrame, spec) -> None:
-        merge(rows, f"{root}/{spec.table}", list(spec.keys), slice_s)
+        lost = merge(rows, f"{root}/{spec.table}", list(spec.keys), slice_s)
+        if lost:
+            _LOG.warning("%s: %d rows lost to another row with the same key", spec.table, lost)
 
     return write
 

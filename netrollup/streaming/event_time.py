@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from netrollup.operators.parse import parse
+from netrollup.operators.parse import parse, quarantine
 from netrollup.operators.rollup import event_seconds, rollup_many, table_of
 from netrollup.plans.batch import fields_of
 from netrollup.streaming.common import Sink, start, write_tables
@@ -51,3 +51,11 @@ def event_stream(raw: DataFrame, specs, sink: Sink, checkpoint: str, window_s: i
     writer = event_aggregates(raw, specs, window_s, delay).writeStream \
         .outputMode("append").foreachBatch(write_closed)
     return start(writer, checkpoint, trigger_s, available_now, name)
+
+
+def quarantine_stream(raw: DataFrame, path: str, checkpoint: str, trigger_s: int = 60,
+                      available_now: bool = False, name: str | None = None) -> StreamingQuery:
+    """Append the malformed lines of ``raw``, which no window holds, to ``path``."""
+    bad = quarantine(parse(raw, ["resourceLogo"]))
+    writer = bad.writeStream.outputMode("append").format("parquet").option("path", path)
+    return start(writer, checkpoint, trigger_s, available_now, name)

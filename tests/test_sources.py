@@ -3,12 +3,11 @@
 from types import SimpleNamespace
 
 import pytest
-from pyspark.sql import SparkSession
 
 from netrollup.__main__ import arguments, chosen, run_replay
 from netrollup.plans.batch import replay
 from netrollup.plans.specs import BY_KEY, PROGRAMS
-from netrollup.session import RECOMMENDED, recommended
+from netrollup.session import REPLAY, STREAM, tune
 from netrollup.shared import new_path, shared_dir, stage
 from netrollup.sinks.merge import read_table
 from netrollup.sources.files import read_archive, read_lines, stream_lines, write_archive
@@ -90,7 +89,10 @@ def test_staged_table_has_no_lineage(spark):
     assert "Aggregate" not in staged._jdf.queryExecution().executedPlan().toString()
 
 
-def test_recommended_settings_can_be_overridden():
-    builder = recommended(SparkSession.Builder(), spark__sql__shuffle__partitions="16")
-    assert builder._options["spark.sql.shuffle.partitions"] == "16"
-    assert set(RECOMMENDED) <= set(builder._options)
+def test_settings_yield_to_the_sessions_own(spark):
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    session = spark.newSession()
+    tune(session, STREAM | {key: "false"})
+    assert session.conf.get(key) == "false"
+    assert session.conf.get("spark.sql.shuffle.partitions") == "4"  # the fixture's own
+    assert REPLAY.keys() < STREAM.keys()

@@ -10,11 +10,12 @@ import pytest
 from netrollup.plans.batch import replay
 from netrollup.plans.specs import BY_KEY, PROGRAMS
 from netrollup.schema import RAW_SCHEMA
+from netrollup.session import STREAM
 from netrollup.sinks.merge import read_table
 from netrollup.sources.files import stream_archive, write_archive
 from netrollup.streaming.arrival import arrival_stream
 from netrollup.streaming.common import external_sink, stop_gracefully, table_sink
-from netrollup.streaming.event_time import event_stream
+from netrollup.streaming.event_time import event_stream, quarantine_stream
 
 FLOW = BY_KEY["r09_vpe_interface"]
 T0 = 1591760100
@@ -151,6 +152,35 @@ def test_event_stream_equals_replay(spark, tmp):
         assert sorted(map(str, got)) == sorted(map(str, want)) and len(got) > 10
 
 
+def test_quarantine_stream(spark, tmp):
+    add_file(spark, f"{tmp}/raw", T0, [message(0), "{", ""])
+    raw = stream_archive(spark, f"{tmp}/raw")
+    drain(quarantine_stream(raw, f"{tmp}/bad", f"{tmp}/progress", available_now=True))
+    assert [(r.topic, r.value) for r in spark.read.parquet(f"{tmp}/bad").collect()] == [
+        ("vpe", "{")]
+
+
+def test_collisions_are_logged(spark, tmp, caplog):
+    one, other = message(0), message(0, host="other")
+    add_file(spark, f"{tmp}/raw", T0, [one, other])
+    run_arrival(spark, tmp)
+    assert f"{FLOW.table}: 1 rows lost" in caplog.text
+    assert len(stored(spark, tmp)) == 1
+
+
+def test_event_stream_on_rocksdb(spark, tmp):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(key, STREAM[key])
+    try:
+        add_file(spark, f"{tmp}/raw", T0, [message(0), message(100), message(5000)])
+        raw = stream_archive(spark, f"{tmp}/raw")
+        drain(event_stream(raw, [FLOW], table_sink(f"{tmp}/tables"), f"{tmp}/progress",
+                           available_now=True))
+    finally:
+        spark.conf.unset(key)
+    assert stored(spark, tmp) == [(f"u1_e0_{T0}000", 10000, 800.0, T0 * 1000)]
+
+
 def test_live_trigger_and_graceful_stop(spark, tmp):
     add_file(spark, f"{tmp}/raw", T0, [message(0), message(100)])
     raw = stream_archive(spark, f"{tmp}/raw")
