@@ -11,7 +11,7 @@ from netrollup.functions import bucket_ms, doc_key, epoch_seconds_ntz, ratio, ro
 from netrollup.operators.parse import parse, quarantine
 from netrollup.operators.route import route
 from netrollup.plans.batch import replay, replay_tables, route_counts
-from netrollup.plans.specs import BY_KEY, ROLLUPS
+from netrollup.plans.specs import BY_KEY, PROGRAMS, ROLLUPS
 from netrollup.shared import new_path
 from netrollup.sinks.merge import merge, read_table
 from netrollup.sources.sample import raw_from_events, read_events, sample_raw
@@ -121,15 +121,18 @@ def r06_float32(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay(sample_raw(spark, sf_dir), spec, window_s=DAY, compat_float32=True)
 
 
-def all_tables_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All 13 tables from one pass per topic, on their common columns."""
-    tables = replay_tables(sample_raw(spark, sf_dir), ROLLUPS, window_s=DAY)
-    common = [
+def _on_common_columns(tables: dict[str, DataFrame]) -> DataFrame:
+    """All tables below each other, on the columns they share."""
+    return reduce(DataFrame.unionByName, [
         df.select(F.lit(name).alias("table_name"), "fabric", "_id", "timestamp", "dealTime",
                   "timeType")
         for name, df in tables.items()
-    ]
-    return reduce(DataFrame.unionByName, common)
+    ])
+
+
+def all_tables_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 13 tables from one pass per topic."""
+    return _on_common_columns(replay_tables(sample_raw(spark, sf_dir), ROLLUPS, window_s=DAY))
 
 
 def op_upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,15 +162,26 @@ def _stream_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_from_events(reader.parquet(sf_dir))
 
 
-def stream_arrival_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _one_arrival_window(spark: SparkSession, sf_dir: str, specs) -> dict[str, DataFrame]:
     """All lines arrive in one window, whose processing time is set by hand."""
-    spec = BY_KEY["r10_vpe_peer_flow"]
     path = new_path(spark, "arrival")
     arrival_stream(
-        _stream_raw(spark, sf_dir), [spec], table_sink(f"{path}/tables"), f"{path}/progress",
-        clock=f"timestamp_seconds({ARRIVAL_CLOCK})", available_now=True,
+        _stream_raw(spark, sf_dir), specs, table_sink(f"{path}/tables"), f"{path}/progress",
+        quarantine_path=f"{path}/bad", clock=f"timestamp_seconds({ARRIVAL_CLOCK})",
+        available_now=True,
     ).awaitTermination()
-    return read_table(spark, f"{path}/tables/{spec.table}").select(spec.columns)
+    return {s.table: read_table(spark, f"{path}/tables/{s.table}").select(s.columns)
+            for s in specs}
+
+
+def stream_arrival_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = BY_KEY["r10_vpe_peer_flow"]
+    return _one_arrival_window(spark, sf_dir, [spec])[spec.table]
+
+
+def stream_program(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The provider-edge program: two topics, six tables, one stream."""
+    return _on_common_columns(_one_arrival_window(spark, sf_dir, PROGRAMS["vpe"]))
 
 
 def stream_event_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,6 +201,6 @@ QUERIES = {
         op_lenient_numbers, op_array_lines, op_bucket5,
         op_bucket5_float32, op_doc_key_null, op_ratio_zero, r09_at_300s, r09_by_arrival,
         r06_float32, all_tables_one_pass, op_upsert_merge, op_upsert_collisions,
-        stream_arrival_rollup, stream_event_rollup,
+        stream_arrival_rollup, stream_program, stream_event_rollup,
     )
 }

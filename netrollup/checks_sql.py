@@ -36,8 +36,12 @@ _FAULTS = "cast(floor(e / 50) as bigint)"
 
 def _rollup(keys: dict[str, str], outputs: dict[str, str], route: str, id_parts: list[str],
             window: str = "w", stamp: str = _STAMP, deal: str | None = None,
-            having: str = "") -> str:
-    """SELECT for one roll-up: named key expressions, named aggregate outputs."""
+            having: str = "", also: list[str] | None = None) -> str:
+    """SELECT for one roll-up: named key expressions, named aggregate outputs.
+
+    Rows are grouped on the keys that are plain columns, and on the columns ``also``
+    that the other keys are made of.
+    """
     deal = deal or f"{window} * 1000"
     cols = [f"{x} as {n}" for n, x in (keys | outputs).items()]
     key_text = " || '_' || ".join(keys[p] for p in id_parts)
@@ -46,7 +50,7 @@ def _rollup(keys: dict[str, str], outputs: dict[str, str], route: str, id_parts:
         f"{key_text} || '_' || ({deal}) as _id", "'5' as timeType",
     ]
     group = ", ".join(dict.fromkeys(
-        x for x in [window, *keys.values()] if "'" not in x and not x.isdigit()))
+        x for x in [window, *keys.values(), *(also or [])] if "'" not in x and not x.isdigit()))
     return (f"{_TELEMETRY} select {', '.join(cols)} from m where {route} "
             f"group by {group} {having}")
 
@@ -75,98 +79,102 @@ def _flow(keys: dict[str, str], id_parts: list[str], **options) -> str:
     return _rollup(keys, _FLOW | _RATES, "route = 7", id_parts, **options)
 
 
-def _peer_sql(keys: dict[str, str], outputs: dict[str, str], route: str, id_parts: list[str],
-              **options) -> str:
-    """A roll-up keyed on the peer, which ``_rollup`` takes for a constant."""
-    text = _rollup(keys, outputs, route, id_parts, **options)
-    head, _, tail = text.rpartition("group by ")
-    return f"{head}group by p, {tail}"
-
-
-_R5 = _peer_sql(
-    {"peer": "'peer-' || p", "resourceLogo": "'vpePort'", "fabric": "fab"},
-    {"rxTotal": _growth("e * 1500"), "txTotal": _growth("e * 700")} | _RATES,
-    "route = 7 and side = 0", ["peer"],
-)
-_R9 = _flow(_PORT_KEYS, ["resourceUuid", "ifName"])
 _R6_KEYS = _device("vpe")
 _R6_OUT = {"cpu": _SHARE, "memUsedRate": _PCT}
-_R11 = {
-    "resourceUuid": "uuid", "resourceLogo": "'vpeDelay'", "fabric": "fab",
-    "category": "'cat-' || side", "src": "'s' || d", "srcName": "'S' || d",
-    "dst": "'d' || side", "dstName": "'D' || side",
-}
 
 
-def _r11(extra: str = "") -> str:
-    text = _rollup(_R11, {"loss": _SHARE, "delay": _MEAN, "jitter": _MEAN},
-                   f"route = 10{extra}", ["resourceUuid", "category"])
-    return text.rstrip() + ", d, side"
-
-
-def _table_ids(table: str, sql: str) -> str:
-    return (f"select '{table}' as table_name, fabric, _id, timestamp, dealTime, timeType "
-            f"from ({sql})")
-
-
-ORACLE: dict[str, str] = {
-    "r01_cpe_basic": _rollup(
-        _device("cpe"),
-        {
-            "cpuUsedRate": _SHARE, "memUsedRate": _PCT,
-            "diskUsedRate": _r2("avg((5000000 + e - v * 10000) / (5000000 + e)) * 100"),
-            "diskAvalible": _r2("avg(v * 10000) / 1024 / 1024"),
-            "cpeConnections": _MEAN,
-        },
-        "route = 0", ["resourceUuid"]),
-    "r02_cpe_chain": _rollup(
-        _link("cpePopDelay"),
-        {"rtt": _MEAN, "rttIpsec": _MEAN, "loss": _SHARE, "lossIpsec": _SHARE,
-         "jitter": _MEAN, "jitterIpsec": _MEAN},
-        "route = 1", ["resourceUuid"]),
-    "r03_cpe_tunnel": _rollup(
-        _link("cepTunStats"),
-        {"jitter": _MEAN, "rtt": _MEAN, "loss": _SHARE} | _RATES,
-        "route = 2", ["resourceUuid"]),
-    "r04_cpe_interface": _rollup(
-        _device("cpePort") | {"ifName": "eth", "monIfKey": "'mk-' || side"},
-        {n: _growth(_FAULTS) for n in ("rxDrops", "txDrops", "rxErrs", "txErrs")}
-        | {n: _growth("e * 3") for n in ("rxPkts", "txPkts")} | _RATES,
-        "route = 3", ["resourceUuid", "ifName"]) + ", side",
-    "r05_cpe_pop": _R5,
-    "r06_vpe_basic": _rollup(_R6_KEYS, _R6_OUT, "route = 4", ["resourceUuid"]),
-    "r07_vpe_disk": _rollup(
-        _device("vpeDisk"),
-        {
-            "usedPercent": _PCT,
-            "diskAvalible": _r2("avg(v * 10000) / 1024 / 1024"),
-            "diskTotal": _r2("avg(5000000 + e) / 1024 / 1024"),
-            "inodesTotal": "cast(floor(avg(100000)) as bigint)",
-            "inodesFree": "cast(floor(avg(v * 100)) as bigint)",
-        },
-        "route = 5", ["resourceUuid"]),
-    "r08_vpe_connection": _rollup(
-        _device("vpeConnection"), {"connections": "cast(floor(avg(v)) as bigint)"},
-        "route = 6", ["resourceUuid"]),
-    "r09_vpe_interface": _R9,
-    "r10_vpe_peer_flow": _peer_sql(
-        _PEER_KEYS, _FLOW | _RATES, "route = 7", ["resourceUuid", "peer"]),
-    "r11_vpe_delay": _r11(),
-    "r12_ce_basic": _rollup(
-        {"switchUuid": "sw", "resourceLogo": "'switch'", "fabric": "fab"},
-        {"cpu": _PCT, "memUsedRate": _SHARE, "memUse": _MEAN},
-        "route = 8", ["switchUuid"]),
-    "r13_ce_port": _rollup(
-        {"switchUuid": "sw", "resourceLogo": "'switchPort'", "fabric": "fab", "host": "host",
-         "deviceType": "'switch'", "portUuid": "'port-' || side"},
-        {n: _MEAN for n in ("inUtilization", "outUtilization")}
-        | {n: _growth("e * 3") for n in (
-            "inBroadcastPkg", "inPkg", "inUcastPkg",
-            "outBroadcastPkg", "outPkg", "outUcastPkg")}
-        | {n: _growth(_FAULTS) for n in (
-            "inDiscardPkg", "inErrorPkg", "outDiscardPkg", "outErrorPkg")}
-        | {"inTraffic": _rate("e * 1500"), "outTraffic": _rate("e * 700")},
-        "route = 9", ["switchUuid", "portUuid"]) + ", side",
+def _delay(extra: str = "", **options) -> str:
+    return _rollup(
+        {"resourceUuid": "uuid", "resourceLogo": "'vpeDelay'", "fabric": "fab",
+         "category": "'cat-' || side", "src": "'s' || d", "srcName": "'S' || d",
+         "dst": "'d' || side", "dstName": "'D' || side"},
+        {"loss": _SHARE, "delay": _MEAN, "jitter": _MEAN},
+        f"route = 10{extra}", ["resourceUuid", "category"], **options, also=["d", "side"])
+
+
+def _tables(**options) -> dict[str, str]:
+    """SQL of the 13 roll-ups."""
+    def of(*args, **more) -> str:
+        return _rollup(*args, **options, **more)
+
+    return {
+        "r01_cpe_basic": of(
+            _device("cpe"),
+            {
+                "cpuUsedRate": _SHARE, "memUsedRate": _PCT,
+                "diskUsedRate": _r2("avg((5000000 + e - v * 10000) / (5000000 + e)) * 100"),
+                "diskAvalible": _r2("avg(v * 10000) / 1024 / 1024"),
+                "cpeConnections": _MEAN,
+            },
+            "route = 0", ["resourceUuid"]),
+        "r02_cpe_chain": of(
+            _link("cpePopDelay"),
+            {"rtt": _MEAN, "rttIpsec": _MEAN, "loss": _SHARE, "lossIpsec": _SHARE,
+             "jitter": _MEAN, "jitterIpsec": _MEAN},
+            "route = 1", ["resourceUuid"]),
+        "r03_cpe_tunnel": of(
+            _link("cepTunStats"),
+            {"jitter": _MEAN, "rtt": _MEAN, "loss": _SHARE} | _RATES,
+            "route = 2", ["resourceUuid"]),
+        "r04_cpe_interface": of(
+            _device("cpePort") | {"ifName": "eth", "monIfKey": "'mk-' || side"},
+            {n: _growth(_FAULTS) for n in ("rxDrops", "txDrops", "rxErrs", "txErrs")}
+            | {n: _growth("e * 3") for n in ("rxPkts", "txPkts")} | _RATES,
+            "route = 3", ["resourceUuid", "ifName"], also=["side"]),
+        "r05_cpe_pop": of(
+            {"peer": "'peer-' || p", "resourceLogo": "'vpePort'", "fabric": "fab"},
+            {"rxTotal": _growth("e * 1500"), "txTotal": _growth("e * 700")} | _RATES,
+            "route = 7 and side = 0", ["peer"], also=["p"]),
+        "r06_vpe_basic": of(_R6_KEYS, _R6_OUT, "route = 4", ["resourceUuid"]),
+        "r07_vpe_disk": of(
+            _device("vpeDisk"),
+            {
+                "usedPercent": _PCT,
+                "diskAvalible": _r2("avg(v * 10000) / 1024 / 1024"),
+                "diskTotal": _r2("avg(5000000 + e) / 1024 / 1024"),
+                "inodesTotal": "cast(floor(avg(100000)) as bigint)",
+                "inodesFree": "cast(floor(avg(v * 100)) as bigint)",
+            },
+            "route = 5", ["resourceUuid"]),
+        "r08_vpe_connection": of(
+            _device("vpeConnection"), {"connections": "cast(floor(avg(v)) as bigint)"},
+            "route = 6", ["resourceUuid"]),
+        "r09_vpe_interface": _flow(_PORT_KEYS, ["resourceUuid", "ifName"], **options),
+        "r10_vpe_peer_flow": _flow(
+            _PEER_KEYS, ["resourceUuid", "peer"], **options, also=["p"]),
+        "r11_vpe_delay": _delay(**options),
+        "r12_ce_basic": of(
+            {"switchUuid": "sw", "resourceLogo": "'switch'", "fabric": "fab"},
+            {"cpu": _PCT, "memUsedRate": _SHARE, "memUse": _MEAN},
+            "route = 8", ["switchUuid"]),
+        "r13_ce_port": of(
+            {"switchUuid": "sw", "resourceLogo": "'switchPort'", "fabric": "fab",
+             "host": "host", "deviceType": "'switch'", "portUuid": "'port-' || side"},
+            {n: _MEAN for n in ("inUtilization", "outUtilization")}
+            | {n: _growth("e * 3") for n in (
+                "inBroadcastPkg", "inPkg", "inUcastPkg",
+                "outBroadcastPkg", "outPkg", "outUcastPkg")}
+            | {n: _growth(_FAULTS) for n in (
+                "inDiscardPkg", "inErrorPkg", "outDiscardPkg", "outErrorPkg")}
+            | {"inTraffic": _rate("e * 1500"), "outTraffic": _rate("e * 700")},
+            "route = 9", ["switchUuid", "portUuid"], also=["side"]),
+    }
+
+
+def _on_common_columns(tables: dict[str, str]) -> str:
+    """All tables below each other, on the columns they share."""
+    return " union all ".join(
+        f"select 'network_{name[4:]}' as table_name, fabric, _id, timestamp, dealTime,"
+        f" timeType from ({sql})" for name, sql in tables.items())
+
+
+_TABLES = _tables()
+_R5, _R9 = _TABLES["r05_cpe_pop"], _TABLES["r09_vpe_interface"]
+
+# The same for one arrival window, labelled by hand.
+_ONE_WINDOW = _tables(window="1706745600", deal="1706745600000")
+
+ORACLE: dict[str, str] = _TABLES | {
     "op_route_counts": """
         with t as (
           select case when event_id % 11 < 4 then 'cpe' when event_id % 11 < 8 then 'vpe'
@@ -185,7 +193,7 @@ ORACLE: dict[str, str] = {
                     when event_id % 11 < 10 then 'switch' else 'sdwan' end as topic,
                count(*) as n_lines, count(*) as n_cut
         from events where event_id % 97 = 0 group by 1""",
-    "op_after_quarantine": _r11(" and e % 97 <> 0"),
+    "op_after_quarantine": _delay(" and e % 97 <> 0"),
     "op_lenient_numbers": _R9,
     "op_bucket5": """
         select cast(floor(floor(epoch(ts)) / 300) as bigint) * 300000 as bucket,
@@ -227,9 +235,10 @@ ORACLE: dict[str, str] = {
                    partition by _id order by timestamp desc, peer desc, resourceLogo desc,
                    fabric desc) as rn
           from ({_R5})) where rn = 1""",
-    "stream_arrival_rollup": _peer_sql(
-        _PEER_KEYS, _FLOW | _RATES, "route = 7", ["resourceUuid", "peer"], window="1706745600",
-        deal="1706745600000"),
+    "stream_arrival_rollup": _ONE_WINDOW["r10_vpe_peer_flow"],
+    "stream_program": _on_common_columns(
+        {k: q for k, q in _ONE_WINDOW.items() if "r06" <= k < "r12"}),
+    "all_tables_one_pass": _on_common_columns(_TABLES),
     "stream_event_rollup": _flow(
         _PORT_KEYS, ["resourceUuid", "ifName"],
         having="having w + 86400 <= (select max(c) - 3600 from m where route = 7)"),
@@ -239,8 +248,3 @@ ORACLE["op_array_lines"] = (
     "select topic, resourceLogo, n_rows * 2 as n_rows, n_malformed"
     f" from ({ORACLE['op_route_counts']})"
 )
-ORACLE["all_tables_one_pass"] = " union all ".join(
-    _table_ids(f"network_{name[4:]}", ORACLE[name])
-    for name in list(ORACLE) if name[0] == "r" and name[1:3].isdigit() and "_at_" not in name
-    and "_by_" not in name and "float" not in name
-)
