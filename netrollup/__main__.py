@@ -11,6 +11,8 @@ Further reader options (say, security settings) come from the environment, as
 from __future__ import annotations
 
 import argparse
+import signal
+import sys
 
 from pyspark.sql import SparkSession
 
@@ -21,7 +23,7 @@ from netrollup.sinks.other import env_options
 from netrollup.sources.files import read_archive
 from netrollup.sources.kafka import kafka_options, read_kafka
 from netrollup.streaming.arrival import arrival_stream
-from netrollup.streaming.common import await_any, table_sink, write_tables
+from netrollup.streaming.common import await_any, stop_gracefully, table_sink, write_tables
 from netrollup.streaming.event_time import event_stream, quarantine_stream
 
 
@@ -43,7 +45,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     for command in (stream, replay):
         command.add_argument("program", choices=[*PROGRAMS, "all"])
         command.add_argument("--tables", required=True)
-        command.add_argument("--slice", type=int, default=3600, help="table slice, seconds")
+        command.add_argument("--slice", type=int, default=3600,
+                             help="table slice, seconds; the same for a table's life")
         command.add_argument("--window", type=int, default=300, help="window, seconds")
         command.add_argument("--compat-float32", action="store_true")
     return parser.parse_args(argv)
@@ -70,7 +73,13 @@ def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
         event_stream(raw, specs, sink, progress, delay=args.delay, **common)
         if bad:
             quarantine_stream(raw, bad, f"{progress}-quarantine", name=f"{name}-quarantine")
-    await_any(spark)
+    # A stop request ends the program after the windows in flight are written.
+    signal.signal(signal.SIGTERM, lambda *_: sys.exit(0))
+    try:
+        await_any(spark)
+    finally:
+        for query in spark.streams.active:
+            stop_gracefully(query)
 
 
 def run_replay(spark: SparkSession, args: argparse.Namespace) -> None:

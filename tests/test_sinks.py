@@ -1,6 +1,8 @@
 """Keyed merge and the other sinks."""
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from netrollup.sinks import merge as merging
@@ -133,3 +135,26 @@ def test_options_come_from_the_environment(monkeypatch):
 def test_preview_prints_rows(spark, capsys):
     preview(rows(spark, ("a-long-key-that-is-not-cut-off", 0, 0, "h", 1)))
     assert "a-long-key-that-is-not-cut-off" in capsys.readouterr().out
+
+
+BATCHES = st.lists(
+    st.lists(st.tuples(st.sampled_from("abc"), st.integers(0, 3), st.integers(0, 2),
+                       st.one_of(st.none(), st.integers(0, 9))), max_size=6),
+    min_size=1, max_size=3)
+
+
+@settings(max_examples=6, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(batches=BATCHES)
+def test_merges_against_a_dictionary(spark, tmp_path_factory, batches):
+    path, want = str(tmp_path_factory.mktemp("t") / "t"), {}
+    for batch in batches:
+        data = [(f"{k}_{slot}", slot * HOUR // 2, stamp, None, n) for k, slot, stamp, n in batch]
+        # Among equal keys: the latest stamp, then the greatest value, nulls lowest.
+        best = {}
+        for row in sorted(data, key=lambda r: (r[2], r[4] is not None, r[4] or 0)):
+            best[row[0]] = row
+        assert merge(rows(spark, *data), path) == len(data) - len(best)
+        want |= best
+    if want:
+        assert table(spark, path) == sorted(want.values(), key=str)

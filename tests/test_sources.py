@@ -4,13 +4,20 @@ from types import SimpleNamespace
 
 import pytest
 
+import netrollup.__main__ as command
 from netrollup.__main__ import arguments, chosen, run_replay
 from netrollup.plans.batch import replay
 from netrollup.plans.specs import BY_KEY, PROGRAMS
 from netrollup.session import REPLAY, STREAM, tune
 from netrollup.shared import new_path, shared_dir, stage
 from netrollup.sinks.merge import read_table
-from netrollup.sources.files import read_archive, read_lines, stream_lines, write_archive
+from netrollup.sources.files import (
+    read_archive,
+    read_lines,
+    stream_archive,
+    stream_lines,
+    write_archive,
+)
 from netrollup.sources.kafka import RAW_COLUMNS, kafka_options, read_kafka
 
 LINE = '{"resourceLogo":"vpe","resourceUuid":"u","collectdate":1591760100,"cpu":0.5}'
@@ -65,6 +72,36 @@ def test_archive_round_trip_and_replay_command(spark, raw_of, tmp):
     assert (row.cpu, row["_id"]) == (50.0, "u_1591760100000")
 
 
+@pytest.mark.parametrize("event_time", [False, True])
+def test_stream_command(spark, raw_of, tmp, monkeypatch, event_time):
+    write_archive(raw_of([("vpe", LINE), ("vpe", "{"), ("vpe", LINE.replace("60100", "99999"))]),
+                  f"{tmp}/raw")
+    asked = {}
+
+    def archive_for_kafka(spark, options):
+        asked.update(options)
+        return stream_archive(spark, f"{tmp}/raw")
+
+    def until_idle(spark):
+        for query in spark.streams.active:
+            query.processAllAvailable()
+        raise SystemExit
+
+    monkeypatch.setattr(command, "read_kafka", archive_for_kafka)
+    monkeypatch.setattr(command, "await_any", until_idle)
+    monkeypatch.setattr(command.signal, "signal", lambda *_: None)
+    monkeypatch.setenv("NETROLLUP_KAFKA_failOnDataLoss", "false")
+    args = ["stream", "vpe", "--servers", "h:1", "--checkpoint", f"{tmp}/progress",
+            "--tables", f"{tmp}/tables", "--quarantine", f"{tmp}/bad", "--window", "1"]
+    with pytest.raises(SystemExit):
+        command.run_stream(spark, arguments(args + ["--event-time"] * event_time))
+    assert not spark.streams.active
+    assert asked["subscribe"] == "vpe,sdwan" and asked["failOnDataLoss"] == "false"
+    assert spark.read.parquet(f"{tmp}/bad/vpe").count() == 1
+    rows = read_table(spark, f"{tmp}/tables/network_vpe_basic").collect()
+    assert [r.cpu for r in rows] == [50.0]
+
+
 def test_arguments():
     args = arguments(["stream", "all", "--servers", "h:1", "--checkpoint", "c", "--tables", "t",
                       "--rate", "80", "--partitions", "2", "--event-time"])
