@@ -12,7 +12,7 @@ from netrollup.operators.parse import parse, quarantine
 from netrollup.operators.route import route
 from netrollup.plans.batch import replay, replay_tables, route_counts
 from netrollup.plans.specs import BY_KEY, PROGRAMS, ROLLUPS
-from netrollup.shared import new_path
+from netrollup.shared import new_path, stage
 from netrollup.sinks.merge import merge, read_table
 from netrollup.sources.sample import raw_from_events, read_events, sample_raw
 from netrollup.streaming.arrival import arrival_stream
@@ -138,7 +138,7 @@ def all_tables_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op_upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Early days without rates, then late days in full, then the early ones again."""
     path = new_path(spark, "upsert")
-    full = replay(sample_raw(spark, sf_dir), FLOW, window_s=DAY)
+    full = stage(replay(sample_raw(spark, sf_dir), FLOW, window_s=DAY), [])
     early = full.where(F.col("dealTime") <= EARLY_UNTIL).drop("rxBytes", "txBytes")
     late = full.where(F.col("dealTime") >= LATE_FROM)
     for rows in (early, late, early):

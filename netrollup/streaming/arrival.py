@@ -32,7 +32,7 @@ def arrival_stream(raw: DataFrame, specs, sink: Sink, checkpoint: str, window_s:
     topics = list(dict.fromkeys(s.topic for s in specs))
     # Fixed before the parse, where a clock taken from the raw line is still at hand.
     lines = raw.where(F.col("topic").isin(topics)).withColumn(
-        "dealTime", bucket_ms(F.unix_seconds(F.expr(clock)), 300)
+        "dealTime", bucket_ms(F.unix_seconds(F.expr(clock)), window_s)
     )
     parsed = parse(lines, fields_of(specs), keep=["dealTime"])
 
