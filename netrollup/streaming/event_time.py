@@ -17,18 +17,25 @@ from netrollup.plans.batch import fields_of
 from netrollup.streaming.common import Sink, start, write_tables
 
 
+# A clock this far ahead of the arrival is wrong.  Trusted, one such line would move
+# the watermark past all others.
+_MAX_AHEAD_S = 86400
+
+
 def event_aggregates(raw: DataFrame, specs, window_s: int, delay: str) -> DataFrame:
     """Streaming aggregates of ``specs`` per event-time window.
 
-    Lines with no usable event time count at their arrival.  Lines later than
+    Lines with no usable event time, or one more than a day after their arrival,
+    count at their arrival.  Lines later than
     ``delay`` behind the newest event are left out by the watermark; choose it to
     cover the source's worst lag.
     """
     topics = list(dict.fromkeys(s.topic for s in specs))
     parsed = parse(raw.where(F.col("topic").isin(topics)), fields_of(specs))
-    timed = parsed.withColumn(
-        "event_ts", F.timestamp_seconds(F.floor(event_seconds()))
-    ).withWatermark("event_ts", delay)
+    event, arrival = event_seconds(), F.unix_seconds("arrival")
+    seconds = F.when(event > arrival + _MAX_AHEAD_S, arrival).otherwise(F.floor(event))
+    timed = parsed.withColumn("event_ts", F.timestamp_seconds(seconds)) \
+        .withWatermark("event_ts", delay)
     return rollup_many(timed, specs, F.window("event_ts", f"{window_s} seconds"))
 
 

@@ -141,7 +141,7 @@ def test_event_stream_equals_replay(spark, tmp):
     lines = [message(i * 29 % 1500, uuid=f"u{i % 3}") for i in range(60)]
     for part in range(3):
         add_file(spark, f"{tmp}/raw", T0 + part, lines[part::3])
-    add_file(spark, f"{tmp}/raw", T0 + 9, [message(10**6, uuid="end")])
+    add_file(spark, f"{tmp}/raw", T0 + 10**6, [message(10**6, uuid="end")])
     raw = stream_archive(spark, f"{tmp}/raw", files_per_trigger=1)
     drain(event_stream(raw, PROGRAMS["vpe"][3:5], table_sink(f"{tmp}/tables"),
                        f"{tmp}/progress", delay="1 hour", available_now=True))
@@ -152,6 +152,17 @@ def test_event_stream_equals_replay(spark, tmp):
         assert sorted(map(str, got)) == sorted(map(str, want)) and len(got) > 10
 
 
+def test_a_clock_far_ahead_does_not_close_windows(spark, tmp):
+    add_file(spark, f"{tmp}/raw", T0 + 1, [message(0), message(10**7, uuid="ahead")])
+    add_file(spark, f"{tmp}/raw", T0 + 2, [message(100)])
+    add_file(spark, f"{tmp}/raw", T0 + 3, [message(2000)])
+    raw = stream_archive(spark, f"{tmp}/raw", files_per_trigger=1)
+    drain(event_stream(raw, [FLOW], table_sink(f"{tmp}/tables"), f"{tmp}/progress",
+                       available_now=True))
+    assert [r[:2] for r in stored(spark, tmp)] == [
+        (f"ahead_e0_{T0}000", 0), (f"u1_e0_{T0}000", 10000)]
+
+
 def test_quarantine_stream(spark, tmp):
     add_file(spark, f"{tmp}/raw", T0, [message(0), "{", ""])
     raw = stream_archive(spark, f"{tmp}/raw")
