@@ -3,12 +3,14 @@
 Every row gets a hash-random key.  Rows are range-sorted by (source, key); each range writes
 running sums of its sizes, the ranges' totals are summed up per source, and both together give
 every row the words that stand before it.  A source takes as many whole epochs as its target
-holds, and of one more epoch the rows up to the key at which the rest is used up.  Whether a
-row is taken so depends on its key and one row for each source: the texts are not shuffled.
+holds, and of one more epoch the rows up to the key at which the rest is used up; the row there
+is cut off, so the budget is met to the word.  Whether a row is taken so depends on its key and
+one row for each source: the texts are not shuffled.
 
 Defined cases: a null text has size 0; null is a source of its own, last in order; equal rows
-have equal keys, and the share of them that is taken is drawn row by row; a source without words
-takes its rows once if its (zero) target allows one row of size 0; no rows give no rows.
+have equal keys and are treated alike: where they stand at the cut, each takes the same share of
+the words left; a row of size 0 is taken with the epochs and with what stands before the cut; no
+rows give no rows.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from netrollup.llm.common import WORD, small_side, staged, text_or_empty
+from netrollup.llm.common import SPACE, WORD, small_side, staged, text_or_empty
 
 ROWS_PER_RANGE = 100_000
 
@@ -89,7 +91,8 @@ def targets(sources: DataFrame, weights: Sequence[float], max_epochs: int) -> Da
 def mix(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", source: str = "source",
         weights: Sequence[float] = (1, 2, 3), max_epochs: int = 3, seed: str = "mix") -> DataFrame:
     """One row per document: ``doc`` (the whole row), ``size``, ``source_size``, ``target`` and
-    ``times``, how often the mix takes it (0 to ``max_epochs``)."""
+    ``times``, how often the mix takes it whole (0 to ``max_epochs``), and ``part``, the words that
+    it takes of it besides."""
     spark = docs.sparkSession
     keyed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
@@ -122,39 +125,49 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", source:
     epochs = F.when(F.col("source_size") == 0, 0).when(
         F.col("target") >= F.col("source_size") * max_epochs, max_epochs
     ).otherwise(F.floor(F.col("target") / F.col("source_size")))
-    rest = F.col("target") - F.col("epochs") * F.col("source_size")
-    left = F.col("rest") - F.col("before") - F.col("offset")
-    # A row is taken once more if its middle is within the rest.
-    took = F.when(F.col("size") == 0, F.when(left >= 0, F.col("copies")).otherwise(0)).otherwise(
-        F.greatest(F.lit(0), F.least(F.col("copies"), F.floor(left / F.col("size") + 0.5))))
-    budget = sources.withColumn("epochs", epochs.cast("int")).withColumn("rest", rest)
+    rest = F.floor(F.col("target") - F.col("epochs") * F.col("source_size"))
+    # Words that a row of a group of equal ones takes of what the group may take.
+    part = F.floor(F.least(F.col("size") * F.col("copies"),
+                           F.col("rest") - F.col("before") - F.col("offset")) / F.col("copies"))
+    budget = sources.withColumn("epochs", epochs.cast("int"))
     last = (
         placed.join(small_side(staged(offsets, "mix-offsets")
                                .select(F.col("source").alias("s"), F.col("part").alias("p"),
                                        "offset")),
                     F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p")))
         .drop("s")
-        .join(small_side(budget.select(F.col("source").alias("s"), "epochs", "rest")),
-              F.col("source").eqNullSafe(F.col("s")))
-        .where(F.col("epochs") < max_epochs)
-        .withColumn("took", took).where(F.col("took") > 0)
+        .join(small_side(staged(budget.withColumn("rest", rest).select(
+            F.col("source").alias("s"), "epochs", "rest"), "mix-budget")),
+            F.col("source").eqNullSafe(F.col("s")))
+        .where((F.col("epochs") < max_epochs)
+               & (F.col("before") + F.col("offset") < F.col("rest")))
         .groupBy("source").agg(F.max("key").alias("cut"),
-                               F.max_by(F.col("took") / F.col("copies"), "key").alias("share"))
+                               F.max_by(part, "key").alias("cut_words"))
     )
     plan = staged(
         budget.join(last.withColumnRenamed("source", "s"),
                     F.col("source").eqNullSafe(F.col("s")), "left")
-        .select(F.col("source").alias("of"), "source_size", "target", "epochs", "cut", "share"),
+        .select(F.col("source").alias("of"), "source_size", "target", "epochs", "cut",
+                "cut_words"),
         "mix-plan")
-    once_more = F.when(F.col("key") < F.col("cut"), 1).when(
-        F.col("key") == F.col("cut"),
-        F.when(F.col("share") == 1, 1).otherwise((F.rand(7) < F.col("share")).cast("int"))
-    ).otherwise(0)
+    at_cut = F.coalesce(F.col("key") == F.col("cut"), F.lit(False))
+    whole = F.coalesce(F.col("key") < F.col("cut"), F.lit(False)) | (
+        at_cut & (F.col("cut_words") >= F.col("size")))
     return keyed.join(small_side(plan), F.col("source").eqNullSafe(F.col("of"))).select(
-        "doc", "size", "source_size", "target", (F.col("epochs") + once_more).alias("times"))
+        "doc", "size", "source_size", "target",
+        (F.col("epochs") + F.when(whole, 1).otherwise(0)).alias("times"),
+        F.when(at_cut & ~whole, F.col("cut_words")).otherwise(0).cast("long").alias("part"))
 
 
-def mixed_rows(docs: DataFrame, **options) -> DataFrame:
-    """The documents of the mix, each as often as it is taken, with their columns alone."""
-    return mix(docs, **options).where(F.col("times") > 0).select(
-        "doc", F.explode(F.sequence(F.lit(1), F.col("times")))).select("doc.*")
+def mixed_rows(docs: DataFrame, *, text: str = "text", **options) -> DataFrame:
+    """The rows of the mix, each as often as it is taken, with the columns of ``docs`` alone.
+
+    The row at a source's cut is cut off after the words that the source may still take.
+    """
+    words = F.concat(F.lit("^(?:"), F.lit(SPACE[:-1] + "*+"), F.lit(WORD + "+"), F.lit("){"),
+                     F.col("part").cast("string"), F.lit("}+"))
+    cut_text = F.regexp_substr(F.col("doc")[text].cast("string"), words)
+    copies = F.array_repeat(F.col("doc"), F.col("times"))
+    every = F.when(F.col("part") > 0, F.concat(copies, F.array(
+        F.col("doc").withField(f"`{text}`", cut_text)))).otherwise(copies)
+    return mix(docs, text=text, **options).select(F.explode(every).alias("doc")).select("doc.*")

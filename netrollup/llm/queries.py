@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netrollup.llm import license as notices
-from netrollup.llm import mixing, packing, quality, rules, token_counts
+from netrollup.llm import mixing, packing, pii, quality, rules, token_counts
 from netrollup.llm.common import table
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -16,6 +16,17 @@ HELD_OUT = "pmod(crc32(cast(cast(doc_id as string) as binary)), 4) = 2"
 POLICY = "v2"
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = [(kind, F.col("base")[kind]) for kind in pii.KINDS]
+    removed = F.filter("terms", lambda m: m["remove"])
+    general = F.filter("terms", lambda m: ~m["remove"])
+    return pii.find(table(spark, sf_dir, "documents")).select(
+        F.col("doc.doc_id").alias("doc_id"),
+        *[F.size(spans).cast("long").alias(f"n_{kind}") for kind, spans in base],
+        F.sha2(pii.span_list(base), 256).alias("base_sha256"),
+        pii.span_list([*base, ("generalised", general), ("removed", removed)]).alias("spans"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), BPE)
 
@@ -49,10 +60,11 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         F.col("doc.doc_id").alias("doc_id"), "size", "source_size", "target",
-        (F.col("times") * F.col("size")).alias("taken"))
+        (F.col("times") * F.col("size") + F.col("part")).alias("taken"))
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_quality_rules": op5_quality_rules,
     "op7_license_scan": op7_license_scan,
