@@ -18,7 +18,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -156,16 +155,16 @@ def lower_bound(sizes: np.ndarray, capacity: int) -> int:
 
 def _pack_part(capacity: int, last: bool):
     """Packs one partition.  ``open``: the piece goes on to the next round."""
-    def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("uid", kind="stable").reset_index(drop=True)
-        sizes = rows["length"].to_numpy()
+    def pack(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("uid")
+        uid, sizes = rows.column("uid").to_numpy(), rows.column("length").to_numpy()
         bins, offsets, fill = best_fit_decreasing(sizes, capacity)
         met = len(fill) <= lower_bound(sizes, capacity)
         first = np.full(len(fill), -1, np.int64)  # a bin is named by the piece at its start
-        first[bins[offsets == 0]] = rows["uid"].to_numpy()[offsets == 0]
+        first[bins[offsets == 0]] = uid[offsets == 0]
         loose = np.array(fill) < capacity
-        return pd.DataFrame({
-            "uid": rows["uid"], "length": sizes, "sequence_id": first[bins], "offset": offsets,
+        return pa.table({
+            "uid": uid, "length": sizes, "sequence_id": first[bins], "offset": offsets,
             "open": loose[bins] & (not met) & (not last)})
 
     return pack
@@ -186,7 +185,7 @@ def pack(pieces: DataFrame, *, length: int = LENGTH, part_rows: int = PIECES_PER
         last = parts == 1 or round_ == rounds - 1
         packed = staged(
             todo.withColumn("part", F.pmod(F.xxhash64("uid", F.lit(round_)), F.lit(parts)))
-            .groupBy("part").applyInPandas(
+            .groupBy("part").applyInArrow(
                 _pack_part(length, last),
                 "uid long, length long, sequence_id long, offset long, open boolean"),
             f"pack-{round_}")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netrollup.llm import license as notices
-from netrollup.llm import mixing, packing, pii, quality, rules, token_counts
+from netrollup.llm import embedding_dedup, mixing, packing, pii, quality, rules, token_counts
 from netrollup.llm.common import table
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -31,6 +31,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), BPE)
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = rules.fails("base")
     return rules.ledger(table(spark, sf_dir, "documents")).select(
@@ -66,6 +70,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pii": op1_pii,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op7_license_scan": op7_license_scan,
     "op8_token_counts": op8_token_counts,
