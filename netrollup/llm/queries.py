@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netrollup.llm import license as notices
-from netrollup.llm import embedding_dedup, mixing, packing, pii, quality, rules, token_counts
+from netrollup.llm import embedding_dedup, language, minhash, mixing, packing, pii, quality, rules, token_counts
 from netrollup.llm.common import table
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,6 +27,27 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         pii.span_list([*base, ("generalised", general), ("removed", removed)]).alias("spans"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents: the declared language is ``lang``, and ``source`` stands for the host."""
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(
+        docs, language.train(docs), declared=F.col("lang"), host=F.col("source")
+    ).select(F.col("doc.doc_id").alias("doc_id"), F.col("doc.lang").alias("declared"),
+             "text_lang", "lang", F.round("confidence", 4).alias("confidence"), "grams", "kept")
+
+
+def op2_language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Web pages: language of the markup, address suffix and host, with the documents' model."""
+    pages = table(spark, sf_dir, "pages")
+    host, suffix = language.host_of(F.col("url"))
+    return language.identify(
+        pages, language.train(table(spark, sf_dir, "documents")),
+        text=language.visible_text(F.col("html")), declared=language.declared_of(F.col("html")),
+        host=host, suffix=suffix,
+    ).select(F.col("doc.page_id").alias("page_id"), "text_lang", "lang",
+             F.round("confidence", 4).alias("confidence"), "grams", "kept")
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), BPE)
 
@@ -42,6 +63,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         base.alias("base_failed"), (~base & ~rules.fails(POLICY)).alias("kept"), "failed")
 
 
+def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Shingles of four words are this query's contract; the operator's own default is five.
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4).select(
+        "doc_id", "n_shingles", "component_id", "kept")
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     span = "concat_ws(':', s.label, s.start, s.end, s.edits)"
     return notices.scan_notices(table(spark, sf_dir, "documents")).withColumn(
@@ -69,9 +96,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op2_language_id": op2_language_id,
+    "op2_language_id_pages": op2_language_id_pages,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op6_minhash_dedup": op6_minhash_dedup,
     "op7_license_scan": op7_license_scan,
     "op8_token_counts": op8_token_counts,
     "op9_quality_classifier": op9_quality_classifier,
