@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from netrollup.llm.common import small_side, staged, text_or_empty
 
@@ -136,8 +137,9 @@ def _with_text_evidence(rows: DataFrame, model: Model) -> DataFrame:
                  pa.array([x.tolist() for _, x in found], pa.list_(pa.float64()))],
                 names=[*names, "grams", "evidence"])
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text"]
-    return rows.mapInArrow(work, ", ".join([*fields, "grams long", "evidence array<double>"]))
+    schema = T.StructType([f for f in rows.schema if f.name != "text"])
+    return rows.mapInArrow(work, schema.add("grams", T.LongType()).add(
+        "evidence", T.ArrayType(T.DoubleType())))
 
 
 def _best(scores: Column) -> Column:
@@ -226,3 +228,13 @@ def identify(docs: DataFrame, model: Model, *, text: Column | str = "text",
             F.get(names, _best(F.col("scores")))).alias("lang"),
         F.when(F.col("grams") == 0, 0.0).otherwise(1 / total).alias("confidence"),
     ).withColumn("kept", (F.col("lang") != UNKNOWN) & (F.col("confidence") >= least))
+
+
+def identified(docs: DataFrame, *, text: str = "text", label: str = "lang",
+               host: str = "source") -> DataFrame:
+    """The rows of ``docs`` that are not rejected, with ``label`` set to the language found; the
+    label given is the declared language and ``host`` names the rows' origin."""
+    found = identify(docs, train(docs, text=text, label=label), text=text,
+                     declared=F.col(label), host=F.col(host)).where("kept")
+    return found.select(F.col("doc").withField(f"`{label}`", F.col("lang")).alias("doc")) \
+        .select("doc.*")

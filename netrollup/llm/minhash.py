@@ -141,10 +141,10 @@ def _sign(words: int):
                     for i, key, one in zip(some, band_keys(sigs), brief, strict=True):
                         keys[i], short[i] = key.tolist(), one.tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                    [part.column(0), part.column(2), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([_digest(s) for s in sets], pa.string()),
                      pa.array(keys, pa.list_(pa.int64())), pa.array(short, pa.binary())],
-                    names=["doc_id", "n_shingles", "node", "bands", "brief"])
+                    names=["doc_id", "digest", "n_shingles", "node", "bands", "brief"])
 
     return work
 
@@ -188,6 +188,10 @@ def _likely(places: int):
     return work
 
 
+def _text_digest(text: str):
+    return F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that are links on their full sets."""
     def side(name: str) -> DataFrame:
@@ -205,13 +209,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text",
                     words: int = WORDS, percent: int = PERCENT,
                     block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """doc_id, n_shingles, node (the class of equal sets; null for an empty one), component_id
-    and kept for every row, as a stored table."""
+    """doc_id, digest (of the text), n_shingles, component (null for an empty text's),
+    component_id and kept for every row."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                         F.col(text).cast("string").alias("text"))
-    rows = staged(texts.mapInArrow(
-        _sign(words), "doc_id long, n_shingles long, node string, bands array<long>, brief binary"),
-        "signed")
+    rows = staged(texts.withColumn("digest", _text_digest("text")).mapInArrow(
+        _sign(words), "doc_id long, digest string, n_shingles long, node string, "
+                      "bands array<long>, brief binary"), "signed")
     classes = staged(
         rows.where("node IS NOT NULL").groupBy("node").agg(
             F.min("doc_id").alias("least"), F.first("n_shingles").alias("n_shingles"),
@@ -276,6 +280,35 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text: str = "tex
                    .select(F.col("node").alias("k"), "component", "component_id"), "known")
     alone = F.col("node").isNull()
     return rows.join(known, F.col("node") == F.col("k"), "left").select(
-        "doc_id", "n_shingles", "node", "component",
+        "doc_id", "digest", "n_shingles", "component",
         F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+
+
+def deduplicated(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text",
+                 **options) -> DataFrame:
+    """The rows of ``docs`` of which one of each group stays: that with the smallest id, or of
+    rows without ids that with the smallest text digest; of equal rows one stays.  Documents
+    without words all stay."""
+    found = staged(near_duplicates(docs, id_col=id_col, text=text, **options)
+                   .where("component IS NOT NULL")
+                   .select("doc_id", "digest", "component"), "groups")
+    first = F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "digest"))
+    winners = found.groupBy(F.col("component").alias("of")).agg(first.alias("w"))
+    placed = staged(
+        found.join(winners, F.col("component") == F.col("of"))
+        .select("doc_id", "digest", (F.col("doc_id").eqNullSafe(F.col("w.doc_id"))
+                                     & (F.col("digest") == F.col("w.digest"))).alias("stays"))
+        .groupBy(F.col("doc_id").alias("the_id"), F.col("digest").alias("the_digest"), "stays")
+        .agg(F.count(F.lit(1)).alias("n")), "winners")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+                       F.col(id_col).cast("long").alias("own_id"),
+                       _text_digest(text).alias("own_digest"))
+    same = F.col("own_id").eqNullSafe(F.col("the_id")) & (F.col("own_digest") == F.col("the_digest"))
+    kept = rows.join(small_side(placed.where("NOT stays")), same, "left_anti")
+    again = placed.where("stays AND n > 1")
+    if not again.isEmpty():
+        again = small_side(again)
+        kept = kept.join(again, same, "left_anti").unionByName(
+            kept.join(again, same, "left_semi").dropDuplicates(["own_id", "own_digest"]))
+    return kept.select("doc.*")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -106,6 +107,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_mixing": op10_mixing,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {}
