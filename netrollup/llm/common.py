@@ -26,6 +26,16 @@ def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def quoted(name: str) -> str:
+    """A column's name, whatever characters it has, as one part of an expression."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns of ``df`` in one struct ``doc``, so that its names clash with no others."""
+    return F.struct(*[F.col(quoted(c)) for c in df.columns]).alias("doc")
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new table in the folder that all executors share and read it back:
     the result depends on files alone, so a lost executor costs a re-read."""

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from netrollup.llm.common import small_side, staged, text_or_empty
+from netrollup.llm.common import quoted, small_side, staged, text_or_empty, whole_row
 
 BITS = 14
 #: At most so many labelled rows are learned from, those whose texts have the least hashes.
@@ -206,7 +206,7 @@ def identify(docs: DataFrame, model: Model, *, text: Column | str = "text",
 
     # Pass two: all evidence together.
     rows = _with_text_evidence(docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), body.alias("text"),
+        whole_row(docs), body.alias("text"),
         *pick.values()), model)
     zeros = F.array(*[F.lit(0.0)] * classes)
     joined = (
@@ -236,5 +236,5 @@ def identified(docs: DataFrame, *, text: str = "text", label: str = "lang",
     label given is the declared language and ``host`` names the rows' origin."""
     found = identify(docs, train(docs, text=text, label=label), text=text,
                      declared=F.col(label), host=F.col(host)).where("kept")
-    return found.select(F.col("doc").withField(f"`{label}`", F.col("lang")).alias("doc")) \
+    return found.select(F.col("doc").withField(quoted(label), F.col("lang")).alias("doc")) \
         .select("doc.*")

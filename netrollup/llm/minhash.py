@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netrollup.llm.blocks import deal
-from netrollup.llm.common import small_side, staged
+from netrollup.llm.common import small_side, staged, whole_row
 from netrollup.llm.components import components
 
 WORDS = 5          # words in a shingle
@@ -301,7 +301,7 @@ def deduplicated(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text",
                                      & (F.col("digest") == F.col("w.digest"))).alias("stays"))
         .groupBy(F.col("doc_id").alias("the_id"), F.col("digest").alias("the_digest"), "stays")
         .agg(F.count(F.lit(1)).alias("n")), "winners")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+    rows = docs.select(whole_row(docs),
                        F.col(id_col).cast("long").alias("own_id"),
                        _text_digest(text).alias("own_digest"))
     same = F.col("own_id").eqNullSafe(F.col("the_id")) & (F.col("own_digest") == F.col("the_digest"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from netrollup.llm.common import SPACE, WORD, small_side, staged, text_or_empty
+from netrollup.llm.common import SPACE, WORD, quoted, small_side, staged, text_or_empty, whole_row
 
 ROWS_PER_RANGE = 100_000
 
@@ -95,7 +95,7 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", source:
     it takes of it besides."""
     spark = docs.sparkSession
     keyed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+        whole_row(docs),
         F.col(source).cast("string").alias("source"),
         F.regexp_count(text_or_empty(text), F.lit(WORD)).cast("long").alias("size"),
         F.md5(F.concat_ws("|", F.lit(seed), F.col(id_col).cast("string"),
@@ -169,5 +169,5 @@ def mixed_rows(docs: DataFrame, *, text: str = "text", **options) -> DataFrame:
     cut_text = F.regexp_substr(F.col("doc")[text].cast("string"), words)
     copies = F.array_repeat(F.col("doc"), F.col("times"))
     every = F.when(F.col("part") > 0, F.concat(copies, F.array(
-        F.col("doc").withField(f"`{text}`", cut_text)))).otherwise(copies)
+        F.col("doc").withField(quoted(text), cut_text)))).otherwise(copies)
     return mix(docs, text=text, **options).select(F.explode(every).alias("doc")).select("doc.*")

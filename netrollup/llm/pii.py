@@ -23,7 +23,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from netrollup.llm.common import small_side, staged, text_or_empty
+from netrollup.llm.common import quoted, small_side, staged, text_or_empty, whole_row
 
 KINDS = ("email", "ip", "card", "phone")
 #: The patterns with the same matches as the plain ones, in linear time: what cannot be given
@@ -185,7 +185,7 @@ def find(docs: DataFrame, *, text: str = "text", support: int = SUPPORT,
          generalise_at: float = GENERALISE_AT, remove_at: float = REMOVE_AT) -> DataFrame:
     """One row per document: ``doc`` (the whole row), ``text``, ``base`` (spans by kind) and
     ``terms``, the spans (s, e, v, remove) of disclosing terms outside the base spans."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+    rows = docs.select(whole_row(docs),
                        text_or_empty(text).alias("text"))
     based = rows.withColumn("base", base_spans(F.col("text")))
     near = staged(_terms_near(based), "pii-near")
@@ -258,4 +258,4 @@ def sanitise(docs: DataFrame, *, text: str = "text", **options) -> DataFrame:
     found = find(docs, text=text, **options)
     kept = F.when(F.col("doc")[text].isNull(), F.lit(None).cast("string")).otherwise(
         sanitised(found))
-    return found.select(F.col("doc").withField(f"`{text}`", kept).alias("doc")).select("doc.*")
+    return found.select(F.col("doc").withField(quoted(text), kept).alias("doc")).select("doc.*")
