@@ -1,0 +1,505 @@
+"""Operators over a whole corpus against brute-force versions."""
+
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from netrollup.llm import embedding_dedup, language, minhash, mixing, packing
+from netrollup.llm.blocks import deal
+from netrollup.llm.components import components
+from netrollup.llm.queries import BPE, RANKS
+
+EDGES = [(1, None), (2, ""), (3, " \t\n"), (None, "no id here at all"), (4, "twice the same text"),
+         (4, "twice the same text"), (5, "word " * 3000), (None, None), (None, "no id here at all")]
+
+
+def vocabulary(n, seed):
+    rng = random.Random(seed)
+    syllables = ["ba", "ce", "di", "fo", "gu", "ha", "je", "ki", "lo", "mu"]
+    return ["".join(rng.choice(syllables) for _ in range(rng.randint(1, 4))) for _ in range(n)]
+
+
+def union_find(pairs):
+    parent = {}
+
+    def root(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        a, b = root(a), root(b)
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+    return root
+
+
+# --- components and blocks -------------------------------------------------------------------
+
+@pytest.mark.parametrize("edges", [
+    [], [(1, 1), (None, 2)], [(i, i + 1) for i in range(60)], [(0, i) for i in range(1, 50)],
+    [(random.Random(4).randint(0, 9) + i, i * 7 % 90) for i in range(70)]])
+def test_components(spark, edges):
+    got = {r.node: r.component for r in components(
+        spark.createDataFrame(edges, "a long, b long")).collect()}
+    real = [(a, b) for a, b in edges if a is not None and b is not None and a != b]
+    root = union_find(real)
+    assert got == {n: root(n) for e in real for n in e}
+
+
+def test_blocks_bring_all_pairs_together_once(spark):
+    rows = [(1, i) for i in range(50)] + [(2, 100), (3, 200), (3, 201)]
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame(rows, "bucket long, node long").withColumn("h", F.xxhash64("node"))
+    tasks = defaultdict(list)
+    for r in deal(df, "bucket", "h", 8).collect():
+        tasks[r.bucket, r.left, r.right].append((r.block, r.node))
+    met = Counter()
+    for (_, left, right), members in tasks.items():
+        assert len(members) <= 40
+        for i, (x, a) in enumerate(members):
+            for y, b in members[i + 1:]:
+                if {x, y} == {left, right}:
+                    met[min(a, b), max(a, b)] += 1
+    want = {(a, b) for a in range(50) for b in range(a + 1, 50)} | {(200, 201)}
+    assert set(met) == want and set(met.values()) == {1}
+
+
+# --- MinHash ---------------------------------------------------------------------------------
+
+def shingle_set(text, k):
+    found = re.findall(r"[^\x20\x09-\x0D]+", re.sub(
+        "[A-Z]", lambda m: m.group().lower(), text or ""))
+    return frozenset(tuple(found[i:i + k]) for i in range(max(1, len(found) - k + 1))) \
+        if found else frozenset()
+
+
+def brute_components(rows, k):
+    """component_id of every row; rows without words are their own."""
+    sets = [shingle_set(t, k) for _, t in rows]
+    root = union_find([(i, j) for i in range(len(rows)) for j in range(i) if sets[i] and sets[j]
+                       and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])])
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        if sets[i] and d is not None:
+            least[root(i)] = min(d, least.get(root(i), d))
+    return [(d, len(sets[i]), least.get(root(i)) if sets[i] else d) for i, (d, _) in enumerate(rows)]
+
+
+def near_copies(seed=0):
+    """Groups of near copies around the threshold, chains, copies and shared passages."""
+    rng = random.Random(seed)
+    words = vocabulary(400, seed)
+    passage = " ".join(rng.choice(words) for _ in range(60))
+    rows, next_id = [], 0
+    for group in range(25):
+        base = [rng.choice(words) for _ in range(rng.randint(5, 120))]
+        for _ in range(rng.randint(1, 8)):
+            copy = list(base)
+            for _ in range(rng.randint(0, max(1, len(base) // 20))):
+                copy[rng.randrange(len(copy))] = rng.choice(words)
+            if group % 5 == 0:
+                copy += passage.split()
+            if rng.random() < 0.3:
+                base = copy  # a chain of copies of copies
+            rows.append((next_id * 7 % 1009, " ".join(copy)))
+            next_id += 1
+    return rows + [(2000 + i, rows[0][1]) for i in range(40)]
+
+
+@pytest.mark.parametrize("k", [4, 5])
+@pytest.mark.parametrize("block_rows", [3, 2048])
+def test_near_duplicates_against_all_pairs(docs_of, k, block_rows):
+    rows = near_copies(k) + EDGES
+    got = minhash.near_duplicates(docs_of(rows, clashing=True), words=k,
+                                  block_rows=block_rows).collect()
+    want = brute_components(rows, k)
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == Counter(want)
+    assert all(r.kept == (r.doc_id is not None and r.doc_id == r.component_id) for r in got)
+
+
+def test_one_of_each_group_stays(docs_of):
+    rows = near_copies(9) + EDGES
+    docs = docs_of(rows, clashing=True)
+    kept = minhash.deduplicated(docs, words=4)
+    assert kept.columns == docs.columns
+    got = Counter((r.doc_id, r.text) for r in kept.collect())
+    want = brute_components(rows, 4)
+    groups = defaultdict(list)
+    for (d, t), (_, n, c) in zip(rows, want, strict=True):
+        groups[c if n and c is not None else (d, t, n)].append((d, t))
+    for key, members in groups.items():
+        stay = sum((got & Counter(members)).values())
+        no_words = isinstance(key, tuple) and key[2] == 0
+        assert stay == (len(members) if no_words else 1), key
+    assert all(got[d, t] for (d, t), (_, n, c) in zip(rows, want, strict=True)
+               if n and d is not None and d == c)
+    assert minhash.deduplicated(docs_of([])).count() == 0
+
+
+def test_supermin_signatures():
+    """Unbiased, equal for equal sets, and closer to the truth than the binomial spread."""
+    rng = np.random.default_rng(1)
+    errors = []
+    for _ in range(60):
+        union = rng.integers(0, 1 << 63, 90, np.int64).astype(np.uint64)
+        a, b = np.unique(union[:80]), np.unique(union[10:])
+        sa, sb = minhash.signatures([a, b])
+        errors.append((sa == sb).mean() - 70 / 90)
+    spread = (70 / 90 * 20 / 90 / 160) ** 0.5
+    assert abs(np.mean(errors)) < 3 * spread / 60 ** 0.5
+    assert np.std(errors) < spread
+    sets = [np.array([5], np.uint64), np.arange(3, dtype=np.uint64), np.arange(9999, dtype=np.uint64)]
+    together = minhash.signatures(sets)
+    alone = np.concatenate([minhash.signatures([s]) for s in sets])
+    assert (together == alone).all()
+    assert (together < np.iinfo(np.uint64).max).all()
+
+
+def test_signature_against_the_algorithm_step_by_step():
+    """Element by element with an explicit permutation for each."""
+    elements = np.random.default_rng(3).integers(0, 1 << 63, 7, np.int64).astype(np.uint64)
+    places = 16
+    want = [1 << 64] * places
+    for e in elements.tolist():
+        perm = list(range(places))
+        for step in range(places):
+            x = int(minhash.mix(np.array([(e + (step + 1) * 0x9E3779B97F4A7C15) % 2 ** 64],
+                                         np.uint64))[0])
+            k = step + ((x >> 32) * (places - step) >> 32)
+            perm[step], perm[k] = perm[k], perm[step]
+            offer = step << 56 | int(minhash.mix(np.array([x], np.uint64))[0]) >> 8
+            want[perm[step]] = min(want[perm[step]], offer)
+    assert minhash.signatures([elements], places)[0].tolist() == want
+
+
+# --- embeddings ------------------------------------------------------------------------------
+
+def vectors():
+    rng = np.random.default_rng(7)
+    rows, n = [], 0
+    for _ in range(30):
+        centre = rng.standard_normal(12)
+        for _ in range(rng.integers(1, 9)):
+            rows.append((n, (centre + rng.standard_normal(12) * 0.35).astype("f4").tolist()))
+            n += 1
+    rows += [(500 + i, rows[0][1]) for i in range(30)]
+    rows += [(600, None), (601, []), (602, [0.0] * 12), (603, [float("nan")] * 12),
+             (604, [1.0, None] * 6), (605, [1.0, 2.0]), (606, [2.0, 4.0]), (607, [float("inf")] * 12),
+             (None, rows[5][1]), (608, [1e30] * 12), (609, [1e-30] * 12)]
+    return rows
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+@pytest.mark.parametrize("block_rows", [3, 2048])
+def test_embeddings_against_all_pairs(spark, kind, block_rows):
+    rows = vectors()
+    got = embedding_dedup.near_duplicates(
+        spark.createDataFrame([(*r, 1, 2) for r in rows],
+                              f"vec_id long, embedding array<{kind}>, node int, copies int"),
+        block_rows=block_rows).collect()
+    ok = [i for i, (_, v) in enumerate(rows) if v and all(
+        x is not None and np.isfinite(np.float32(x)) for x in v) and any(v)]
+    unit = {}
+    for i in ok:
+        v = np.array(rows[i][1], kind if kind == "double" else "f4").astype(float)
+        v /= abs(v).max()
+        unit[i] = v / np.linalg.norm(v)
+    links = [(i, j) for i in ok for j in ok if i != j and len(unit[i]) == len(unit[j])
+             and unit[i] @ unit[j] >= 0.9]
+    root = union_find(links)
+    least = {}
+    for i, (v, _) in enumerate(rows):
+        if v is not None:
+            least[root(i)] = min(v, least.get(root(i), v))
+    degree = Counter(i for i, _ in links)
+    want = Counter((v, degree[i], least.get(root(i)) if i in ok else v) for i, (v, _) in enumerate(rows))
+    assert Counter((r.vec_id, r.n_links, r.component_id) for r in got) == want
+    assert all(r.kept == (r.vec_id is not None and r.vec_id == r.component_id) for r in got)
+
+
+def test_no_vectors(spark):
+    assert embedding_dedup.near_duplicates(
+        spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+# --- mixing ----------------------------------------------------------------------------------
+
+def brute_targets(sizes, weights=(1, 2, 3), most=3):
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode())
+    names += [None] * (None in sizes)
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    total, limited = sum(sizes.values()), set()
+    while True:
+        free = [s for s in names if s not in limited]
+        left = total - sum(most * sizes[s] for s in limited)
+        level = left / sum(weight[s] for s in free) if free else 0
+        over = {s for s in free if level * weight[s] > most * sizes[s]}
+        if not over:
+            return {s: most * sizes[s] if s in limited else level * weight[s] for s in names}
+        limited |= over
+
+
+def mixed_docs(seed, sources):
+    rng = random.Random(seed)
+    words = vocabulary(50, seed)
+    return [(i, " ".join(rng.choice(words) for _ in range(rng.randint(0, 30))), rng.choice(sources))
+            for i in range(400)]
+
+
+@pytest.mark.parametrize("sources", [
+    ["b", "a", None, "é"], ["a"] * 30 + ["b", "c"], ["x"], ["a"] * 50 + ["tiny", "huge", "z", None]])
+def test_every_source_meets_its_target(docs_of, sources):
+    rows = mixed_docs(1, sources) + [(*e, "edges") for e in EDGES]
+    docs = docs_of(rows, clashing=True)
+    got = mixing.mix(docs).collect()
+    assert len(got) == len(rows)
+    size = Counter()
+    taken, target = Counter(), {}
+    for r in got:
+        assert r.size == len(re.findall(r"[^\x20\x09-\x0D]+", r.doc.text or ""))
+        words = r.times * r.size + r.part
+        assert 0 <= words <= 3 * r.size
+        size[r.doc.source] += r.size
+        taken[r.doc.source] += words
+        target[r.doc.source] = r.target
+    want = brute_targets(size)
+    for s in size:
+        assert target[s] == pytest.approx(want[s])
+        assert -3 <= taken[s] - target[s] <= 1e-6, s
+    again = {(r.doc.doc_id, r.doc.text): (r.times, r.part) for r in mixing.mix(docs.repartition(7)).collect()}
+    assert again == {(r.doc.doc_id, r.doc.text): (r.times, r.part) for r in got}
+
+
+def test_mixed_rows_carry_the_words(docs_of):
+    docs = docs_of(mixed_docs(2, ["a", "b", "c"]), clashing=True)
+    plan = mixing.mix(docs).collect()
+    rows = mixing.mixed_rows(docs)
+    assert rows.columns == docs.columns
+    got = Counter()
+    for r in rows.collect():
+        got[r.doc_id] += len((r.text or "").split())
+    assert got == Counter({r.doc.doc_id: r.times * r.size + r.part for r in plan
+                           if r.times * r.size + r.part})
+    cut = [r for r in plan if r.part]
+    texts = {(r.doc_id, r.text) for r in rows.collect()}
+    assert cut
+    for r in cut:
+        assert any(d == r.doc.doc_id and r.doc.text.startswith(t) and len(t.split()) == r.part
+                   for d, t in texts)
+
+
+def test_equal_rows_at_the_cut_share_it(docs_of):
+    docs = docs_of([(1, "a b c d e", "s")] * 60 + [(2, "x " * 900, "t"), (3, "y " * 100, "u")])
+    got = mixing.mix(docs).collect()
+    assert len({(r.times, r.part) for r in got if r.doc.doc_id == 1}) == 1
+    total = sum(r.times * r.size + r.part for r in got if r.doc.source == "s")
+    assert abs(total - got[0].target) <= 60
+    assert mixing.mix(docs_of([])).count() == 0 and mixing.mixed_rows(docs_of([])).count() == 0
+
+
+# --- packing ---------------------------------------------------------------------------------
+
+def check_packing(rows, texts, length):
+    """Every document's tokens are there, and sequences have no gaps and are full at most."""
+    from tokenizers import Tokenizer
+
+    reference = Tokenizer.from_file(BPE)
+    want = Counter()
+    total = 0
+    for doc_id, text in texts:
+        ids = reference.encode(text or "", add_special_tokens=False).ids + [0]
+        total += len(ids)
+        start, stop = 0, (len(ids) - 1) % length + 1
+        piece = 0
+        while start < len(ids):
+            crc = zlib.crc32(np.array(ids[start:stop], "<u4").tobytes())
+            want[doc_id, piece, start, stop - start, crc] += 1
+            start, stop, piece = stop, stop + length, piece + 1
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == want
+    sequences = defaultdict(list)
+    for r in rows:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for parts in sequences.values():
+        at = 0
+        for offset, size in sorted(parts):
+            assert offset == at
+            at += size
+        assert at <= length
+    return len(sequences), -(-total // length)
+
+
+@pytest.mark.parametrize("ranks", [None, RANKS])
+def test_packing(docs_of, ranks):
+    rng = random.Random(8)
+    words = vocabulary(200, 8)
+    texts = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(0, 90)))) for i in range(500)]
+    texts += EDGES + [(99, "<|endoftext|> is text"), (98, " " * 3000), (97, "z" * 20000)]
+    rows = packing.pack_documents(docs_of(texts, clashing=True), BPE, ranks=ranks, length=128,
+                                  part_rows=100).collect()
+    used, least = check_packing(rows, texts, 128)
+    assert used <= least * 1.02 + 1
+    assert packing.pack_documents(docs_of([]), BPE).count() == 0
+
+
+def test_best_fit_and_bounds():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        capacity = int(rng.integers(10, 60))
+        sizes = rng.integers(1, capacity, int(rng.integers(0, 12)))
+        bins, offsets, fill = packing.best_fit_decreasing(sizes, capacity)
+        assert all(f <= capacity for f in fill) and sum(fill) == sizes.sum()
+        for b in range(len(fill)):
+            own = sorted(zip(offsets[bins == b], sizes[bins == b], strict=True))
+            assert [o for o, _ in own] == np.cumsum([0, *[s for _, s in own]])[:-1].tolist()
+        # The bound never exceeds the best packing.
+        best = len(fill)
+        items = sorted(sizes.tolist(), reverse=True)
+
+        def search(i, loads):
+            nonlocal best
+            if len(loads) >= best:
+                return
+            if i == len(items):
+                best = len(loads)
+                return
+            for k in range(len(loads)):
+                if loads[k] + items[i] <= capacity:
+                    search(i + 1, loads[:k] + [loads[k] + items[i]] + loads[k + 1:])
+            search(i + 1, [*loads, items[i]])
+
+        search(0, [])
+        assert packing.lower_bound(sizes, capacity) <= best <= len(fill)
+    assert packing.lower_bound(np.array([6, 6, 6, 4]), 10) == 3
+
+
+# --- language --------------------------------------------------------------------------------
+
+ENGLISH = "the river runs under the old bridge and through the wide green valley to the sea "
+GERMAN = "der fluss fließt unter der alten brücke durch das weite grüne tal hinab zum meer "
+
+
+def language_docs():
+    rng = random.Random(3)
+    rows = []
+    for i in range(80):
+        lang, words = (("en", ENGLISH) if i % 2 else ("de", GERMAN))
+        rows.append((i, " ".join(rng.choice(words.split()) for _ in range(30)),
+                     f"host{i % 2}", lang))
+    return rows
+
+
+def test_language_follows_text_declaration_and_host(spark, docs_of):
+    from pyspark.sql import functions as F
+
+    known = docs_of(language_docs())
+    model = language.train(known)
+    assert model.languages == ["de", "en", "und"]
+    rows = [*language_docs(), (100, ENGLISH, "host0", None), (101, "zz", "host1", "en"),
+            (102, "zz", "host0", "de"), (103, "12 34 !!", "host0", "de"), (104, None, None, None),
+            (105, "日本語の文章です" * 9, None, None), (106, "", "host1", "en")]
+    docs = docs_of(rows, clashing=True)
+    got = {r.doc.doc_id: r for r in language.identify(
+        docs, model, declared=F.col("lang"), host=F.col("source")).collect()}
+    assert len(got) == len(rows)
+    assert all(got[r[0]].lang == r[3] and got[r[0]].kept for r in language_docs())
+    assert got[100].lang == "en"                                # text against host
+    assert (got[101].lang, got[102].lang) == ("en", "de")       # the text says nothing
+    assert not any(got[i].kept for i in (103, 104, 105, 106))
+
+
+def test_posterior_is_the_product_of_the_evidence(docs_of):
+    """Priors and likelihoods recomputed in plain Python."""
+    from pyspark.sql import functions as F
+
+    rows = [*language_docs(), (200, "der the", "host1", "en"), (201, "das", "other", None)]
+    model = language.train(docs_of(rows))
+    got = {r.doc.doc_id: r for r in language.identify(
+        docs_of(rows), model, declared=F.col("lang"), host=F.col("source")).collect()}
+    k = len(model.languages)
+    evidence = {d: model.log_likelihoods(t)[1] for d, t, *_ in rows}
+    best = {d: int(np.argmax(e)) for d, e in evidence.items()}
+    every = np.bincount(list(best.values()), minlength=k)
+    overall = (every + 1) / (every.sum() + k)
+    by_host, by_word = defaultdict(lambda: np.zeros(k)), defaultdict(lambda: np.zeros(k))
+    for d, _, host, lang in rows:
+        by_host[host][best[d]] += 1
+        if lang:
+            by_word[lang][best[d]] += 1
+    for d, _, host, lang in rows:
+        prior = (by_host[host] + 20 * overall) / (by_host[host].sum() + 20)
+        says = (by_word[lang] + by_word[lang].sum() / len(rows)) / (every + 1) if lang else 1
+        post = np.exp(evidence[d] - evidence[d].max()) * prior * says
+        assert got[d].confidence == pytest.approx((post / post.sum()).max(), rel=1e-6)
+
+
+def test_pages_and_their_addresses(spark):
+    from pyspark.sql import functions as F
+
+    rows = [("https://user@www.Example.de:80/a?b#c", '<HTML class=x lang="de-AT"><b>x</b>'),
+            ("http://m.site.org", "<html lang=en>"), ("nonsense", "<html>"), (None, None)]
+    df = spark.createDataFrame(rows, "url string, html string")
+    host, suffix = language.host_of(F.col("url"))
+    got = df.select(host.alias("h"), suffix.alias("s"),
+                    language.declared_of(F.col("html")).alias("d")).collect()
+    assert [tuple(r) for r in got] == [("www.example.de", "de", "de"), ("m.site.org", "org", "en"),
+                                       (None, None, None), (None, None, None)]
+    page = "<style>p{}</style><p>Text <b>bold</b></p><!-- no --><script>if (a<b) x()</script>"
+    shown = spark.createDataFrame([(page,)], "html string").select(
+        language.visible_text(F.col("html")).alias("t")).first().t
+    assert shown.split() == ["Text", "bold"]
+
+
+def test_no_labels_no_rows(docs_of):
+    model = language.train(docs_of([(1, "some text")]))
+    assert model.languages == ["und"]
+    assert not language.identify(docs_of([(1, "some text")]), model).first().kept
+    assert language.identified(docs_of([])).count() == 0
+
+
+# --- pipeline --------------------------------------------------------------------------------
+
+def test_stages_and_their_rows(spark, docs_of, tmp_path):
+    """Each stage's rows against what the brute-force versions make of its input."""
+    rng = random.Random(1)
+    english, german = ENGLISH.split(), GERMAN.split()
+    rows = []
+    for i in range(120):
+        words = english if i % 3 else german
+        rows.append((i, " ".join(rng.choice(words) for _ in range(rng.randint(12, 60))),
+                     f"s{i % 4}", "en" if i % 3 else "de"))
+    rows += [(200 + i, rows[5][1], "s9", "en") for i in range(5)]
+    rows += [(300, "write to someone@mail.example or +1 (202) 555-0143 " + rows[8][1], "s1", "en"),
+             (301, "12345 6789", "s1", "en"), (302, None, None, None), (303, "", "s2", "de")]
+    docs_of(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "language", "near_duplicates", "personal_data", "mixing", "packing"]
+    frames = [spark.read.parquet(f"{tmp_path}/documents.parquet")]
+    columns = frames[0].columns
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, frames[-1], str(tmp_path))
+        out.write.parquet(f"{tmp_path}/{name}")
+        frames.append(spark.read.parquet(f"{tmp_path}/{name}"))
+    assert all(f.columns == columns for f in frames[:-1])
+    texts = [Counter((r.doc_id, r.text) for r in f.collect()) for f in frames[:-1]]
+    assert set(texts[0]) - set(texts[1]) == {(301, "12345 6789"), (302, None), (303, "")}
+    want = brute_components(list(texts[1]), 5)
+    assert set(d for d, _ in texts[2]) == {c for _, _, c in want}
+    changed = set(texts[2]) - set(texts[3])
+    assert {d for d, _ in changed} == {300} and len(texts[3]) == len(texts[2])
+    mixed = mixing.mix(frames[3]).collect()
+    assert sum(texts[4].values()) == sum(r.times + (r.part > 0) for r in mixed)
+    check_packing(frames[5].collect(), [(d, t) for (d, t), n in texts[4].items() for _ in range(n)],
+                  2048)
+    whole = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    key = ("doc_id", "piece", "start", "length", "ids_crc32")
+    assert Counter(tuple(r[k] for k in key) for r in whole) == Counter(
+        tuple(r[k] for k in key) for r in frames[5].collect())
