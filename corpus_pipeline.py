@@ -14,6 +14,7 @@ from netrollup.llm import language, minhash, mixing, packing, pii
 from netrollup.llm.common import staged, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def _sized(docs: DataFrame) -> DataFrame:
@@ -43,7 +44,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of tokenised documents and their places in sequences."""
-    return packing.pack_documents(docs, TOKENIZER)
+    return packing.pack_documents(docs, TOKENIZER, ranks=RANKS)
 
 
 STAGES = [

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from netrollup.llm import license as notices
 from netrollup.llm import embedding_dedup, language, minhash, mixing, packing, pii, quality, rules, token_counts
 from netrollup.llm.common import table
+from netrollup.llm.oracle import ORACLE as ORACLE
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 HELD_OUT = "pmod(crc32(cast(cast(doc_id as string) as binary)), 4) = 2"
 POLICY = "v2"
@@ -50,7 +52,7 @@ def op2_language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), BPE)
+    return packing.pack_documents(table(spark, sf_dir, "documents"), BPE, ranks=RANKS)
 
 
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,5 +111,3 @@ QUERIES = {
     "op10_mixing": op10_mixing,
     "pipeline": corpus_pipeline.run,
 }
-
-ORACLE: dict[str, str] = {}
