@@ -5,26 +5,38 @@
     spark-submit -m netrollup replay vpe --archive <dir> --tables <dir>
 
 Further reader options (say, security settings) come from the environment, as
-``NETROLLUP_KAFKA_<option>``.
+``NETROLLUP_KAFKA_<option>``.  ``--sink-format`` hands the rows to a connector that upserts
+on ``_id``, in place of the parquet tables; its options, such as the address and that fields
+which are not sent are kept, come as ``NETROLLUP_SINK_<option>``.
 """
 
 from __future__ import annotations
 
 import argparse
+import logging
 import signal
 import sys
 
 from pyspark.sql import SparkSession
 
-from netrollup.plans.batch import replay_tables
+from netrollup.plans.batch import replay_all
 from netrollup.plans.specs import PROGRAMS
 from netrollup.session import REPLAY, STREAM, tune
 from netrollup.sinks.other import env_options
 from netrollup.sources.files import read_archive
 from netrollup.sources.kafka import kafka_options, read_kafka
 from netrollup.streaming.arrival import arrival_stream
-from netrollup.streaming.common import await_any, stop_gracefully, table_sink, write_tables
-from netrollup.streaming.event_time import event_stream, quarantine_stream
+from netrollup.streaming.common import (
+    Sink,
+    await_any,
+    external_sink,
+    stop_gracefully,
+    table_sink,
+    write_tables,
+)
+from netrollup.streaming.event_time import event_stream
+
+_LOG = logging.getLogger("netrollup")
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -36,43 +48,57 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     stream.add_argument("--starting", default="latest")
     stream.add_argument("--rate", type=int, help="records per second and partition")
     stream.add_argument("--partitions", type=int, help="topic partitions, for --rate")
-    stream.add_argument("--quarantine", help="folder for malformed lines")
     stream.add_argument("--event-time", action="store_true")
-    stream.add_argument("--delay", default="10 minutes", help="watermark, with --event-time")
+    stream.add_argument("--trigger", type=int, default=60,
+                        help="seconds between batches, with --event-time")
     replay = sub.add_parser("replay", help="roll up an archive of raw lines")
     replay.add_argument("--archive", required=True)
     replay.add_argument("--on", choices=("event", "arrival"), default="event")
     for command in (stream, replay):
         command.add_argument("program", choices=[*PROGRAMS, "all"])
-        command.add_argument("--tables", required=True)
+        command.add_argument("--tables", help="folder of the parquet tables")
+        command.add_argument("--sink-format", help="connector to write with instead")
+        command.add_argument("--sink-table-option", default="collection",
+                             help="the connector's option that takes a table's name")
+        command.add_argument("--quarantine", help="folder for malformed lines")
         command.add_argument("--slice", type=int, default=3600,
                              help="table slice, seconds; the same for a table's life")
         command.add_argument("--window", type=int, default=300, help="window, seconds")
         command.add_argument("--compat-float32", action="store_true")
-    return parser.parse_args(argv)
+    args = parser.parse_args(argv)
+    if bool(args.tables) == bool(args.sink_format):
+        parser.error("give either --tables or --sink-format")
+    return args
 
 
 def chosen(program: str) -> dict[str, tuple]:
     return PROGRAMS if program == "all" else {program: PROGRAMS[program]}
 
 
+def sink_of(args: argparse.Namespace) -> Sink:
+    if args.sink_format:
+        return external_sink(args.sink_format, env_options("NETROLLUP_SINK"),
+                             args.sink_table_option)
+    return table_sink(args.tables, args.slice)
+
+
 def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
-    sink = table_sink(args.tables, args.slice)
+    sink = sink_of(args)
+    trigger_s = args.trigger if args.event_time else args.window
     for name, specs in chosen(args.program).items():
         topics = list(dict.fromkeys(s.topic for s in specs))
         raw = read_kafka(spark, kafka_options(
-            args.servers, topics, args.starting, args.rate, args.partitions, args.window,
+            args.servers, topics, args.starting, args.rate, args.partitions, trigger_s,
             env_options("NETROLLUP_KAFKA"),
         ))
         common = {"window_s": args.window, "compat_float32": args.compat_float32, "name": name}
         progress = f"{args.checkpoint}/{name}"
         bad = args.quarantine and f"{args.quarantine}/{name}"
-        if not args.event_time:
+        if args.event_time:
+            event_stream(raw, specs, sink, progress, trigger_s=trigger_s, quarantine_path=bad,
+                         **common)
+        else:
             arrival_stream(raw, specs, sink, progress, quarantine_path=bad, **common)
-            continue
-        event_stream(raw, specs, sink, progress, delay=args.delay, **common)
-        if bad:
-            quarantine_stream(raw, bad, f"{progress}-quarantine", name=f"{name}-quarantine")
     # A stop request ends the program after the windows in flight are written.
     signal.signal(signal.SIGTERM, lambda *_: sys.exit(0))
     try:
@@ -85,9 +111,15 @@ def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
 def run_replay(spark: SparkSession, args: argparse.Namespace) -> None:
     raw = read_archive(spark, args.archive)
     specs = [s for group in chosen(args.program).values() for s in group]
-    tables = replay_tables(raw, specs, args.window, args.on, args.compat_float32)
-    sink = table_sink(args.tables, args.slice)
-    write_tables(spark, [(tables[s.table], s) for s in specs], sink)
+    done = replay_all(raw, specs, args.window, args.on, args.compat_float32)
+    try:
+        write_tables(spark, [(done.tables[s.table], s) for s in specs], sink_of(args))
+        if args.quarantine:
+            done.malformed.write.mode("append").parquet(args.quarantine)
+        if n_bad := done.malformed.count():
+            _LOG.warning("%d malformed lines%s", n_bad, "" if args.quarantine else ", not kept")
+    finally:
+        done.release()
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import time
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netrollup.functions import bucket_ms, doc_key, epoch_seconds_ntz, ratio, round2
 from netrollup.operators.parse import parse, quarantine
 from netrollup.operators.route import route
-from netrollup.plans.batch import replay, replay_tables, route_counts
+from netrollup.plans.batch import replay, replay_all, replay_tables, route_counts
 from netrollup.plans.specs import BY_KEY, PROGRAMS, ROLLUPS
 from netrollup.shared import new_path, stage
 from netrollup.sinks.merge import merge, read_table
+from netrollup.sources.files import stream_archive, write_archive
 from netrollup.sources.sample import raw_from_events, read_events, sample_raw
 from netrollup.streaming.arrival import arrival_stream
 from netrollup.streaming.common import table_sink
@@ -121,18 +123,42 @@ def r06_float32(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay(sample_raw(spark, sf_dir), spec, window_s=DAY, compat_float32=True)
 
 
-def _on_common_columns(tables: dict[str, DataFrame]) -> DataFrame:
-    """All tables below each other, on the columns they share."""
-    return reduce(DataFrame.unionByName, [
-        df.select(F.lit(name).alias("table_name"), "fabric", "_id", "timestamp", "dealTime",
-                  "timeType")
-        for name, df in tables.items()
-    ])
+def _long(name: str, table: DataFrame) -> DataFrame:
+    """Every column of every row of a table as a row of its own."""
+    cells = []
+    for column, kind in table.dtypes:
+        if column not in ("_id", "dealTime"):
+            text, number = F.lit(None).cast("string"), F.lit(None).cast("double")
+            if kind == "string":
+                text = F.col(column)
+            else:
+                number = F.col(column).cast("double")
+            cells.append(F.struct(F.lit(column).alias("column_name"), text.alias("text"),
+                                  number.alias("number")))
+    return table.select(F.lit(name).alias("table_name"), "_id", "dealTime",
+                        F.explode(F.array(*cells)).alias("cell")).select(
+        "table_name", "_id", "dealTime", "cell.*")
+
+
+def _all_long(tables: dict[str, DataFrame]) -> DataFrame:
+    """All columns of all tables."""
+    return reduce(DataFrame.unionByName, [_long(name, df) for name, df in tables.items()])
 
 
 def all_tables_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 13 tables from one pass per topic."""
-    return _on_common_columns(replay_tables(sample_raw(spark, sf_dir), ROLLUPS, window_s=DAY))
+    return _all_long(replay_tables(sample_raw(spark, sf_dir), ROLLUPS, window_s=DAY))
+
+
+def op_replay_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables and malformed lines of one replay."""
+    specs = [BY_KEY["r11_vpe_delay"], FLOW]
+    done = replay_all(sample_raw(spark, sf_dir, CUT_EVERY), specs, window_s=DAY)
+    bad = done.malformed.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+    return _all_long(done.tables).unionByName(bad.select(
+        F.lit("malformed").alias("table_name"), F.col("topic").alias("_id"),
+        F.lit(None).cast("long").alias("dealTime"), F.lit("n_lines").alias("column_name"),
+        F.lit(None).cast("string").alias("text"), F.col("n").cast("double").alias("number")))
 
 
 def op_upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,17 +205,71 @@ def stream_arrival_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _one_arrival_window(spark, sf_dir, [spec])[spec.table]
 
 
-def stream_program(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The provider-edge program: two topics, six tables, one stream."""
-    return _on_common_columns(_one_arrival_window(spark, sf_dir, PROGRAMS["vpe"]))
+def _program(name: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _all_long(_one_arrival_window(spark, sf_dir, PROGRAMS[name]))
+
+    return run
+
+
+def _archive(events: DataFrame, path: str, part_of: Column, parts: int) -> None:
+    """Raw lines in an archive with one file for each part, in this order."""
+    for part in range(parts):
+        write_archive(raw_from_events(events.where(part_of == part))
+                      .where(F.col("topic") == FLOW.topic).coalesce(1), path)
+        time.sleep(0.01)
+
+
+def stream_arrival_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream is stopped and started again within one window."""
+    spec = BY_KEY["r10_vpe_peer_flow"]
+    path, events = new_path(spark, "restart"), read_events(spark, sf_dir)
+    for half in range(2):
+        _archive(events.where(F.col("event_id") % 2 == half), f"{path}/raw", F.lit(0), 1)
+        arrival_stream(
+            stream_archive(spark, f"{path}/raw"), [spec], table_sink(f"{path}/tables"),
+            f"{path}/progress", clock=f"timestamp_seconds({ARRIVAL_CLOCK})", available_now=True,
+        ).awaitTermination()
+    return read_table(spark, f"{path}/tables/{spec.table}").select(spec.columns)
+
+
+def stream_arrival_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several batches, each with lines of every window."""
+    path = new_path(spark, "windows")
+    _archive(read_events(spark, sf_dir), f"{path}/raw", F.col("event_id") % 3, 3)
+    arrival_stream(
+        stream_archive(spark, f"{path}/raw", files_per_trigger=1), [FLOW],
+        table_sink(f"{path}/tables", slice_s=DAY), f"{path}/progress", window_s=DAY,
+        clock="arrival", available_now=True,
+    ).awaitTermination()
+    return read_table(spark, f"{path}/tables/{FLOW.table}").select(FLOW.columns)
 
 
 def stream_event_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The windows the watermark has closed by the end of the events."""
+    """All windows of a bounded run, the last one included."""
     path = new_path(spark, "event")
     event_stream(
         _stream_raw(spark, sf_dir), [FLOW], table_sink(f"{path}/tables", slice_s=DAY),
-        f"{path}/progress", window_s=DAY, delay="1 hour", available_now=True,
+        f"{path}/progress", window_s=DAY, available_now=True,
+    ).awaitTermination()
+    return read_table(spark, f"{path}/tables/{FLOW.table}").select(FLOW.columns)
+
+
+def stream_event_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches from the newest lines to the oldest; the newest of all is 20 hours ahead."""
+    path, events = new_path(spark, "late"), read_events(spark, sf_dir)
+    # Two numbers.
+    newest, last = events.agg(F.max(F.when(F.col("event_id") % 11 == 7, F.col("event_id"))),
+                              F.max("event_id")).first()
+    ahead = events.withColumn("ts", F.when(
+        F.col("event_id") == newest, F.col("ts") + F.expr("interval 20 hours")
+    ).otherwise(F.col("ts")))
+    part = F.lit(2) - F.least(F.lit(2), F.floor(F.col("event_id") * 3 / (last + 1)))
+    _archive(ahead, f"{path}/raw", part, 3)
+    event_stream(
+        stream_archive(spark, f"{path}/raw", files_per_trigger=1), [FLOW],
+        table_sink(f"{path}/tables", slice_s=DAY), f"{path}/progress", window_s=DAY,
+        available_now=True,
     ).awaitTermination()
     return read_table(spark, f"{path}/tables/{FLOW.table}").select(FLOW.columns)
 
@@ -198,9 +278,14 @@ QUERIES = {
     f.__name__: f
     for f in (
         op_route_counts, op_cpe_flag_route, op_quarantine, op_after_quarantine,
-        op_lenient_numbers, op_array_lines, op_bucket5,
+        op_lenient_numbers, op_array_lines, op_replay_quarantine, op_bucket5,
         op_bucket5_float32, op_doc_key_null, op_ratio_zero, r09_at_300s, r09_by_arrival,
         r06_float32, all_tables_one_pass, op_upsert_merge, op_upsert_collisions,
-        stream_arrival_rollup, stream_program, stream_event_rollup,
+        stream_arrival_rollup, stream_arrival_restart, stream_arrival_windows,
+        stream_event_rollup, stream_event_late,
     )
+} | {
+    "stream_program": _program("vpe"),
+    "stream_program_cpe": _program("cpe"),
+    "stream_program_ce": _program("ce"),
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from netrollup.plans.specs import BY_KEY, PROGRAMS
+
 # Every event with its route number and the fields its message would carry.
 _TELEMETRY = """
 with t as (
@@ -36,7 +38,7 @@ _FAULTS = "cast(floor(e / 50) as bigint)"
 
 def _rollup(keys: dict[str, str], outputs: dict[str, str], route: str, id_parts: list[str],
             window: str = "w", stamp: str = _STAMP, deal: str | None = None,
-            having: str = "", also: list[str] | None = None) -> str:
+            also: list[str] | None = None) -> str:
     """SELECT for one roll-up: named key expressions, named aggregate outputs.
 
     Rows are grouped on the keys that are plain columns, and on the columns ``also``
@@ -52,7 +54,7 @@ def _rollup(keys: dict[str, str], outputs: dict[str, str], route: str, id_parts:
     group = ", ".join(dict.fromkeys(
         x for x in [window, *keys.values(), *(also or [])] if "'" not in x and not x.isdigit()))
     return (f"{_TELEMETRY} select {', '.join(cols)} from m where {route} "
-            f"group by {group} {having}")
+            f"group by {group}")
 
 
 def _device(tag: str) -> dict[str, str]:
@@ -75,8 +77,8 @@ _PORT_KEYS = _device("vpePort") | {"ifName": "eth"}
 _PEER_KEYS = _device("vpePort") | {"peer": "'peer-' || p"}
 
 
-def _flow(keys: dict[str, str], id_parts: list[str], **options) -> str:
-    return _rollup(keys, _FLOW | _RATES, "route = 7", id_parts, **options)
+def _flow(keys: dict[str, str], id_parts: list[str], extra: str = "", **options) -> str:
+    return _rollup(keys, _FLOW | _RATES, f"route = 7{extra}", id_parts, **options)
 
 
 _R6_KEYS = _device("vpe")
@@ -161,11 +163,24 @@ def _tables(**options) -> dict[str, str]:
     }
 
 
-def _on_common_columns(tables: dict[str, str]) -> str:
-    """All tables below each other, on the columns they share."""
-    return " union all ".join(
-        f"select 'network_{name[4:]}' as table_name, fabric, _id, timestamp, dealTime,"
-        f" timeType from ({sql})" for name, sql in tables.items())
+def _long(key: str, sql: str) -> str:
+    """Every column of every row of a table as a row of its own."""
+    spec = BY_KEY[key]
+    cells = []
+    for column in spec.columns:
+        if column not in ("_id", "dealTime"):
+            is_text = column in spec.keys or column == "timeType"
+            text = f'"{column}"' if is_text else "null::varchar"
+            number = "null::double" if is_text else f'"{column}"::double'
+            cells.append(f"{{'column_name': '{column}', 'text': {text}, 'number': {number}}}")
+    return (f"select '{spec.table}' as table_name, _id, dealTime, cell.column_name, cell.text,"
+            f" cell.number from (select _id, dealTime, unnest([{', '.join(cells)}]) as cell"
+            f" from ({sql}))")
+
+
+def _all_long(tables: dict[str, str]) -> str:
+    """All columns of all tables."""
+    return " union all ".join(_long(key, sql) for key, sql in tables.items())
 
 
 _TABLES = _tables()
@@ -174,6 +189,24 @@ _R5, _R9 = _TABLES["r05_cpe_pop"], _TABLES["r09_vpe_interface"]
 # The same for one arrival window, labelled by hand.
 _ONE_WINDOW = _tables(window="1706745600", deal="1706745600000")
 
+
+def _one_row_each(sql: str) -> str:
+    """Of the rows of this roll-up that share a key, the one that the table keeps."""
+    return f"""
+        select * exclude (rn) from (
+          select *, row_number() over (
+                   partition by _id order by timestamp desc, peer desc, resourceLogo desc,
+                   fabric desc) as rn
+          from ({sql})) where rn = 1"""
+
+
+def _one_result(program: str) -> str:
+    tables = {s.key: _ONE_WINDOW[s.key] for s in PROGRAMS[program]}
+    if "r05_cpe_pop" in tables:
+        tables["r05_cpe_pop"] = _one_row_each(tables["r05_cpe_pop"])
+    return _all_long(tables)
+
+
 ORACLE: dict[str, str] = _TABLES | {
     "op_route_counts": """
         with t as (
@@ -229,19 +262,27 @@ ORACLE: dict[str, str] = _TABLES | {
                case when dealTime >= 1704758400000 then rxBytes end as rxBytes,
                case when dealTime >= 1704758400000 then txBytes end as txBytes)
         from ({_R9})""",
-    "op_upsert_collisions": f"""
-        select * exclude (rn) from (
-          select *, row_number() over (
-                   partition by _id order by timestamp desc, peer desc, resourceLogo desc,
-                   fabric desc) as rn
-          from ({_R5})) where rn = 1""",
+    "op_upsert_collisions": _one_row_each(_R5),
     "stream_arrival_rollup": _ONE_WINDOW["r10_vpe_peer_flow"],
-    "stream_program": _on_common_columns(
-        {k: q for k, q in _ONE_WINDOW.items() if "r06" <= k < "r12"}),
-    "all_tables_one_pass": _on_common_columns(_TABLES),
-    "stream_event_rollup": _flow(
-        _PORT_KEYS, ["resourceUuid", "ifName"],
-        having="having w + 86400 <= (select max(c) - 3600 from m where route = 7)"),
+    "all_tables_one_pass": _all_long(_TABLES),
+    "op_replay_quarantine": _all_long({
+        "r11_vpe_delay": _delay(" and e % 97 <> 0"),
+        "r09_vpe_interface": _flow(_PORT_KEYS, ["resourceUuid", "ifName"],
+                                   extra=" and e % 97 <> 0")}) + """
+        union all
+        select 'malformed', case when event_id % 11 < 8 then 'vpe' else 'sdwan' end, null,
+               'n_lines', null, count(*)::double
+        from events where event_id % 97 = 0 and event_id % 11 in (4, 5, 6, 7, 10) group by 2""",
+    "stream_arrival_restart": _ONE_WINDOW["r10_vpe_peer_flow"],
+    "stream_arrival_windows": _R9,
+    "stream_event_rollup": _R9,
+    "stream_event_late": _R9.replace(
+        "cast(floor(epoch(ts)) as bigint) as c",
+        "cast(floor(epoch(ts)) as bigint) + case when event_id = (select max(event_id)"
+        " from events where event_id % 11 = 7) then 72000 else 0 end as c"),
+} | {
+    name: _one_result(program) for name, program in (
+        ("stream_program", "vpe"), ("stream_program_cpe", "cpe"), ("stream_program_ce", "ce"))
 }
 
 ORACLE["op_array_lines"] = (

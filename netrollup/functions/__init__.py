@@ -3,7 +3,6 @@
 from netrollup.functions.metrics import (
     bit_rate,
     delta,
-    floor_mean,
     percent,
     ratio,
     round2,
@@ -18,6 +17,6 @@ from netrollup.functions.timekeys import (
 )
 
 __all__ = [
-    "bit_rate", "bucket_ms", "delta", "doc_key", "epoch_seconds_ntz", "floor_mean",
+    "bit_rate", "bucket_ms", "delta", "doc_key", "epoch_seconds_ntz",
     "percent", "ratio", "round2", "slice_ms", "span", "to_mega",
 ]

@@ -34,11 +34,6 @@ def ratio(part: Column, whole: Column) -> Column:
     return F.try_divide(part, whole)
 
 
-def floor_mean(x: Column) -> Column:
-    """Average cut down to a whole number."""
-    return F.floor(F.avg(x))
-
-
 def delta(counter: Column) -> Column:
     """Growth of a monotone counter; a reset is not corrected."""
     return F.try_subtract(F.max(counter), F.min(counter))

@@ -17,6 +17,9 @@ from netrollup.schema import EVENT_TIME
 
 PERIOD_TAG = "5"
 
+# Stands in the place of a roll-up's key for malformed lines.
+MALFORMED = "malformed"
+
 # Epoch seconds outside this range are no usable event time (year 1 to 9999).
 _MIN_EPOCH, _MAX_EPOCH = -62135596800, 253402300799
 
@@ -72,34 +75,89 @@ def rollup(rows: DataFrame, spec, compat_float32: bool = False) -> DataFrame:
     return finish(grouped, spec, compat_float32)
 
 
-def rollup_many(parsed: DataFrame, specs, window: Column | None = None) -> DataFrame:
+def _tagged(parsed: DataFrame, specs,
+            keep_malformed: bool = False) -> tuple[DataFrame, list[Column]]:
+    """Each row once for every roll-up it feeds, and the grouping keys: those of all
+    roll-ups, blanked out for the others."""
+    fed = rollups_fed(specs)
+    if keep_malformed:
+        fed = F.when(F.col("malformed").isNotNull(), F.array(F.lit(MALFORMED))).otherwise(fed)
+    tagged = parsed.withColumn("rollup", F.explode(fed))
+    keys = []
+    for name in key_names(specs):
+        users = [s.key for s in specs if name in s.keys]
+        value = F.col(name)
+        if len(users) < len(specs):
+            value = F.when(F.col("rollup").isin(users), value)
+        keys.append(value.alias(name))
+    return tagged, keys
+
+
+def key_names(specs) -> list[str]:
+    return list(dict.fromkeys(k for s in specs for k in s.keys))
+
+
+def rollup_many(parsed: DataFrame, specs, keep_malformed: bool = False) -> DataFrame:
     """Aggregates of several roll-ups in one pass and one shuffle.
 
     Each parsed row is tagged with the roll-ups it feeds and grouped on all their
     keys, those of other roll-ups blanked out.  Read one table off the result with
     ``table_of``; keep the result (persist or write it) if you read several.
 
-    ``window`` replaces the grouping on ``dealTime`` by a window expression, as an
-    event-time stream needs; ``dealTime`` is then the window's start.
+    ``keep_malformed`` carries malformed lines along as groups of their own, which
+    ``malformed_of`` turns into lines again.
     """
-    tagged = parsed.withColumn("rollup", F.explode(rollups_fed(specs)))
-    keys = []
-    for name in dict.fromkeys(k for s in specs for k in s.keys):
-        users = [s.key for s in specs if name in s.keys]
-        value = F.col(name)
-        if len(users) < len(specs):
-            value = F.when(F.col("rollup").isin(users), value)
-        keys.append(value.alias(name))
+    tagged, keys = _tagged(parsed, specs, keep_malformed)
     aggs = aggregates(specs)
-    if window is None:
-        return tagged.groupBy("rollup", "dealTime", *keys).agg(*aggs)
-    return (
-        tagged.groupBy("rollup", window.alias("window"), *keys).agg(*aggs)
-        .withColumn("dealTime", F.unix_millis("window.start"))
-        .drop("window")
-    )
+    if keep_malformed:
+        bad = F.col("malformed").isNotNull()
+        line = F.when(bad, F.struct("topic", "arrival", F.col("malformed").alias("value")))
+        keys.append(line.alias("line"))
+        aggs.append(F.count_if(bad).alias("n_lines"))
+    return tagged.groupBy("rollup", "dealTime", *keys).agg(*aggs)
+
+
+def malformed_of(grouped: DataFrame) -> DataFrame:
+    """The malformed lines in the result of ``rollup_many``, each as often as it came."""
+    return grouped.where(F.col("rollup") == MALFORMED).select(
+        "line", F.explode(F.sequence(F.lit(1), F.col("n_lines")))).select("line.*")
+
+
+def _inputs(specs) -> tuple[list[str], list[str]]:
+    gauges = dict.fromkeys(n for s in specs for n in s.inputs(gauges=True))
+    counters = dict.fromkeys(n for s in specs for n in s.inputs(gauges=False))
+    return list(gauges), list(counters)
+
+
+def partials_many(parsed: DataFrame, specs) -> DataFrame:
+    """What :func:`rollup_many` aggregates, in a form that can be added up: sums and
+    counts of gauges, extremes of counters.  Partials of several batches together
+    (``combine``) give what one batch with all their lines would."""
+    gauges, counters = _inputs(specs)
+    tagged, keys = _tagged(parsed, specs)
+    columns = []
+    for name, value in [*((n, row_value(n)) for n in gauges), ("s", F.col(EVENT_TIME))]:
+        columns += [F.sum(value).alias(f"sum_{name}"), F.count(value).alias(f"n_{name}")]
+    for name, value in [*((n, row_value(n)) for n in counters), ("s", F.col(EVENT_TIME))]:
+        columns += [F.max(value).alias(f"max_{name}"), F.min(value).alias(f"min_{name}")]
+    return tagged.groupBy("rollup", "dealTime", *keys).agg(*columns)
+
+
+def combine(partials: DataFrame, specs) -> DataFrame:
+    """The result of :func:`rollup_many` from partials of any number of batches."""
+    gauges, counters = _inputs(specs)
+    columns = []
+    for name in [*gauges, "s"]:
+        mean = F.try_divide(F.sum(f"sum_{name}"), F.sum(f"n_{name}").cast("double"))
+        columns.append(mean.alias(f"mean_{name}"))
+    for name in counters:
+        columns.append(F.try_subtract(F.max(f"max_{name}"), F.min(f"min_{name}"))
+                       .alias(f"growth_{name}"))
+    if counters:
+        columns.append((F.max("max_s") - F.min("min_s")).alias("span_s"))
+    return partials.groupBy("rollup", "dealTime", *key_names(specs)).agg(*columns)
 
 
 def table_of(grouped: DataFrame, spec, compat_float32: bool = False) -> DataFrame:
-    """The table of ``spec`` from the result of ``rollup_many``."""
+    """The table of ``spec`` from the result of ``rollup_many`` or ``combine``."""
     return finish(grouped.where(F.col("rollup") == spec.key), spec, compat_float32)

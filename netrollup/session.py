@@ -16,13 +16,8 @@ _COMMON = {
 # shrinks: some 250 MB of partial aggregates each where 100 TB of lines leave 2 TB.
 REPLAY = _COMMON | {"spark.sql.shuffle.partitions": "8000"}
 
-# Streams.  An event-time stream keeps its number of state partitions for life.
-STREAM = _COMMON | {
-    "spark.sql.shuffle.partitions": "400",
-    # Open windows live outside the executors' heap.
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-}
+# Streams.  Windows are kept as files of partial aggregates, so there is no state to lay out.
+STREAM = _COMMON | {"spark.sql.shuffle.partitions": "400"}
 
 
 def tune(spark: SparkSession, settings: dict[str, str]) -> SparkSession:

@@ -32,8 +32,16 @@ def read_kafka(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     return spark.readStream.format("kafka").options(**options).load().selectExpr(*RAW_COLUMNS)
 
 
+def batch_options(options: dict[str, str]) -> dict[str, str]:
+    """Stream options for a bounded read: given offsets stay, but a batch cannot start
+    at the latest ones, and knows no cap for each trigger."""
+    kept = {k: v for k, v in options.items() if k != "maxOffsetsPerTrigger"}
+    if kept.get("startingOffsets") == "latest":
+        kept["startingOffsets"] = "earliest"
+    return kept
+
+
 def read_kafka_batch(spark: SparkSession, options: dict[str, str]) -> DataFrame:
-    """The records the topics hold now, for a replay."""
-    stream_only = ("startingOffsets", "maxOffsetsPerTrigger")
-    kept = {k: v for k, v in options.items() if k not in stream_only}
-    return spark.read.format("kafka").options(**kept).load().selectExpr(*RAW_COLUMNS)
+    """The records between the given offsets, by default all that the topics hold now."""
+    return spark.read.format("kafka").options(**batch_options(options)).load() \
+        .selectExpr(*RAW_COLUMNS)

@@ -1,56 +1,30 @@
-"""Arrival windows: what arrives between two triggers is one window.
+"""Arrival windows: a line belongs to the window in which its batch is processed.
 
 Triggers fall on multiples of the window length.  The window's ``dealTime`` is
 the processing time Spark records for the batch in its offset log, so a batch run
-again after a failure gets the same keys and overwrites its own rows.
+again after a failure gets the same window.  Batches that share a window, as after a
+restart within it, add up.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from netrollup.functions import bucket_ms
-from netrollup.operators.parse import parse
-from netrollup.operators.rollup import rollup_many, table_of
-from netrollup.plans.batch import fields_of
-from netrollup.streaming.common import Sink, start, write_quarantine, write_tables
+from netrollup.streaming.common import Sink
+from netrollup.streaming.windows import window_stream
 
 
 def arrival_stream(raw: DataFrame, specs, sink: Sink, checkpoint: str, window_s: int = 300,
-                   quarantine_path: str | None = None, clock: str = "current_timestamp()",
-                   compat_float32: bool = False, available_now: bool = False,
-                   name: str | None = None) -> StreamingQuery:
+                   clock: str = "current_timestamp()", **options) -> StreamingQuery:
     """Roll up every trigger's lines into the tables of ``specs``.
 
     ``clock`` is SQL over the raw record that replaces the processing time, for tests
-    and replays.
+    and replays; it is evaluated before the parse, where the raw line is still at hand.
+    ``options`` are those of ``window_stream``.
     """
-    specs = list(specs)
-    topics = list(dict.fromkeys(s.topic for s in specs))
-    # Fixed before the parse, where a clock taken from the raw line is still at hand.
-    lines = raw.where(F.col("topic").isin(topics)).withColumn(
-        "dealTime", bucket_ms(F.unix_seconds(F.expr(clock)), window_s)
-    )
-    parsed = parse(lines, fields_of(specs), keep=["dealTime"])
-
-    def write_window(batch: DataFrame, batch_id: int) -> None:
-        if quarantine_path is not None:
-            # Parsed once for both uses.  The trigger's rate cap bounds its size.
-            batch.persist(StorageLevel.MEMORY_AND_DISK)
-        grouped = rollup_many(batch, specs).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if quarantine_path is not None:
-                write_quarantine(batch, quarantine_path, batch_id)
-            write_tables(
-                batch.sparkSession,
-                [(table_of(grouped, spec, compat_float32), spec) for spec in specs], sink)
-        finally:
-            grouped.unpersist()
-            if quarantine_path is not None:
-                batch.unpersist()
-
-    writer = parsed.writeStream.foreachBatch(write_window)
-    return start(writer, checkpoint, window_s, available_now, name)
+    label = bucket_ms(F.unix_seconds(F.expr(clock)), window_s)
+    return window_stream(raw, specs, sink, checkpoint, None, window_s, before_parse=label,
+                         **options)

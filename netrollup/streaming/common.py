@@ -51,10 +51,11 @@ def write_tables(spark: SparkSession, tables, sink: Sink, at_once: int = 4) -> N
             pass
 
 
-def write_quarantine(parsed: DataFrame, path: str, batch_id: int) -> None:
-    """Keep the malformed lines of a batch; a repeated batch replaces its own."""
+def write_quarantine(parsed: DataFrame, path: str, batch: str) -> None:
+    """Keep the malformed lines of a batch, which ``batch`` names among all queries that
+    write here; a repeated batch replaces its own."""
     (
-        quarantine(parsed).withColumn("batch", F.lit(batch_id))
+        quarantine(parsed).withColumn("batch", F.lit(batch))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch").parquet(path)
     )

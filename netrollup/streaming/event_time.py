@@ -1,63 +1,28 @@
-"""Event-time windows with a watermark, for sources that deliver late or in bulk.
+"""Event-time windows, for sources that deliver late or in bulk.
 
-A window is written once, when the watermark passes its end.  State is one
-aggregate row per open window and group, and is dropped with the window.
+A line belongs to the window of its own time, or of its arrival where it has none, as in
+a replay.  Windows are kept up to date: a late line changes the rows of its window.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from netrollup.operators.parse import parse, quarantine
-from netrollup.operators.rollup import event_seconds, rollup_many, table_of
-from netrollup.plans.batch import fields_of
-from netrollup.streaming.common import Sink, start, write_tables
-
-
-# A clock this far ahead of the arrival is wrong.  Trusted, one such line would move
-# the watermark past all others.
-_MAX_AHEAD_S = 86400
-
-
-def event_aggregates(raw: DataFrame, specs, window_s: int, delay: str) -> DataFrame:
-    """Streaming aggregates of ``specs`` per event-time window.
-
-    Lines with no usable event time, or one more than a day after their arrival,
-    count at their arrival.  Lines later than
-    ``delay`` behind the newest event are left out by the watermark; choose it to
-    cover the source's worst lag.
-    """
-    topics = list(dict.fromkeys(s.topic for s in specs))
-    parsed = parse(raw.where(F.col("topic").isin(topics)), fields_of(specs))
-    event, arrival = event_seconds(), F.unix_seconds("arrival")
-    seconds = F.when(event > arrival + _MAX_AHEAD_S, arrival).otherwise(F.floor(event))
-    timed = parsed.withColumn("event_ts", F.timestamp_seconds(seconds)) \
-        .withWatermark("event_ts", delay)
-    return rollup_many(timed, specs, F.window("event_ts", f"{window_s} seconds"))
+from netrollup.operators.rollup import with_event_window
+from netrollup.streaming.common import Sink, start
+from netrollup.streaming.windows import window_stream
 
 
 def event_stream(raw: DataFrame, specs, sink: Sink, checkpoint: str, window_s: int = 300,
-                 delay: str = "10 minutes", trigger_s: int = 60,
-                 compat_float32: bool = False, available_now: bool = False,
-                 name: str | None = None) -> StreamingQuery:
-    """Write the tables of ``specs`` window by window as event time moves on."""
-    specs = list(specs)
-
-    def write_closed(batch: DataFrame, batch_id: int) -> None:
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            write_tables(
-                batch.sparkSession,
-                [(table_of(batch, spec, compat_float32), spec) for spec in specs], sink)
-        finally:
-            batch.unpersist()
+                 trigger_s: int = 60, **options) -> StreamingQuery:
+    """Write the tables of ``specs`` for the windows that each trigger's lines fall in.
 
-    writer = event_aggregates(raw, specs, window_s, delay).writeStream \
-        .outputMode("append").foreachBatch(write_closed)
-    return start(writer, checkpoint, trigger_s, available_now, name)
+    ``options`` are those of ``window_stream``.
+    """
+    return window_stream(raw, specs, sink, checkpoint,
+                         lambda rows: with_event_window(rows, window_s), trigger_s, **options)
 
 
 def quarantine_stream(raw: DataFrame, path: str, checkpoint: str, trigger_s: int = 60,

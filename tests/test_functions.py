@@ -13,7 +13,6 @@ from netrollup.functions import (
     delta,
     doc_key,
     epoch_seconds_ntz,
-    floor_mean,
     ratio,
     round2,
     slice_ms,
@@ -99,11 +98,6 @@ def test_growth_beyond_a_long_is_null(spark):
     assert df.agg(delta(F.col("n"))).first()[0] is None
 
 
-def test_floor_mean(spark):
-    df = spark.createDataFrame([(1.0,), (2.0,), (2.9,), (None,)], "x double")
-    assert df.agg(floor_mean(F.col("x"))).first()[0] == 1
-
-
 def test_slices(spark):
     assert one(spark, slice_ms(F.lit(7500000).cast("bigint"), 3600)) == 7200000
     assert one(spark, slice_ms(F.lit(None).cast("bigint"), 3600)) is None

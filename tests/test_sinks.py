@@ -80,8 +80,9 @@ def test_missing_time_and_empty_input(spark, tmp):
     assert table(spark, path) == [("a", None, 0, "h", 2), ("b", 0, 0, "h", 3)]
 
 
-def test_many_slices_take_the_join(spark, tmp, monkeypatch):
-    monkeypatch.setattr(merging, "_MAX_LISTED", 2)
+@pytest.mark.parametrize("block", [2, 200])
+def test_slices_are_merged_in_blocks(spark, tmp, monkeypatch, block):
+    monkeypatch.setattr(merging, "_BLOCK", block)
     path = f"{tmp}/t"
     old = rows(spark, *[(f"k{i}", i * HOUR, 0, "h", 0) for i in range(6)], (None, None, 0, "h", 0))
     merge(old, path)
@@ -90,6 +91,67 @@ def test_many_slices_take_the_join(spark, tmp, monkeypatch):
     assert got == {None: 0, "k0": 0, "k1": 0} | {f"k{i}": 1 for i in range(2, 8)}
 
 
+@pytest.mark.parametrize("n", [10, 3000])
+def test_stored_rows_are_read_by_named_folders(spark, tmp, monkeypatch, n):
+    asked = []
+
+    def look(spark, path, slices):
+        asked.append(slices)
+
+    path = f"{tmp}/t"
+    monkeypatch.setattr(merging, "stored_slices", look)
+    monkeypatch.setattr(merging, "_replace", lambda *_: None)
+    monkeypatch.setattr(merging, "_write_block", lambda spark, path, slices, rows: look(
+        spark, path, slices))
+    merge(spark.range(n).selectExpr("cast(id as string) as _id", f"id * {HOUR} as dealTime",
+                                    "id as n"), path)
+    assert sum(map(len, asked)) == n and max(map(len, asked)) <= 200
+    assert sorted(s for block in asked for s in block) == [i * HOUR for i in range(n)]
+
+
+def test_a_merge_cut_off_while_it_replaces_loses_nothing(spark, tmp, monkeypatch):
+    """The driver dies with the stored slice gone and its new content pending."""
+    from pathlib import Path
+
+    from netrollup.shared import remove
+
+    path = f"{tmp}/t"
+    merge(rows(spark, ("a", 0, 0, "h", 1), ("b", HOUR, 0, "h", 2)), path)
+    replace, calls = merging._replace, []
+
+    def dies(spark, where):
+        calls.append(where)
+        if len(calls) == 2:
+            remove(spark, f"{where}/dealSlice=0")
+            raise RuntimeError("lost the driver")
+        replace(spark, where)
+
+    monkeypatch.setattr(merging, "_replace", dies)
+    with pytest.raises(RuntimeError):
+        merge(rows(spark, ("c", 0, 0, "h", 3)), path)
+    monkeypatch.setattr(merging, "_replace", replace)
+    merge(rows(spark, ("d", 2 * HOUR, 0, "h", 4)), path)
+    assert [(r[0], r[4]) for r in table(spark, path)] == [("a", 1), ("b", 2), ("c", 3), ("d", 4)]
+    assert not Path(path, "_pending").exists()
+
+
+def test_incomplete_content_is_dropped(spark, tmp):
+    from pathlib import Path
+
+    path = f"{tmp}/t"
+    merge(rows(spark, ("a", 0, 0, "h", 1)), path)
+    Path(path, "_pending", "dealSlice=0").mkdir(parents=True)
+    merge(rows(spark, ("b", 0, 0, "h", 2)), path)
+    assert [r[0] for r in table(spark, path)] == ["a", "b"]
+
+
+def test_rows_that_do_not_collide_are_not_ranked(spark):
+    df = rows(spark, ("a", 0, 1, "x", 1), ("b", 0, 2, "b", 2))
+    plan = merging.colliding(df)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "Sort" not in plan
+    assert merging.one_row_each(df, None, ["n"]) is df
+
+
 def test_collisions_take_the_latest_then_the_keys(spark):
     df = rows(spark, ("a", 0, 1, "x", 1), ("a", 0, 2, "b", 2), ("a", 0, 2, "c", 3),
               ("a", 0, 2, None, 4), ("b", 0, None, "x", 5))

@@ -10,7 +10,6 @@ import pytest
 from netrollup.plans.batch import replay
 from netrollup.plans.specs import BY_KEY, PROGRAMS
 from netrollup.schema import RAW_SCHEMA
-from netrollup.session import STREAM
 from netrollup.sinks.merge import read_table
 from netrollup.sources.files import stream_archive, write_archive
 from netrollup.streaming.arrival import arrival_stream
@@ -124,43 +123,105 @@ def test_external_sink(spark, tmp):
     assert row["_id"] == f"u1_e0_{T0}000" and row["timeType"] == "5"
 
 
-def test_event_windows_close_with_the_watermark(spark, tmp):
-    add_file(spark, f"{tmp}/raw", T0, [message(0), message(310)])
-    add_file(spark, f"{tmp}/raw", T0 + 1, [message(100)])  # late, yet within the delay
-    add_file(spark, f"{tmp}/raw", T0 + 2, [message(2000)])
+def run_event(spark, tmp, specs=(FLOW,), **options):
     raw = stream_archive(spark, f"{tmp}/raw", files_per_trigger=1)
-    drain(event_stream(raw, [FLOW], table_sink(f"{tmp}/tables"), f"{tmp}/progress",
-                       delay="10 minutes", available_now=True))
+    drain(event_stream(raw, specs, options.pop("sink", table_sink(f"{tmp}/tables")),
+                       f"{tmp}/progress", available_now=True, **options))
+
+
+def test_restart_within_a_window_adds_up(spark, tmp):
+    """Stopped and started again with the default clock, under one label."""
+    clock = f"timestamp_seconds({T0})"
+    add_file(spark, f"{tmp}/raw", T0, [message(0), message(10)])
+    run_arrival(spark, tmp, clock=clock)
+    assert [r[1] for r in stored(spark, tmp)] == [1000]
+    add_file(spark, f"{tmp}/raw", T0, [message(15), message(16)])
+    add_file(spark, f"{tmp}/raw", T0, [message(2), message(3, uuid="u2")])
+    run_arrival(spark, tmp, clock=clock)
+    assert [r[:2] for r in stored(spark, tmp)] == [
+        (f"u1_e0_{T0}000", 1600), (f"u2_e0_{T0}000", 0)]
+
+
+def test_event_windows_are_all_written(spark, tmp):
+    add_file(spark, f"{tmp}/raw", T0, [message(0), message(310)])
+    add_file(spark, f"{tmp}/raw", T0 + 1, [message(2000)])
+    add_file(spark, f"{tmp}/raw", T0 + 2, [message(100)])  # late by far
+    run_event(spark, tmp)
     assert stored(spark, tmp) == [
         (f"u1_e0_{T0}000", 10000, 800.0, T0 * 1000),
         (f"u1_e0_{T0 + 300}000", 0, None, (T0 + 300) * 1000),
+        (f"u1_e0_{T0 + 1800}000", 0, None, (T0 + 2000) * 1000 // 300000 * 300000),
     ]
 
 
 def test_event_stream_equals_replay(spark, tmp):
     lines = [message(i * 29 % 1500, uuid=f"u{i % 3}") for i in range(60)]
+    # Clocks far ahead and behind, and a line without any time.
+    lines += [message(20 * 3600), message(10**7, uuid="ahead"), message(-10**6),
+              message(5, collectdate=None), message(6, collectdate=1e300)]
     for part in range(3):
         add_file(spark, f"{tmp}/raw", T0 + part, lines[part::3])
-    add_file(spark, f"{tmp}/raw", T0 + 10**6, [message(10**6, uuid="end")])
-    raw = stream_archive(spark, f"{tmp}/raw", files_per_trigger=1)
-    drain(event_stream(raw, PROGRAMS["vpe"][3:5], table_sink(f"{tmp}/tables"),
-                       f"{tmp}/progress", delay="1 hour", available_now=True))
+    run_event(spark, tmp, PROGRAMS["vpe"][3:5])
     archive = spark.read.schema(RAW_SCHEMA).parquet(f"{tmp}/raw")
     for spec in PROGRAMS["vpe"][3:5]:
-        want = replay(archive, spec).where("resourceUuid <> 'end'").collect()
+        want = replay(archive, spec).collect()
         got = read_table(spark, f"{tmp}/tables/{spec.table}").select(spec.columns).collect()
         assert sorted(map(str, got)) == sorted(map(str, want)) and len(got) > 10
 
 
-def test_a_clock_far_ahead_does_not_close_windows(spark, tmp):
-    add_file(spark, f"{tmp}/raw", T0 + 1, [message(0), message(10**7, uuid="ahead")])
-    add_file(spark, f"{tmp}/raw", T0 + 2, [message(100)])
-    add_file(spark, f"{tmp}/raw", T0 + 3, [message(2000)])
-    raw = stream_archive(spark, f"{tmp}/raw", files_per_trigger=1)
-    drain(event_stream(raw, [FLOW], table_sink(f"{tmp}/tables"), f"{tmp}/progress",
-                       available_now=True))
-    assert [r[:2] for r in stored(spark, tmp)] == [
-        (f"ahead_e0_{T0}000", 0), (f"u1_e0_{T0}000", 10000)]
+def test_lines_without_event_time_and_arrival_are_kept(spark, tmp):
+    rows = [("vpe", json.dumps(message(i, collectdate=None)), None) for i in (1, 3)]
+    write_archive(spark.createDataFrame(rows, RAW_SCHEMA).coalesce(1), f"{tmp}/raw")
+    run_event(spark, tmp)
+    archive = spark.read.schema(RAW_SCHEMA).parquet(f"{tmp}/raw")
+    got, = read_table(spark, f"{tmp}/tables/{FLOW.table}").select(FLOW.columns).collect()
+    assert [got] == replay(archive, FLOW).collect() and (got.dealTime, got.rxTotal) == (None, 200)
+
+
+def test_a_small_slice_is_one_file(spark, tmp):
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        add_file(spark, f"{tmp}/raw", T0, [message(i, uuid=f"u{i}") for i in range(200)])
+        run_event(spark, tmp)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    for folder in (f"{tmp}/tables/{FLOW.table}", f"{tmp}/progress/partials"):
+        files = list(Path(folder).rglob("*.parquet"))
+        assert len(files) == 1, files
+
+
+def test_partials_of_a_batch_run_again_replace_its_own(spark, tmp):
+    add_file(spark, f"{tmp}/raw", T0, [message(0), message(100)])
+    calls = []
+
+    def fails_once(rows, spec):
+        calls.append(rows.collect())
+        if len(calls) == 1:
+            raise RuntimeError("lost the driver")
+
+    with pytest.raises(Exception, match="lost the driver"):
+        run_event(spark, tmp, sink=fails_once)
+    run_event(spark, tmp, sink=fails_once)
+    assert calls[0] == calls[1] and len(calls) == 2
+    folders = {p.parent for p in Path(f"{tmp}/progress/partials").rglob("*.parquet")}
+    assert len(folders) == 1
+
+
+def test_malformed_lines_of_two_checkpoints_share_a_folder(spark, tmp, caplog):
+    for n, text in enumerate(["{bad", "{worse"]):
+        add_file(spark, f"{tmp}/raw{n}", T0, [message(0), text])
+        raw = stream_archive(spark, f"{tmp}/raw{n}")
+        drain(arrival_stream(raw, [FLOW], table_sink(f"{tmp}/tables"), f"{tmp}/progress{n}",
+                             clock=CLOCK, available_now=True, quarantine_path=f"{tmp}/bad"))
+    assert sorted(r.value for r in spark.read.parquet(f"{tmp}/bad").collect()) == [
+        "{bad", "{worse"]
+    assert caplog.text.count("1 malformed lines in batch") == 2
+
+
+def test_malformed_lines_are_counted_where_they_are_not_kept(spark, tmp, caplog):
+    add_file(spark, f"{tmp}/raw", T0, [message(0), "{", "]"])
+    run_arrival(spark, tmp)
+    assert "2 malformed lines in batch" in caplog.text and "not kept" in caplog.text
 
 
 def test_quarantine_stream(spark, tmp):
@@ -179,19 +240,6 @@ def test_collisions_are_logged(spark, tmp, caplog):
     assert len(stored(spark, tmp)) == 1
 
 
-def test_event_stream_on_rocksdb(spark, tmp):
-    key = "spark.sql.streaming.stateStore.providerClass"
-    spark.conf.set(key, STREAM[key])
-    try:
-        add_file(spark, f"{tmp}/raw", T0, [message(0), message(100), message(5000)])
-        raw = stream_archive(spark, f"{tmp}/raw")
-        drain(event_stream(raw, [FLOW], table_sink(f"{tmp}/tables"), f"{tmp}/progress",
-                           available_now=True))
-    finally:
-        spark.conf.unset(key)
-    assert stored(spark, tmp) == [(f"u1_e0_{T0}000", 10000, 800.0, T0 * 1000)]
-
-
 def test_live_trigger_and_graceful_stop(spark, tmp):
     add_file(spark, f"{tmp}/raw", T0, [message(0), message(100)])
     raw = stream_archive(spark, f"{tmp}/raw")
