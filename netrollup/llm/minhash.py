@@ -34,13 +34,15 @@ from netrollup.llm.common import small_side, staged, whole_row
 from netrollup.llm.components import components
 
 WORDS = 5          # words in a shingle
-PERCENT = 80       # 100 * intersection >= PERCENT * union
+#: 100 * intersection >= PERCENT * union.  The bands are laid out for 80 and more.
+PERCENT = 80
 BANDS, ROWS = 32, 5
 LEADERS = 4
 BLOCK_ROWS = 2048
-#: Pairs whose signatures agree in fewer places than this share are not verified: at a
-#: similarity of 0.8 the share's standard deviation is at most 0.032, so 0.62 lies over five below.
-LIKELY = 0.62
+#: Pairs whose signatures agree in a share of places that is this much under the threshold are
+#: not verified: at a similarity of 0.8 the share's standard deviation is at most 0.032, so this
+#: is over four of them.
+DOUBT = 0.14
 _CHUNK = 200_000   # elements permuted at a time
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -162,28 +164,64 @@ def _sets(words: int):
     return work
 
 
-def _likely(places: int):
-    """Pairs of a task whose components differ and whose brief signatures agree well enough."""
+def _likely_pairs(key: tuple, rows: pa.Table, percent: int):
+    """Of the rows of a task, each i with the js that it may be linked with: in another component,
+    signatures that agree well enough, and no earlier bucket that both share."""
+    at, left, right = (key[k].as_py() for k in (1, 2, 3))
+    brief = np.frombuffer(b"".join(rows.column("brief").to_pylist()), np.uint8) \
+        .reshape(rows.num_rows, -1)
+    earlier = np.array(rows.column("bands").to_pylist(), np.int64)[:, :at]
+    own = np.unique(np.array(rows.column("component").to_pylist()), return_inverse=True)[1]
+    n, block = rows.column("n_shingles").to_numpy(), rows.column("block").to_numpy()
+    ours, theirs = np.flatnonzero(block == left), np.flatnonzero(block == right)
+    for i in ours.tolist():
+        js = theirs[theirs > i] if left == right else theirs
+        js = js[(own[js] != own[i]) & (100 * np.minimum(n[js], n[i])
+                                       >= percent * np.maximum(n[js], n[i]))]
+        js = js[~(earlier[js] == earlier[i]).any(axis=1)]
+        js = js[(brief[js] == brief[i]).mean(axis=1) >= percent / 100 - DOUBT]
+        if len(js):
+            yield i, js
+
+
+def _promising(percent: int):
+    """The rows of a task that have likely pairs."""
     def work(key: tuple, rows: pa.Table) -> pa.Table:
-        left, right = key[1].as_py(), key[2].as_py()
-        rows = rows.sort_by("node")
-        brief = np.frombuffer(b"".join(rows.column("brief").to_pylist()), np.uint8) \
-            .reshape(rows.num_rows, places)
+        some: set[int] = set()
+        for i, js in _likely_pairs(key, rows, percent):
+            some.update([i, *js.tolist()])
         nodes = rows.column("node").to_pylist()
-        own = np.unique(np.array(rows.column("component").to_pylist()), return_inverse=True)[1]
-        n, block = rows.column("n_shingles").to_numpy(), rows.column("block").to_numpy()
-        ours = np.flatnonzero(block == left)
-        theirs = ours if left == right else np.flatnonzero(block == right)
-        a, b = [], []
-        for i in ours.tolist():
-            js = theirs[theirs > i] if left == right else theirs
-            js = js[(own[js] != own[i]) & (100 * np.minimum(n[js], n[i])
-                                           >= PERCENT * np.maximum(n[js], n[i]))]
-            js = js[(brief[js] == brief[i]).mean(axis=1) >= LIKELY]
-            a.extend([nodes[i]] * len(js))
-            b.extend([nodes[j] for j in js.tolist()])
-        return pa.table({"a": pa.array([min(p) for p in zip(a, b, strict=True)], pa.string()),
-                         "b": pa.array([max(p) for p in zip(a, b, strict=True)], pa.string())})
+        return pa.table({"band": pa.array([key[0].as_py()] * len(some), pa.int64()),
+                         "node": pa.array([nodes[i] for i in sorted(some)], pa.string())})
+
+    return work
+
+
+def _links(percent: int):
+    """Links between the components of a task's rows, verified on the full sets."""
+    def work(key: tuple, rows: pa.Table) -> pa.Table:
+        nodes, component = rows.column("node").to_pylist(), rows.column("component").to_pylist()
+        sets = [np.array(e.as_py(), np.int64) for e in rows.column("elements")]
+        parent = {c: c for c in component}
+
+        def root(c: str) -> str:
+            while parent[c] != c:
+                parent[c] = parent[parent[c]]
+                c = parent[c]
+            return c
+
+        found = []
+        for i, js in _likely_pairs(key, rows, percent):
+            for j in js.tolist():
+                a, b = root(component[i]), root(component[j])
+                if a == b:  # joined by links of this task
+                    continue
+                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common):
+                    parent[a] = b
+                    found.append((nodes[i], nodes[j]))
+        a, b = zip(*found, strict=True) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.string()), "b": pa.array(b, pa.string())})
 
     return work
 
@@ -206,6 +244,39 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .where(100 * both >= percent * together).select("a", "b"), "links")
 
 
+def _links_between(members: DataFrame, classes: DataFrame, joined: DataFrame, sets: DataFrame,
+                   block_rows: int, percent: int) -> DataFrame:
+    """Links between different components within the buckets that hold several.
+
+    Signatures tell which rows have likely pairs at all; only those are dealt out again, now with
+    their full sets, so pairs are verified where they meet and need not be listed."""
+    placed = staged(
+        members.join(joined.select(F.col("node").alias("n"), "component"),
+                     F.col("node") == F.col("n"), "left")
+        .select("band", "at", "node", F.coalesce("component", "node").alias("component")), "placed")
+    mixed = staged(
+        placed.groupBy(F.col("band").alias("of")).agg(
+            F.min("component").alias("x"), F.max("component").alias("y"))
+        .where("x != y").select("of"), "mixed")
+    rows = staged(
+        placed.join(mixed, F.col("band") == F.col("of")).drop("of")
+        .join(classes.select(F.col("node").alias("n"), "n_shingles", "brief", "bands"),
+              F.col("node") == F.col("n")).drop("n")
+        .withColumn("spread", F.xxhash64("node")), "open")
+    task = ("band", "at", "left", "right")
+    some = staged(
+        deal(rows, "band", "spread", block_rows).groupBy(*task)
+        .applyInArrow(_promising(percent), "band long, node string")
+        .select(F.col("band").alias("b"), F.col("node").alias("n")).distinct(), "promising")
+    flagged = staged(
+        rows.join(some, (F.col("band") == F.col("b")) & (F.col("node") == F.col("n")), "left_semi"),
+        "flagged")
+    full = deal(flagged, "band", "spread", max(1, block_rows // 4)).join(
+        sets.select(F.col("node").alias("n"), "elements"), F.col("node") == F.col("n")).drop("n")
+    return staged(full.groupBy(*task).applyInArrow(
+        _links(percent), "a string, b string").distinct(), "links-between")
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text",
                     words: int = WORDS, percent: int = PERCENT,
                     block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -221,13 +292,13 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text: str = "tex
             F.min("doc_id").alias("least"), F.first("n_shingles").alias("n_shingles"),
             F.first("bands").alias("bands"), F.first("brief").alias("brief")), "classes")
     # Bucket rows; a class that shares no bucket is done.
-    bands = classes.select("node", F.explode("bands").alias("band"))
+    bands = classes.select("node", F.posexplode("bands").alias("at", "band"))
     leader = [F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("h"), "node"))["node"]
               .alias(f"leader_{k}") for k in range(LEADERS)]
     buckets = staged(bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), *leader)
                      .where("n > 1").drop("n").withColumnRenamed("band", "of"), "buckets")
     members = staged(bands.join(buckets.select("of"), F.col("band") == F.col("of"))
-                     .select("band", "node"), "members")
+                     .select("band", "at", "node"), "members")
     # The full sets of all classes that share a bucket, computed once more from their texts.
     wanted = staged(
         members.select(F.col("node").alias("wanted")).distinct()
@@ -247,30 +318,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text: str = "tex
         .select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
         .distinct(), "pairs")
     links = _verified(pairs, sets, percent)
-    first = staged(components(links), "components")
-
-    # Buckets that still hold different components.
-    placed = staged(
-        members.join(first.select(F.col("node").alias("n"), "component"),
-                     F.col("node") == F.col("n"), "left")
-        .select("band", "node", F.coalesce("component", "node").alias("component")), "placed")
-    mixed = staged(
-        placed.groupBy(F.col("band").alias("of")).agg(
-            F.min("component").alias("x"), F.max("component").alias("y"))
-        .where("x != y").select("of"), "mixed")
-    open_rows = staged(
-        placed.join(mixed, F.col("band") == F.col("of")).drop("of")
-        .join(classes.select(F.col("node").alias("n"), "n_shingles", "brief"),
-              F.col("node") == F.col("n")).drop("n")
-        .withColumn("spread", F.xxhash64("node")), "open")
-    likely = deal(open_rows, "band", "spread", block_rows).groupBy("band", "left", "right") \
-        .applyInArrow(_likely(BANDS * ROWS), "a string, b string").distinct()
-    untested = staged(
-        likely.join(pairs.select(F.col("a").alias("ta"), F.col("b").alias("tb")),
-                    (F.col("a") == F.col("ta")) & (F.col("b") == F.col("tb")), "left_anti"),
-        "untested")
-    all_links = links.unionByName(_verified(untested, sets, percent))
-    joined = components(all_links).select(F.col("node").alias("n"), "component")
+    joined = staged(components(links), "components")
+    links = links.unionByName(_links_between(members, classes, joined, sets, block_rows, percent))
+    joined = components(links).select(F.col("node").alias("n"), "component")
 
     own = staged(
         classes.select("node", "least").join(joined, F.col("node") == F.col("n"), "left")
