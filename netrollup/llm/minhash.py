@@ -43,7 +43,7 @@ BLOCK_ROWS = 2048
 #: not verified: at a similarity of 0.8 the share's standard deviation is at most 0.032, so this
 #: is over four of them.
 DOUBT = 0.14
-_CHUNK = 200_000   # elements permuted at a time
+_CHUNK = 50_000    # elements permuted at a time
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -131,8 +131,8 @@ def _digest(elements: np.ndarray) -> str | None:
 def _sign(words: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
                 sets = [shingles(t.as_py() or "", words) for t in part.column(1)]
                 some = [i for i, s in enumerate(sets) if len(s)]
                 keys: list = [None] * len(sets)
@@ -154,8 +154,8 @@ def _sign(words: int):
 def _sets(words: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                sets = [shingles(t.as_py() or "", words) for t in batch.column(0).slice(at, 500)]
+            for at in range(0, batch.num_rows, 200):
+                sets = [shingles(t.as_py() or "", words) for t in batch.column(0).slice(at, 200)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([_digest(s) for s in sets], pa.string()),
                      pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
@@ -201,7 +201,7 @@ def _links(percent: int):
     """Links between the components of a task's rows, verified on the full sets."""
     def work(key: tuple, rows: pa.Table) -> pa.Table:
         nodes, component = rows.column("node").to_pylist(), rows.column("component").to_pylist()
-        sets = [np.array(e.as_py(), np.int64) for e in rows.column("elements")]
+        sets = [e.values.to_numpy() for e in rows.column("elements")]
         parent = {c: c for c in component}
 
         def root(c: str) -> str:
