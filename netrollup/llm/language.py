@@ -32,6 +32,7 @@ BITS = 14
 SAMPLE = 4000
 MIN_ROWS = 5          # rows of the sample that make a language known
 GRAMS_COUNT = 100     # trigrams that a text counts as at most: they do not occur independently
+ODD = 0.1             # share of a text that may be names and codes of no language
 SMOOTHING = 20.0      # documents that a wider group counts as in a narrower one
 LEAST = 0.5
 UNKNOWN = "und"
@@ -96,8 +97,8 @@ def train(docs: DataFrame, *, text: str = "text", label: str = "lang",
         counted[row.lang] = counted.get(row.lang, 0) + np.array(row.counts)
         seen[row.lang] = seen.get(row.lang, 0) + row.n
     languages = sorted(x for x in counted if seen[x] >= min(MIN_ROWS, max(seen.values())))
-    log_p = [np.log((counted[x] + 0.5) / (counted[x].sum() + 0.5 * (1 << BITS)))
-             for x in languages]
+    log_p = [np.log((1 - ODD) * (counted[x] + 0.5) / (counted[x].sum() + 0.5 * (1 << BITS))
+                    + ODD / (1 << BITS)) for x in languages]
     log_p.append(np.full(1 << BITS, -BITS * np.log(2.0)))
     return Model([*languages, UNKNOWN], np.array(log_p))
 
