@@ -23,7 +23,8 @@ def deal(rows: DataFrame, bucket: str, row_hash: str, size: int) -> DataFrame:
         .where("n > 1").select("of", F.ceil(F.col("n") / size).cast("int").alias("blocks"))
     sizes = staged(sizes, "blocks")
     own = F.pmod(F.col(row_hash), F.col("blocks")).cast("int")
-    pair = F.struct(F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"))
+    pair = F.struct(F.least("block", "other").alias("left"),
+                    F.greatest("block", "other").alias("right"))
     return (
         rows.join(small_side(sizes), F.col(bucket) == F.col("of")).drop("of")
         .withColumn("block", own)

@@ -70,8 +70,9 @@ def token_bytes(path: str, ranks: str | None = None):
 PIECES = ("uid long, doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def tokenize_pieces(docs: DataFrame, tokenizer: str, *, ranks: str | None = None, id_col: str = "doc_id",
-                    text: str = "text", length: int = LENGTH, end_id: int = 0) -> DataFrame:
+def tokenize_pieces(docs: DataFrame, tokenizer: str, *, ranks: str | None = None,
+                    id_col: str = "doc_id", text: str = "text", length: int = LENGTH,
+                    end_id: int = 0) -> DataFrame:
     """One row per piece, with a row number that is unique in the result."""
     end = np.array([end_id], "<u4").tobytes()
 
@@ -194,9 +195,10 @@ def pack(pieces: DataFrame, *, length: int = LENGTH, part_rows: int = PIECES_PER
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, *, ranks: str | None = None,
-                   id_col: str = "doc_id", text: str = "text", length: int = LENGTH, end_id: int = 0, part_rows: int = PIECES_PER_PART,
+                   id_col: str = "doc_id", text: str = "text", length: int = LENGTH,
+                   end_id: int = 0, part_rows: int = PIECES_PER_PART,
                    rounds: int = 4) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    pieces = staged(tokenize_pieces(docs, tokenizer, ranks=ranks, id_col=id_col, text=text, length=length,
-                                    end_id=end_id), "pieces")
+    pieces = staged(tokenize_pieces(docs, tokenizer, ranks=ranks, id_col=id_col, text=text,
+                                    length=length, end_id=end_id), "pieces")
     return pack(pieces, length=length, part_rows=part_rows, rounds=rounds).drop("uid")

@@ -7,8 +7,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from netrollup.llm import (
+    embedding_dedup,
+    language,
+    minhash,
+    mixing,
+    packing,
+    pii,
+    quality,
+    rules,
+    token_counts,
+)
 from netrollup.llm import license as notices
-from netrollup.llm import embedding_dedup, language, minhash, mixing, packing, pii, quality, rules, token_counts
 from netrollup.llm.common import table
 from netrollup.llm.oracle import ORACLE as ORACLE
 
