@@ -28,8 +28,9 @@ from pyspark.sql import types as T
 from netrollup.llm.common import quoted, small_side, staged, text_or_empty, whole_row
 
 BITS = 14
-#: At most so many labelled rows are learned from, those whose texts have the least hashes.
+#: About so many distinct labelled texts are learned from, those with the least hashes.
 SAMPLE = 4000
+TRAIN_PARTS = 8
 MIN_ROWS = 5          # rows of the sample that make a language known
 GRAMS_COUNT = 100     # trigrams that a text counts as at most: they do not occur independently
 ODD = 0.1             # share of a text that may be names and codes of no language
@@ -71,27 +72,29 @@ class Model:
 def train(docs: DataFrame, *, text: str = "text", label: str = "lang",
           sample: int = SAMPLE) -> Model:
     rows = docs.select(text_or_empty(text).alias("text"), F.col(label).alias("lang")).where(
-        F.col("lang").isNotNull()).withColumn(
-        "h", F.pmod(F.xxhash64("text"), F.lit(1 << 40)))
-    # A few more than needed pass the threshold; the limit makes the bound exact.
-    share = min(1.0, 1.5 * sample / max(1, docs.count()))
-    chosen = rows.where(F.col("h") <= int(share * (1 << 40))).orderBy("h", "lang").limit(sample)
+        F.col("lang").isNotNull())
+    # Copies are one text.  Labels are counted as rows, whether sampled or not.
+    sizes = rows.groupBy("lang", F.md5("text").alias("key")).agg(F.count(F.lit(1)).alias("n")) \
+        .groupBy("lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts")).collect()
+    share = min(1.0, sample / max(1, sum(r.texts for r in sizes)))
+    chosen = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 40)) < int(share * (1 << 40))) \
+        .withColumn("key", F.md5("text")).dropDuplicates(["lang", "key"]).coalesce(TRAIN_PARTS)
 
     def count(batches):
+        per: dict[str, np.ndarray] = {}
+        n: dict[str, int] = {}
         for batch in batches:
-            per: dict[str, np.ndarray] = {}
-            n: dict[str, int] = {}
             for t, lang in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 per[lang] = per.get(lang, 0) + gram_counts(t.as_py())
                 n[lang] = n.get(lang, 0) + 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(per), pa.string()), pa.array(list(n.values()), pa.int64()),
-                 pa.array([c.tolist() for c in per.values()], pa.list_(pa.int64()))],
-                names=["lang", "n", "counts"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(per), pa.string()), pa.array(list(n.values()), pa.int64()),
+             pa.array([c.tolist() for c in per.values()], pa.list_(pa.int64()))],
+            names=["lang", "n", "counts"])
 
     counted: dict[str, np.ndarray] = {}
     seen: dict[str, int] = {}
-    # At most one row for each language and batch of the bounded sample.
+    # At most one row for each language and part of the bounded sample.
     for row in chosen.select("text", "lang").mapInArrow(
             count, "lang string, n long, counts array<long>").collect():
         counted[row.lang] = counted.get(row.lang, 0) + np.array(row.counts)

@@ -467,6 +467,23 @@ def test_no_labels_no_rows(docs_of):
     assert language.identified(docs_of([])).count() == 0
 
 
+def test_few_labelled_rows_among_many(docs_of):
+    """The sample follows the labelled texts, not the table's size."""
+    rows = [(1000 + i, f"text without label {i}") for i in range(3000)]
+    alone = language.train(docs_of(language_docs()), sample=80)
+    among = language.train(docs_of(language_docs() + rows), sample=80)
+    assert among.languages == alone.languages == ["de", "en", "und"]
+    assert np.array_equal(among.log_p, alone.log_p)
+
+
+def test_copies_teach_nothing_new(docs_of):
+    rows = language_docs()
+    alone = language.train(docs_of(rows))
+    copied = language.train(docs_of(rows + rows[:2] * 300))
+    assert copied.languages == alone.languages
+    assert np.array_equal(copied.log_p, alone.log_p)
+
+
 # --- pipeline --------------------------------------------------------------------------------
 
 def test_stages_and_their_rows(spark, docs_of, tmp_path):
