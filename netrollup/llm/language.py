@@ -1,7 +1,7 @@
 """Language identification by Bayesian evidence fusion.
 
 The text's evidence is the likelihood of its byte trigrams under each language, learned from a
-bounded sample of labelled rows.  Languages the texts point to are then counted in groups: by
+bounded sample of each language's labelled rows.  Languages the texts point to are then counted in groups: by
 host, by address suffix, over all, and by declared language.  A host's prior is its own counts
 smoothed by its suffix's, and that by the overall counts; the declared language adds how often
 texts of a language carry such a declaration.  The posterior is the product of the three.  A
@@ -28,10 +28,11 @@ from pyspark.sql import types as T
 from netrollup.llm.common import quoted, small_side, staged, text_or_empty, whole_row
 
 BITS = 14
-#: About so many distinct labelled texts are learned from, those with the least hashes.
+#: About so many distinct labelled texts of each language are learned from, those with the least
+#: hashes.
 SAMPLE = 4000
 TRAIN_PARTS = 8
-MIN_ROWS = 5          # rows of the sample that make a language known
+MIN_ROWS = 5          # labelled rows of the table that make a language known
 GRAMS_COUNT = 100     # trigrams that a text counts as at most: they do not occur independently
 ODD = 0.1             # share of a text that may be names and codes of no language
 SMOOTHING = 20.0      # documents that a wider group counts as in a narrower one
@@ -76,30 +77,32 @@ def train(docs: DataFrame, *, text: str = "text", label: str = "lang",
     # Copies are one text.  Labels are counted as rows, whether sampled or not.
     sizes = rows.groupBy("lang", F.md5("text").alias("key")).agg(F.count(F.lit(1)).alias("n")) \
         .groupBy("lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts")).collect()
-    share = min(1.0, sample / max(1, sum(r.texts for r in sizes)))
-    chosen = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 40)) < int(share * (1 << 40))) \
+    enough = min(MIN_ROWS, max((r.n for r in sizes), default=0))
+    bounds = rows.sparkSession.createDataFrame(
+        [(r.lang, int(min(1.0, sample / r.texts) * (1 << 40))) for r in sizes if r.n >= enough],
+        "of string, bound long")
+    chosen = (
+        rows.withColumn("h", F.pmod(F.xxhash64("text"), F.lit(1 << 40)))
+        .join(F.broadcast(bounds), (F.col("lang") == F.col("of")) & (F.col("h") < F.col("bound")))
         .withColumn("key", F.md5("text")).dropDuplicates(["lang", "key"]).coalesce(TRAIN_PARTS)
+    )
 
     def count(batches):
         per: dict[str, np.ndarray] = {}
-        n: dict[str, int] = {}
         for batch in batches:
             for t, lang in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 per[lang] = per.get(lang, 0) + gram_counts(t.as_py())
-                n[lang] = n.get(lang, 0) + 1
         yield pa.RecordBatch.from_arrays(
-            [pa.array(list(per), pa.string()), pa.array(list(n.values()), pa.int64()),
+            [pa.array(list(per), pa.string()),
              pa.array([c.tolist() for c in per.values()], pa.list_(pa.int64()))],
-            names=["lang", "n", "counts"])
+            names=["lang", "counts"])
 
     counted: dict[str, np.ndarray] = {}
-    seen: dict[str, int] = {}
     # At most one row for each language and part of the bounded sample.
     for row in chosen.select("text", "lang").mapInArrow(
-            count, "lang string, n long, counts array<long>").collect():
+            count, "lang string, counts array<long>").collect():
         counted[row.lang] = counted.get(row.lang, 0) + np.array(row.counts)
-        seen[row.lang] = seen.get(row.lang, 0) + row.n
-    languages = sorted(x for x in counted if seen[x] >= min(MIN_ROWS, max(seen.values())))
+    languages = sorted(counted)
     log_p = [np.log((1 - ODD) * (counted[x] + 0.5) / (counted[x].sum() + 0.5 * (1 << BITS))
                     + ODD / (1 << BITS)) for x in languages]
     log_p.append(np.full(1 << BITS, -BITS * np.log(2.0)))

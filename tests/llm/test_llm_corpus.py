@@ -476,6 +476,16 @@ def test_few_labelled_rows_among_many(docs_of):
     assert np.array_equal(among.log_p, alone.log_p)
 
 
+def test_a_rare_language_is_learned_at_every_size(docs_of):
+    """Six rows of one language among many of another, with a sample much smaller than those."""
+    rows = [r for r in language_docs() if r[3] == "de"][:6]
+    words = ENGLISH.split()
+    rng = random.Random(6)
+    rows += [(1000 + i, " ".join(rng.choice(words) for _ in range(30)), "h", "en")
+             for i in range(1500)]
+    assert language.train(docs_of(rows), sample=100).languages == ["de", "en", "und"]
+
+
 def test_copies_teach_nothing_new(docs_of):
     rows = language_docs()
     alone = language.train(docs_of(rows))
