@@ -1,15 +1,19 @@
 """Information-theoretic sanitisation of personal data.
 
 Base spans (mail and network addresses, card and telephone numbers) come from patterns.  Besides,
-terms that stand near a value may give it away once it is gone: over the whole corpus, the
-information that a term t carries about a value c is PMI(c; t) = log2(n(c,t) N / (df(c) df(t))),
-and the value itself holds IC(c) = log2(N / df(c)).  In a document that holds c, a term with
-PMI / IC >= ``generalise_at`` is replaced by a general mark, one with a share of ``remove_at`` or
-more is removed.  n(c,t) counts the documents in which t stands near c; fewer than ``support``
-documents are no evidence.  Documents without a base span stay as they are.
-
-Everything is DataFrame functions.  Only documents with base spans take part in the co-occurrence
-counts; the document counts of their terms come from one pass over all texts, and what is joined
+terms that stand near a value may give it away once it is gone.  A value stands for several
+entities c: itself, its digits, and what it shares with other values (mail domain, network, number
+prefix).  Over the whole corpus, the information that a term t carries about an entity is
+PMI(c; t) = log2(n(c,t) N / (df(c) df(t))), and the entity itself holds IC(c) = log2(N / df(c)).
+In a document that holds c, a term with PMI / IC >= ``generalise_at`` is replaced by a general mark,
+one with a share of ``remove_at`` or more is removed.  All counts are of distinct texts.  n(c,t)
+counts those in which t stands near c; fewer than ``support`` are no evidence.  Documents without a
+base span stay as they are.
+
+The kind of a value is no entity: the mark that takes the value's place tells it anyway.
+
+Everything is DataFrame functions.  Only texts with base spans take part in the co-occurrence
+counts; the text counts of their terms come from one pass over all texts, and what is joined
 to the texts in the end is one row for each text that has such terms.
 
 Defined cases: a null text counts as empty and has no spans; equal texts get equal spans, whatever
@@ -40,7 +44,7 @@ _OCTET = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 TERM = r"[\p{L}\p{N}]+"
 NEAR = 80          # characters before and after a value
 MIN_TERM = 3       # characters
-SUPPORT = 3        # documents
+SUPPORT = 3        # distinct texts
 GENERALISE_AT = 0.9
 REMOVE_AT = 1.0
 _BLOCK = 64
@@ -121,6 +125,25 @@ def base_spans(text: Column) -> Column:
     return F.struct(*[of(k) for k in KINDS])
 
 
+def _entities(kind: str, value: Column) -> Column:
+    """Names of what a value stands for, itself first."""
+    of = [F.concat(F.lit(f"{kind}:"), value)]
+    if kind == "email":
+        of.append(F.concat(F.lit("email-domain:"), F.lower(F.substring_index(value, "@", -1))))
+    elif kind == "ip":
+        parts = F.transform(F.split(value, r"\."), lambda x: F.regexp_replace(x, "^0+(?=.)", ""))
+        of += [F.concat(F.lit("ip-number:"), F.array_join(parts, ".")),
+               F.concat(F.lit("ip-network:"), F.array_join(F.slice(parts, 1, 3), "."))]
+    else:
+        # A card's issuer; of a telephone number all but the subscriber's last four digits.
+        digits = _digits(value)
+        prefix = F.substring(digits, 1, 6) if kind == "card" else F.substring(
+            digits, F.lit(1), F.length(digits) - 4)
+        of += [F.concat(F.lit(f"{kind}-digits:"), digits),
+               F.concat(F.lit(f"{kind}-prefix:"), prefix)]
+    return F.array(*of)
+
+
 def _near(text: Column, span: Column) -> Column:
     """Distinct terms within NEAR characters of a span, other base values left out."""
     begin = F.greatest(span["s"] - NEAR, F.lit(0))
@@ -138,37 +161,41 @@ def _near(text: Column, span: Column) -> Column:
 
 
 def _terms_near(docs: DataFrame) -> DataFrame:
-    """Per row with base spans: the text's key, its values, and its (value, term) pairs."""
+    """Per distinct text with base spans: its key, the entities its values stand for, and its
+    (entity, term) pairs."""
     def named(kind: str) -> Column:
         return F.transform(F.col("base")[kind], lambda m: F.struct(
-            m["s"].alias("s"), m["e"].alias("e"),
-            F.concat(F.lit(f"{kind}:"), m["v"]).alias("v")))
+            m["s"].alias("s"), m["e"].alias("e"), _entities(kind, m["v"]).alias("of")))
 
     spans = F.concat(*[named(k) for k in KINDS])
-    pairs = F.array_distinct(F.flatten(F.transform(F.col("spans"), lambda m: F.transform(
-        _near(F.col("text"), m), lambda t: F.struct(m["v"].alias("value"), t.alias("term"))))))
+    pairs = F.array_distinct(F.flatten(F.transform(F.col("spans"), lambda m: _let(
+        _near(F.col("text"), m), lambda terms: F.flatten(F.transform(
+            m["of"], lambda c: F.transform(terms, lambda t: F.struct(
+                c.alias("value"), t.alias("term")))))))))
     return (
         docs.select("text", spans.alias("spans")).where(F.size("spans") > 0)
         .select(F.md5("text").alias("key"), pairs.alias("pairs"),
-                F.array_distinct(F.transform("spans", lambda m: m["v"])).alias("values"))
+                F.array_distinct(F.flatten(F.transform("spans", lambda m: m["of"]))).alias("values"))
+        .dropDuplicates(["key"])
     )
 
 
 def disclosing_terms(docs: DataFrame, near: DataFrame, *, support: int = SUPPORT,
                      generalise_at: float = GENERALISE_AT) -> DataFrame:
-    """value, term and share, the part of the value's information that the term carries.
+    """value (an entity), term and share, the part of its information that the term carries.
 
     ``docs`` has all texts, ``near`` is what :func:`_terms_near` made of them.
     """
     together = staged(
         near.select(F.explode("pairs").alias("p")).groupBy("p.value", "p.term")
         .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= support), "pii-pairs")
-    n_docs = docs.count()
+    texts = staged(docs.select("text").distinct(), "pii-distinct")
+    n_docs = texts.count()
     per_value = near.select(F.explode("values").alias("value")).groupBy("value").agg(
         F.count(F.lit(1)).alias("df_value"))
     wanted = staged(together.select(F.col("term").alias("wanted")).distinct(), "pii-terms")
     per_term = (
-        docs.select(F.explode(F.array_distinct(F.regexp_extract_all(
+        texts.select(F.explode(F.array_distinct(F.regexp_extract_all(
             F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
         .join(small_side(wanted), F.col("term") == F.col("wanted"), "left_semi")
         .groupBy("term").agg(F.count(F.lit(1)).alias("df_term"))

@@ -115,6 +115,30 @@ def test_shares_follow_the_definition(docs_of):
     assert got["email:secret@mail.example", "zorblat"] == 1
 
 
+def shared_docs():
+    """Values that occur once each: a mail domain, a network and a number prefix recur.  And one
+    value in five copies of one text."""
+    rows = [(i, f"ask florbex here person{i}@plant.example now {i}") for i in range(4)]
+    rows += [(10 + i, f"host gronkle has 10.20.30.{i} as address {i}") for i in range(4)]
+    rows += [(20 + i, f"dial wimzat for +1 (202) 555-{1000 + i} any time {i}") for i in range(4)]
+    rows += [(30 + i, f"dial yopnik for +44{'  -.'[i % 2:][:1]}20 7946 0958 any time {i}")
+             for i in range(4)]
+    rows += [(40, "once snarvol at single@alone.example only")] * 5
+    rows += [(50 + i, f"ask here now has host as address dial for any time {i}") for i in range(200)]
+    return rows
+
+
+def test_values_that_occur_once_share_entities(docs_of):
+    found = pii.find(docs_of(shared_docs())).collect()
+    terms = {r.doc.doc_id: {m.v for m in r.terms} for r in found}
+    assert all("florbex" in terms[i] for i in range(4))          # mail domain
+    assert all("gronkle" in terms[10 + i] for i in range(4))     # network
+    assert all("wimzat" in terms[20 + i] for i in range(4))      # number prefix
+    assert all("yopnik" in terms[30 + i] for i in range(4))      # one number, written in two ways
+    assert not terms[40]                                         # copies are one text
+    assert not any(terms[50 + i] for i in range(200))
+
+
 def test_pii_edges(docs_of):
     docs = docs_of(EDGES, clashing=True)
     assert sorted(map(str, (r.text for r in pii.sanitise(docs).collect()))) == sorted(
