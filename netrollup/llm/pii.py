@@ -6,9 +6,10 @@ entities c: itself, its digits, and what it shares with other values (mail domai
 prefix).  Over the whole corpus, the information that a term t carries about an entity is
 PMI(c; t) = log2(n(c,t) N / (df(c) df(t))), and the entity itself holds IC(c) = log2(N / df(c)).
 In a document that holds c, a term with PMI / IC >= ``generalise_at`` is replaced by a general mark,
-one with a share of ``remove_at`` or more is removed.  All counts are of distinct texts.  n(c,t)
-counts those in which t stands near c; fewer than ``support`` are no evidence.  Documents without a
-base span stay as they are.
+one with a share of ``remove_at`` or more is removed.  All counts are of distinct texts that hold the
+term or the entity anywhere: standing within NEAR characters of c in one text only nominates t.
+n(c,t) counts the texts that hold both; fewer than ``support`` are no evidence.  Documents without
+a base span stay as they are.
 
 The kind of a value is no entity: the mark that takes the value's place tells it anyway.
 
@@ -125,6 +126,11 @@ def base_spans(text: Column) -> Column:
     return F.struct(*[of(k) for k in KINDS])
 
 
+def _terms(text: Column) -> Column:
+    """Distinct terms of a whole text."""
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
+
+
 def _entities(kind: str, value: Column) -> Column:
     """Names of what a value stands for, itself first."""
     of = [F.concat(F.lit(f"{kind}:"), value)]
@@ -161,8 +167,8 @@ def _near(text: Column, span: Column) -> Column:
 
 
 def _terms_near(docs: DataFrame) -> DataFrame:
-    """Per distinct text with base spans: its key, the entities its values stand for, and its
-    (entity, term) pairs."""
+    """Per distinct text with base spans: its key, the entities its values stand for, the (entity,
+    term) pairs it nominates, and all its terms."""
     def named(kind: str) -> Column:
         return F.transform(F.col("base")[kind], lambda m: F.struct(
             m["s"].alias("s"), m["e"].alias("e"), _entities(kind, m["v"]).alias("of")))
@@ -175,36 +181,58 @@ def _terms_near(docs: DataFrame) -> DataFrame:
     return (
         docs.select("text", spans.alias("spans")).where(F.size("spans") > 0)
         .select(F.md5("text").alias("key"), pairs.alias("pairs"),
-                F.array_distinct(F.flatten(F.transform("spans", lambda m: m["of"]))).alias("values"))
+                F.array_distinct(F.flatten(F.transform("spans", lambda m: m["of"]))).alias("values"),
+                _terms(F.col("text")).alias("terms"))
         .dropDuplicates(["key"])
     )
 
 
+def _both(near: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``pairs`` (a stored table of value, term and more) with the key of each text that holds
+    both."""
+    terms = staged(pairs.select(F.col("term").alias("wanted")).distinct(), "pii-wanted")
+    return (
+        near.select("key", "values", F.explode("terms").alias("term"))
+        .join(small_side(terms), F.col("term") == F.col("wanted"), "left_semi")
+        .select("key", "term", F.explode("values").alias("value"))
+        .join(small_side(pairs), ["value", "term"])
+    )
+
+
 def disclosing_terms(docs: DataFrame, near: DataFrame, *, support: int = SUPPORT,
                      generalise_at: float = GENERALISE_AT) -> DataFrame:
     """value (an entity), term and share, the part of its information that the term carries.
 
     ``docs`` has all texts, ``near`` is what :func:`_terms_near` made of them.
     """
-    together = staged(
-        near.select(F.explode("pairs").alias("p")).groupBy("p.value", "p.term")
-        .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= support), "pii-pairs")
     texts = staged(docs.select("text").distinct(), "pii-distinct")
     n_docs = texts.count()
-    per_value = near.select(F.explode("values").alias("value")).groupBy("value").agg(
-        F.count(F.lit(1)).alias("df_value"))
-    wanted = staged(together.select(F.col("term").alias("wanted")).distinct(), "pii-terms")
-    per_term = (
-        texts.select(F.explode(F.array_distinct(F.regexp_extract_all(
-            F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
+    per_value = staged(
+        near.select(F.explode("values").alias("value")).groupBy("value")
+        .agg(F.count(F.lit(1)).alias("df_value")).where(F.col("df_value") >= support), "pii-values")
+    nominated = staged(
+        near.select(F.explode("pairs").alias("p")).select("p.value", "p.term")
+        .join(small_side(per_value), "value").distinct(), "pii-nominated")
+    wanted = staged(nominated.select(F.col("term").alias("wanted")).distinct(), "pii-terms")
+    per_term = staged(
+        texts.select(F.explode(_terms(F.col("text"))).alias("term"))
         .join(small_side(wanted), F.col("term") == F.col("wanted"), "left_semi")
         .groupBy("term").agg(F.count(F.lit(1)).alias("df_term"))
-    )
+        .where(F.col("df_term") >= support), "pii-term-counts")
+    # As n <= df_value, a term in more texts than this cannot have the share asked for; where all
+    # texts hold the value, only the terms that all of its texts have are left.
+    most = ((1 - generalise_at) * F.log2(F.lit(float(max(n_docs, 1))))
+            + generalise_at * F.log2(F.col("df_value").cast("double")))
+    pairs = staged(
+        nominated.join(small_side(per_term), "term")
+        .where(F.log2(F.col("df_term").cast("double")) <= most + 1e-9), "pii-pairs")
+    together = _both(near, pairs).groupBy("value", "term", "df_value", "df_term").agg(
+        F.count(F.lit(1)).alias("n")).where(F.col("n") >= support)
     pmi = F.log2(F.col("n") * F.lit(float(n_docs)) / (F.col("df_value") * F.col("df_term")))
     content = F.log2(F.lit(float(n_docs)) / F.col("df_value"))
     # A term found with the value alone carries all of it, whatever the rounding.
     share = F.when(F.col("n") == F.col("df_term"), 1.0).when(content > 0, pmi / content)
-    return together.join(per_value, "value").join(per_term, "term").select(
+    return together.select(
         "value", "term", share.alias("share")).where(F.col("share") >= generalise_at)
 
 

@@ -139,6 +139,16 @@ def test_values_that_occur_once_share_entities(docs_of):
     assert not any(terms[50 + i] for i in range(200))
 
 
+def test_counts_are_of_whole_texts(docs_of):
+    """A name in the heading and the address in the footer, near each other in one text only."""
+    filler = "common words of no interest " * 8
+    rows = [(i, f"Florbex {filler if i else ''}{i} footer@mail.example") for i in range(10)]
+    rows += [(20 + i, f"{filler} {i} footer mail example") for i in range(100)]
+    terms = {r.doc.doc_id: {m.v: m.remove for m in r.terms}
+             for r in pii.find(docs_of(rows)).collect()}
+    assert all(terms[i] == {"Florbex": True} for i in range(10))
+
+
 def test_pii_edges(docs_of):
     docs = docs_of(EDGES, clashing=True)
     assert sorted(map(str, (r.text for r in pii.sanitise(docs).collect()))) == sorted(
