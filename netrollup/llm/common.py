@@ -16,6 +16,8 @@ SPACE = r"[\x20\x09-\x0D]+"
 
 #: A side of at most so many short rows is broadcast; a larger one is joined by shuffle.
 BROADCAST_ROWS = 200_000
+#: The same for rows that may be long, by their summed sizes.
+BROADCAST_BYTES = 32_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +52,11 @@ def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def small_bytes(df: DataFrame, size: Column, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df``, a stored table, marked for broadcast if the ``size`` of its rows allows it."""
+    return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= limit else df
+
+
 def map_batches(df: DataFrame, schema: str,
                 work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
     return df.mapInArrow(work, schema)

@@ -28,7 +28,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from netrollup.llm.common import quoted, small_side, staged, text_or_empty, whole_row
+from netrollup.llm.common import (
+    quoted,
+    small_bytes,
+    small_side,
+    staged,
+    text_or_empty,
+    whole_row,
+)
 
 KINDS = ("email", "ip", "card", "phone")
 #: The patterns with the same matches as the plain ones, in linear time: what cannot be given
@@ -236,6 +243,16 @@ def disclosing_terms(docs: DataFrame, near: DataFrame, *, support: int = SUPPORT
         "value", "term", share.alias("share")).where(F.col("share") >= generalise_at)
 
 
+def _own_terms(near: DataFrame, told: DataFrame, remove_at: float) -> DataFrame:
+    """Per key of a text, a map ``told`` of the disclosing terms that stand in it: whether they
+    are to be removed."""
+    return (
+        _both(near, told).groupBy("key", "term").agg(F.max("share").alias("share"))
+        .groupBy("key").agg(F.map_from_entries(F.collect_list(
+            F.struct("term", F.col("share") >= remove_at))).alias("told"))
+    )
+
+
 def find(docs: DataFrame, *, text: str = "text", support: int = SUPPORT,
          generalise_at: float = GENERALISE_AT, remove_at: float = REMOVE_AT) -> DataFrame:
     """One row per document: ``doc`` (the whole row), ``text``, ``base`` (spans by kind) and
@@ -246,12 +263,8 @@ def find(docs: DataFrame, *, text: str = "text", support: int = SUPPORT,
     near = staged(_terms_near(based), "pii-near")
     told = disclosing_terms(rows, near, support=support, generalise_at=generalise_at)
     told = staged(told, "pii-told")
-    per_text = staged(
-        near.select("key", F.explode("values").alias("value")).distinct()
-        .join(small_side(told), "value")
-        .groupBy("key", "term").agg(F.max("share").alias("share"))
-        .groupBy("key").agg(F.map_from_entries(F.collect_list(
-            F.struct("term", F.col("share") >= remove_at))).alias("told")), "pii-texts")
+    per_text = staged(_own_terms(near, told, remove_at), "pii-texts")
+    size = F.aggregate(F.map_keys("told"), F.lit(64), lambda n, t: n + F.octet_length(t) + 16)
     every_base = F.concat(*[F.col("base")[k] for k in KINDS])
     spans = _let(every_base, lambda base: F.filter(
         F.transform(
@@ -263,7 +276,7 @@ def find(docs: DataFrame, *, text: str = "text", support: int = SUPPORT,
     none = F.array().cast("array<struct<s: int, e: int, v: string, remove: boolean>>")
     return (
         based.withColumn("key", F.md5("text"))
-        .join(small_side(per_text), "key", "left")
+        .join(small_bytes(per_text, size), "key", "left")
         .select("doc", "text", "base",
                 F.when(F.col("told").isNull(), none).otherwise(spans).alias("terms"))
     )

@@ -149,6 +149,17 @@ def test_counts_are_of_whole_texts(docs_of):
     assert all(terms[i] == {"Florbex": True} for i in range(10))
 
 
+def test_a_text_gets_its_own_terms_only(spark, docs_of):
+    from pyspark.sql import functions as F
+
+    rows = [(i, f"term{i} at hot@mail.example") for i in range(5)]
+    near = pii._terms_near(docs_of(rows).withColumn("base", pii.base_spans(F.col("text"))))
+    told = spark.createDataFrame([("email:hot@mail.example", f"term{i}", 0.9 + i % 2 / 10)
+                                  for i in range(50)], "value string, term string, share double")
+    maps = [r.told for r in pii._own_terms(near, told, 1.0).collect()]
+    assert sorted(map(str, maps)) == [f"{{'term{i}': {i % 2 == 1}}}" for i in range(5)]
+
+
 def test_pii_edges(docs_of):
     docs = docs_of(EDGES, clashing=True)
     assert sorted(map(str, (r.text for r in pii.sanitise(docs).collect()))) == sorted(
@@ -256,6 +267,19 @@ def test_seeds_miss_no_notice_within_its_edits():
         assert bool(search.notices_in(line)) == within, line
 
 
+@pytest.mark.parametrize("label,notice,spoilt", [
+    ("reserved", "all rights reserved", "all xights reserved"),
+    ("mit", "released under the mit license", "xeleased under the mit license")])
+@pytest.mark.parametrize("between", [" ", " foo ", " foo bar baz "])
+def test_notices_in_a_row_are_all_found(label, notice, spoilt, between):
+    search = notices.NoticeSearch([(label, notice)])
+    for parts in [(spoilt, notice), (notice, spoilt), (spoilt, spoilt, notice),
+                  (spoilt, notice, spoilt, notice)]:
+        line = between.join(parts)
+        got = [(line[a:b].strip(), e) for _, a, b, e, _ in search.notices_in(line)]
+        assert got == [(p, int(p == spoilt)) for p in parts], line
+
+
 # --- token counts ----------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
