@@ -94,11 +94,17 @@ class NoticeSearch:
         """(label, start, end, edits, likeness) of every notice found, in order."""
         out = []
         for n, stretches in self.windows(line).items():
-            label, length, _, pattern = self.notices[n]
-            for begin, end in stretches:
-                for m in pattern.finditer(line, begin, min(end, len(line))):
+            label, length, most, pattern = self.notices[n]
+            parts = [(begin, min(end, len(line))) for begin, end in stretches]
+            while parts:
+                at, end = parts.pop()
+                for m in pattern.finditer(line, at, end):
                     edits = sum(m.fuzzy_counts)
                     out.append((label, m.start(), m.end(), edits, 1 - edits / length))
+                    # The best match comes first: worse ones may stand before it.
+                    if m.start() - at >= length - most:
+                        parts.append((at, m.start()))
+                    at = m.end()
         return sorted(out)
 
     def scan(self, text: str) -> dict:
