@@ -45,40 +45,33 @@ spans AS (
           ELSE 2 * d[length(d) - k]::INTEGER END)) % 10 = 0
     WHEN 'phone' THEN length(d) BETWEEN 9 AND 15
     ELSE true END),
-stretches AS (
-  SELECT doc_id, kind || ':' || v AS value,
-         substring(text, greatest(s - 80, 0) + 1, s - greatest(s - 80, 0)) AS before,
-         substring(text, e + 1, 80) AS after, s - 80 > 0 AS cut_l, length(text) > e + 80 AS cut_r
-  FROM spans),
-around AS (
-  SELECT doc_id, value,
-         (CASE WHEN cut_l THEN regexp_replace(before, '^\S*', '') ELSE before END) || ' ' ||
-         (CASE WHEN cut_r THEN regexp_replace(after, '\S*$', '') ELSE after END) AS text
-  FROM stretches),
-bare AS (
-  SELECT doc_id, value, lower(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text,
-    '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+', ' ', 'g'),
-    '[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)', ' ', 'g'),
-    '[0-9](?:[\x20-]?[0-9])+', ' ', 'g'),
-    '\+[0-9][\x20().0-9-]+[0-9]', ' ', 'g')) AS text FROM around),
-near AS (SELECT DISTINCT doc_id, value, unnest(regexp_extract_all(text, '[\p{L}\p{N}]+')) AS term
-         FROM bare),
-together AS (SELECT value, term, count(*) AS n FROM near WHERE length(term) >= 3
-             GROUP BY value, term HAVING count(*) >= 3),
-df_value AS (SELECT value, count(DISTINCT doc_id) AS df FROM stretches GROUP BY value),
-df_term AS (
-  SELECT term, count(*) AS df FROM (
-    SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS term FROM docs)
-  WHERE term IN (SELECT term FROM together) GROUP BY term),
+parts AS (
+  SELECT *, list_transform(string_split(v, '.'), lambda x: regexp_replace(x, '^0+(.)', '\1')) AS octets
+  FROM (SELECT doc_id, text, kind, v, regexp_replace(v, '[^0-9]', '', 'g') AS d FROM spans)),
+entities AS (
+  SELECT DISTINCT text, unnest(CASE kind
+    WHEN 'email' THEN ['email:' || v, 'email-domain:' || lower(string_split(v, '@')[-1])]
+    WHEN 'ip' THEN ['ip:' || v, 'ip-number:' || array_to_string(octets, '.'),
+                    'ip-network:' || array_to_string(octets[1:3], '.')]
+    WHEN 'card' THEN ['card:' || v, 'card-digits:' || d, 'card-prefix:' || d[1:6]]
+    ELSE ['phone:' || v, 'phone-digits:' || d, 'phone-prefix:' || d[1:length(d) - 4]] END) AS value
+  FROM parts),
+words AS (
+  SELECT DISTINCT text, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS term FROM docs),
+texts AS (SELECT count(DISTINCT text) AS total FROM docs),
+df_value AS (SELECT value, count(*) AS df FROM entities GROUP BY value HAVING count(*) >= 3),
+df_term AS (SELECT term, count(*) AS df FROM words WHERE length(term) >= 3 GROUP BY term),
+together AS (
+  SELECT value, term, count(*) AS n FROM entities JOIN words USING (text)
+  WHERE length(term) >= 3 GROUP BY value, term HAVING count(*) >= 3),
 shares AS (
   SELECT value, term, CASE WHEN n = df_term.df THEN 1.0 WHEN total > df_value.df THEN
       log2(n * total::DOUBLE / (df_value.df * df_term.df)) / log2(total::DOUBLE / df_value.df)
     END AS share
-  FROM together JOIN df_value USING (value) JOIN df_term USING (term),
-       (SELECT count(*) AS total FROM docs)),
+  FROM together JOIN df_value USING (value) JOIN df_term USING (term), texts),
 told AS (
   SELECT doc_id, term, max(share) AS share
-  FROM (SELECT DISTINCT doc_id, value FROM stretches) JOIN shares USING (value)
+  FROM docs JOIN entities USING (text) JOIN words USING (text) JOIN shares USING (value, term)
   WHERE share >= 0.9 GROUP BY doc_id, term),
 tokens AS (
   SELECT doc_id, regexp_extract_all(text, '[\p{L}\p{N}]+') AS f,

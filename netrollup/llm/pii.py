@@ -1,21 +1,21 @@
 """Information-theoretic sanitisation of personal data.
 
 Base spans (mail and network addresses, card and telephone numbers) come from patterns.  Besides,
-terms that stand near a value may give it away once it is gone.  A value stands for several
-entities c: itself, its digits, and what it shares with other values (mail domain, network, number
-prefix).  Over the whole corpus, the information that a term t carries about an entity is
+terms that stand in the texts of a value may give it away once it is gone.  A value stands for
+several entities c: itself, its digits, and what it shares with other values (mail domain, network,
+number prefix).  Over the whole corpus, the information that a term t carries about an entity is
 PMI(c; t) = log2(n(c,t) N / (df(c) df(t))), and the entity itself holds IC(c) = log2(N / df(c)).
 In a document that holds c, a term with PMI / IC >= ``generalise_at`` is replaced by a general mark,
-one with a share of ``remove_at`` or more is removed.  All counts are of distinct texts that hold the
-term or the entity anywhere: standing within NEAR characters of c in one text only nominates t.
-n(c,t) counts the texts that hold both; fewer than ``support`` are no evidence.  Documents without
-a base span stay as they are.
+one with a share of ``remove_at`` or more is removed.  All counts are of distinct whole texts:
+df(t) of those that hold the term, n(c,t) of those that hold both, wherever they stand; fewer than
+``support`` are no evidence.  Documents without a base span stay as they are.
 
 The kind of a value is no entity: the mark that takes the value's place tells it anyway.
 
 Everything is DataFrame functions.  Only texts with base spans take part in the co-occurrence
-counts; the text counts of their terms come from one pass over all texts, and what is joined
-to the texts in the end is one row for each text that has such terms.
+counts; the text counts of their terms come from one pass over all texts.  Pairs that cannot reach
+the share by the counts of their value and term alone are left out before they are made.  What is
+joined to the texts in the end is one row for each text that has such terms.
 
 Defined cases: a null text counts as empty and has no spans; equal texts get equal spans, whatever
 their ids; no rows give no rows.
@@ -31,7 +31,6 @@ from pyspark.sql import functions as F
 from netrollup.llm.common import (
     quoted,
     small_bytes,
-    small_side,
     staged,
     text_or_empty,
     whole_row,
@@ -50,7 +49,6 @@ PATTERNS = {
 }
 _OCTET = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 TERM = r"[\p{L}\p{N}]+"
-NEAR = 80          # characters before and after a value
 MIN_TERM = 3       # characters
 SUPPORT = 3        # distinct texts
 GENERALISE_AT = 0.9
@@ -135,7 +133,8 @@ def base_spans(text: Column) -> Column:
 
 def _terms(text: Column) -> Column:
     """Distinct terms of a whole text."""
-    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
+    return F.filter(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))),
+                    lambda t: F.length(t) >= MIN_TERM)
 
 
 def _entities(kind: str, value: Column) -> Column:
@@ -157,97 +156,108 @@ def _entities(kind: str, value: Column) -> Column:
     return F.array(*of)
 
 
-def _near(text: Column, span: Column) -> Column:
-    """Distinct terms within NEAR characters of a span, other base values left out."""
-    begin = F.greatest(span["s"] - NEAR, F.lit(0))
-    before = F.substring(text, begin + 1, span["s"] - begin)
-    after = F.substring(text, span["e"] + 1, F.lit(NEAR))
-    # A word that the stretch cuts in two is no term.
-    before = F.when(begin > 0, F.regexp_replace(before, r"^\S*", "")).otherwise(before)
-    after = F.when(F.length(text) > span["e"] + NEAR,
-                   F.regexp_replace(after, r"\S*$", "")).otherwise(after)
-    around = F.concat(before, F.lit(" "), after)
-    for kind in KINDS:
-        around = F.regexp_replace(around, PATTERNS[kind], " ")
-    return F.filter(F.array_distinct(F.regexp_extract_all(
-        F.lower(around), F.lit(TERM), F.lit(0))), lambda t: F.length(t) >= MIN_TERM)
-
-
-def _terms_near(docs: DataFrame) -> DataFrame:
-    """Per distinct text with base spans: its key, the entities its values stand for, the (entity,
-    term) pairs it nominates, and all its terms."""
+def _based(docs: DataFrame) -> DataFrame:
+    """Per distinct text with base spans: its key, the entities its values stand for, and all its
+    terms."""
     def named(kind: str) -> Column:
-        return F.transform(F.col("base")[kind], lambda m: F.struct(
-            m["s"].alias("s"), m["e"].alias("e"), _entities(kind, m["v"]).alias("of")))
+        return F.flatten(F.transform(F.col("base")[kind], lambda m: _entities(kind, m["v"])))
 
-    spans = F.concat(*[named(k) for k in KINDS])
-    pairs = F.array_distinct(F.flatten(F.transform(F.col("spans"), lambda m: _let(
-        _near(F.col("text"), m), lambda terms: F.flatten(F.transform(
-            m["of"], lambda c: F.transform(terms, lambda t: F.struct(
-                c.alias("value"), t.alias("term")))))))))
     return (
-        docs.select("text", spans.alias("spans")).where(F.size("spans") > 0)
-        .select(F.md5("text").alias("key"), pairs.alias("pairs"),
-                F.array_distinct(F.flatten(F.transform("spans", lambda m: m["of"]))).alias("values"),
+        docs.where(F.greatest(*[F.size(F.col("base")[k]) for k in KINDS]) > 0)
+        .select(F.md5("text").alias("key"),
+                F.array_distinct(F.concat(*[named(k) for k in KINDS])).alias("values"),
                 _terms(F.col("text")).alias("terms"))
         .dropDuplicates(["key"])
     )
 
 
-def _both(near: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``pairs`` (a stored table of value, term and more) with the key of each text that holds
-    both."""
-    terms = staged(pairs.select(F.col("term").alias("wanted")).distinct(), "pii-wanted")
-    return (
-        near.select("key", "values", F.explode("terms").alias("term"))
-        .join(small_side(terms), F.col("term") == F.col("wanted"), "left_semi")
-        .select("key", "term", F.explode("values").alias("value"))
-        .join(small_side(pairs), ["value", "term"])
-    )
+def _distinct_texts(docs: DataFrame) -> tuple[DataFrame, int]:
+    """Each distinct text of ``docs`` once, and their number.  Only texts that occur more than
+    once are brought together by their digests; all others stay where they are."""
+    digests = docs.groupBy(F.md5("text").alias("digest")).agg(F.count(F.lit(1)).alias("n"))
+    copies = staged(digests.where("n > 1"), "pii-copies")
+    n_rows, counted = docs.count(), copies.agg(F.count(F.lit(1)), F.sum("n")).first()
+    keyed = docs.select("text", F.md5("text").alias("digest"))
+    known = small_bytes(copies.select("digest"), F.lit(64))
+    once = keyed.join(known, "digest", "left_anti").select("text")
+    several = keyed.join(known, "digest", "left_semi").dropDuplicates(["digest"]).select("text")
+    return once.unionByName(several), n_rows - (counted[1] or 0) + counted[0]
 
 
-def disclosing_terms(docs: DataFrame, near: DataFrame, *, support: int = SUPPORT,
-                     generalise_at: float = GENERALISE_AT) -> DataFrame:
-    """value (an entity), term and share, the part of its information that the term carries.
+def _pairs(based: DataFrame, per_value: DataFrame, per_term: DataFrame, n_docs: int,
+           generalise_at: float) -> DataFrame:
+    """(key, value, term, df_value, df_term) for the pairs of a text that can carry the share.
 
-    ``docs`` has all texts, ``near`` is what :func:`_terms_near` made of them.
+    A share of g asks for n(c,t) >= df(t) (df(c) / N) ^ (1 - g).  As n(c,t) is at most df(c) and
+    at most the number of texts with values that hold t, most pairs are out before they are
+    made; what is left is exploded, and nothing that could pass is missing.
     """
-    texts = staged(docs.select("text").distinct(), "pii-distinct")
-    n_docs = texts.count()
+    held = F.collect_list(F.struct("term", "df_based", "df_term")).alias("terms")
+    terms = based.select("key", F.explode("terms").alias("term")).join(
+        small_bytes(per_term, F.octet_length("term") + 64), "term").groupBy("key").agg(held)
+    values = based.select("key", F.explode("values").alias("value")).join(
+        small_bytes(per_value, F.octet_length("value") + 64), "value").groupBy("key").agg(
+        F.collect_list(F.struct("value", "df_value")).alias("values"))
+
+    def of(c: Column) -> Column:
+        needed = F.pow(c["df_value"] / F.lit(float(max(n_docs, 1))), F.lit(1 - generalise_at))
+        can = F.filter("terms", lambda t: F.least(t["df_based"], c["df_value"])
+                       >= t["df_term"] * (needed - 1e-9))
+        return F.transform(can, lambda t: F.struct(
+            c["value"].alias("value"), t["term"].alias("term"),
+            c["df_value"].alias("df_value"), t["df_term"].alias("df_term")))
+
+    return terms.join(values, "key").select(
+        "key", F.explode(F.flatten(F.transform("values", of))).alias("pair")).select(
+        "key", "pair.*")
+
+
+def _told(docs: DataFrame, based: DataFrame, support: int,
+          generalise_at: float) -> tuple[DataFrame, DataFrame]:
+    """``value`` (an entity), ``term`` and ``share``, the part of its information that the term
+    carries; and the stored pairs of each text that they were counted from."""
     per_value = staged(
-        near.select(F.explode("values").alias("value")).groupBy("value")
+        based.select(F.explode("values").alias("value")).groupBy("value")
         .agg(F.count(F.lit(1)).alias("df_value")).where(F.col("df_value") >= support), "pii-values")
-    nominated = staged(
-        near.select(F.explode("pairs").alias("p")).select("p.value", "p.term")
-        .join(small_side(per_value), "value").distinct(), "pii-nominated")
-    wanted = staged(nominated.select(F.col("term").alias("wanted")).distinct(), "pii-terms")
+    wanted = staged(
+        based.select(F.explode("terms").alias("term")).groupBy("term")
+        .agg(F.count(F.lit(1)).alias("df_based")).where(F.col("df_based") >= support), "pii-terms")
+    texts, n_docs = _distinct_texts(docs)
+    least = (support / max(n_docs, 1)) ** (1 - generalise_at)
+    # Counted before the join, so that what is shuffled is each task's vocabulary.
     per_term = staged(
-        texts.select(F.explode(_terms(F.col("text"))).alias("term"))
-        .join(small_side(wanted), F.col("term") == F.col("wanted"), "left_semi")
-        .groupBy("term").agg(F.count(F.lit(1)).alias("df_term"))
-        .where(F.col("df_term") >= support), "pii-term-counts")
-    # As n <= df_value, a term in more texts than this cannot have the share asked for; where all
-    # texts hold the value, only the terms that all of its texts have are left.
-    most = ((1 - generalise_at) * F.log2(F.lit(float(max(n_docs, 1))))
-            + generalise_at * F.log2(F.col("df_value").cast("double")))
-    pairs = staged(
-        nominated.join(small_side(per_term), "term")
-        .where(F.log2(F.col("df_term").cast("double")) <= most + 1e-9), "pii-pairs")
-    together = _both(near, pairs).groupBy("value", "term", "df_value", "df_term").agg(
+        texts.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term")
+        .agg(F.count(F.lit(1)).alias("df_term"))
+        .join(small_bytes(wanted, F.octet_length("term") + 64), "term")
+        .where(F.col("df_based") >= F.col("df_term") * (least - 1e-9)), "pii-term-counts")
+    pairs = staged(_pairs(based, per_value, per_term, n_docs, generalise_at), "pii-pairs")
+    together = pairs.groupBy("value", "term").agg(
+        F.first("df_value").alias("df_value"), F.first("df_term").alias("df_term"),
         F.count(F.lit(1)).alias("n")).where(F.col("n") >= support)
     pmi = F.log2(F.col("n") * F.lit(float(n_docs)) / (F.col("df_value") * F.col("df_term")))
     content = F.log2(F.lit(float(n_docs)) / F.col("df_value"))
     # A term found with the value alone carries all of it, whatever the rounding.
     share = F.when(F.col("n") == F.col("df_term"), 1.0).when(content > 0, pmi / content)
-    return together.select(
-        "value", "term", share.alias("share")).where(F.col("share") >= generalise_at)
+    told = together.select("value", "term", share.alias("share")).where(
+        F.col("share") >= generalise_at)
+    return staged(told, "pii-told"), pairs
+
+
+def disclosing_terms(docs: DataFrame, *, text: str = "text", support: int = SUPPORT,
+                     generalise_at: float = GENERALISE_AT) -> DataFrame:
+    """The (value, term, share) that the texts of ``docs`` give evidence of."""
+    rows = docs.select(text_or_empty(text).alias("text"))
+    based = staged(_based(rows.withColumn("base", base_spans(F.col("text")))), "pii-based")
+    return _told(rows, based, support, generalise_at)[0]
 
 
-def _own_terms(near: DataFrame, told: DataFrame, remove_at: float) -> DataFrame:
+def _own_terms(pairs: DataFrame, told: DataFrame, remove_at: float) -> DataFrame:
     """Per key of a text, a map ``told`` of the disclosing terms that stand in it: whether they
     are to be removed."""
+    size = F.octet_length("value") + F.octet_length("term") + 64
     return (
-        _both(near, told).groupBy("key", "term").agg(F.max("share").alias("share"))
+        pairs.join(small_bytes(told, size), ["value", "term"])
+        .groupBy("key", "term").agg(F.max("share").alias("share"))
         .groupBy("key").agg(F.map_from_entries(F.collect_list(
             F.struct("term", F.col("share") >= remove_at))).alias("told"))
     )
@@ -260,10 +270,9 @@ def find(docs: DataFrame, *, text: str = "text", support: int = SUPPORT,
     rows = docs.select(whole_row(docs),
                        text_or_empty(text).alias("text"))
     based = rows.withColumn("base", base_spans(F.col("text")))
-    near = staged(_terms_near(based), "pii-near")
-    told = disclosing_terms(rows, near, support=support, generalise_at=generalise_at)
-    told = staged(told, "pii-told")
-    per_text = staged(_own_terms(near, told, remove_at), "pii-texts")
+    stored = staged(_based(based), "pii-based")
+    told, pairs = _told(rows, stored, support, generalise_at)
+    per_text = staged(_own_terms(pairs, told, remove_at), "pii-texts")
     size = F.aggregate(F.map_keys("told"), F.lit(64), lambda n, t: n + F.octet_length(t) + 16)
     every_base = F.concat(*[F.col("base")[k] for k in KINDS])
     spans = _let(every_base, lambda base: F.filter(

@@ -103,12 +103,8 @@ def test_shares_follow_the_definition(docs_of):
     from math import log2
 
     docs = docs_of(disclosure_docs())
-    from pyspark.sql import functions as F
-
-    rows = docs.withColumn("base", pii.base_spans(F.col("text")))
-    near = pii._terms_near(rows)
     got = {(r.value, r.term): r.share for r in
-           pii.disclosing_terms(docs, near, generalise_at=-99).collect()}
+           pii.disclosing_terms(docs, generalise_at=-99).collect()}
     n = len(disclosure_docs())
     assert got["email:secret@mail.example", "quimby"] == pytest.approx(
         log2(4 * n / (4 * 5)) / log2(n / 4))
@@ -140,26 +136,69 @@ def test_values_that_occur_once_share_entities(docs_of):
 
 
 def test_counts_are_of_whole_texts(docs_of):
-    """A name in the heading and the address in the footer, near each other in one text only."""
+    """A name in the heading and the address in the footer, never near each other."""
     filler = "common words of no interest " * 8
-    rows = [(i, f"Florbex {filler if i else ''}{i} footer@mail.example") for i in range(10)]
+    rows = [(i, f"Florbex {filler}{i} footer@mail.example") for i in range(10)]
     rows += [(20 + i, f"{filler} {i} footer mail example") for i in range(100)]
     terms = {r.doc.doc_id: {m.v: m.remove for m in r.terms}
              for r in pii.find(docs_of(rows)).collect()}
     assert all(terms[i] == {"Florbex": True} for i in range(10))
 
 
-def test_a_text_gets_its_own_terms_only(spark, docs_of):
-    from pyspark.sql import functions as F
-
-    rows = [(i, f"term{i} at hot@mail.example") for i in range(5)]
-    near = pii._terms_near(docs_of(rows).withColumn("base", pii.base_spans(F.col("text"))))
+def test_a_text_gets_its_own_terms_only(spark):
+    pairs = spark.createDataFrame([(f"k{i}", "email:hot@mail.example", f"term{i}") for i in range(5)],
+                                  "key string, value string, term string")
     told = spark.createDataFrame([("email:hot@mail.example", f"term{i}", 0.9 + i % 2 / 10)
                                   for i in range(50)], "value string, term string, share double")
-    maps = [r.told for r in pii._own_terms(near, told, 1.0).collect()]
+    maps = [r.told for r in pii._own_terms(pairs, told, 1.0).collect()]
     assert sorted(map(str, maps)) == [f"{{'term{i}': {i % 2 == 1}}}" for i in range(5)]
 
 
+def plain_shares(texts, entities_of, support=3, at=0.9):
+    """Shares over distinct texts, pair by pair."""
+    from math import log2
+
+    texts = sorted(set(texts))
+    words = [set(w for w in re.findall(r"[^\W_]+", t.lower()) if len(w) >= 3) for t in texts]
+    held = [entities_of(t) for t in texts]
+    n, df = len(texts), Counter(w for ws in words for w in ws)
+    df_c = Counter(c for cs in held for c in cs)
+    both = Counter((c, w) for cs, ws in zip(held, words, strict=True) for c in cs for w in ws)
+    out = {}
+    for (c, w), k in both.items():
+        if min(k, df_c[c]) >= support:
+            share = 1.0 if k == df[w] else None
+            if share is None and n > df_c[c]:
+                share = log2(k * n / (df_c[c] * df[w])) / log2(n / df_c[c])
+            if share is not None and share >= at:
+                out[c, w] = share
+    return out
+
+
+def test_no_pair_is_lost_before_it_is_counted(docs_of):
+    """Random texts with recurring mail domains, some of them copies, against all pairs."""
+    rng = random.Random(11)
+    vocabulary = [f"word{i}" for i in range(60)]
+    texts = []
+    for _ in range(220):
+        domain = rng.choice(["", "", "", "a.example", "b.example", "c.example"])
+        own = [f"{domain[:1] * 3}{rng.randint(0, 5)}"] if domain and rng.random() < 0.8 else []
+        body = rng.sample(vocabulary, 6) + own + ([f"u{rng.randint(0, 9)}@{domain}"] if domain else [])
+        texts.append(" ".join(body))
+    texts += texts[:40]
+
+    def entities_of(text):
+        found = re.findall(r"(\w+@([a-c]\.example))", text)
+        return {e for v, d in found for e in (f"email:{v}", f"email-domain:{d}")}
+
+    for at in (0.9, 0.5):
+        got = {(r.value, r.term): r.share for r in pii.disclosing_terms(
+            docs_of(list(enumerate(texts))), generalise_at=at).collect()}
+        want = plain_shares(texts, entities_of, at=at)
+        assert set(got) == set(want) and len(want) > 10
+        assert all(got[k] == pytest.approx(want[k]) for k in want)
+
+
 def test_pii_edges(docs_of):
     docs = docs_of(EDGES, clashing=True)
     assert sorted(map(str, (r.text for r in pii.sanitise(docs).collect()))) == sorted(
