@@ -207,10 +207,61 @@ SELECT doc_id, size, source_size, target, epochs * size + CASE WHEN epochs < 3 T
 FROM placed
 """
 
+OP12 = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i
+  FROM documents),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines),
+often AS (
+  SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 40
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 5)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (doc_id <> last) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (last IS NULL OR doc_id = last),
+                       '')) AS kept_sha256
+FROM keyed LEFT JOIN often USING (key) GROUP BY doc_id
+"""
+
+OP13 = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+sizes AS (SELECT count(*) FILTER (len(terms) > 0) AS n_docs, sum(len(terms))::BIGINT AS n_terms
+          FROM docs),
+items AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+occurs AS (
+  SELECT doc_id, n, term, count(*) AS tf
+  FROM (SELECT doc_id, len(terms) AS n, unnest(terms) AS term FROM docs)
+  WHERE term IN (SELECT term FROM items) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM occurs, sizes GROUP BY term, n_docs),
+scores AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf)
+           // (1000 * tf + 20 * (100 - 50 + ((50 * n * n_docs) // n_terms)))))::BIGINT AS score
+  FROM occurs JOIN weights USING (term) JOIN items USING (term), sizes
+  GROUP BY item_id, doc_id),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER
+           AS rank, doc_id, score
+  FROM scores WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 50
+"""
+
 ORACLE = {
     "op1_pii": OP1,
     "op4_embedding_dedup": OP4,
     "op5_quality_rules": OP5,
     "op6_minhash_dedup": OP6,
     "op10_mixing": OP10,
+    "op12_line_dedup": OP12,
+    "op13_lexical_search": OP13,
 }

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from netrollup.llm import (
     embedding_dedup,
     language,
+    lexical_search,
+    line_dedup,
     minhash,
     mixing,
     packing,
@@ -17,6 +19,7 @@ from netrollup.llm import (
     quality,
     rules,
     token_counts,
+    whitening,
 )
 from netrollup.llm import license as notices
 from netrollup.llm.common import table
@@ -107,6 +110,23 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("times") * F.col("size") + F.col("part")).alias("taken"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).select(
+        F.col("doc.vec_id").alias("vec_id"), "component", "n", "deviation", "whitened", "explained",
+        "identity_error")
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_lines(table(spark, sf_dir, "documents")).select(
+        F.col("doc.doc_id").alias("doc_id"), "n_lines", "n_dropped",
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "benchmark"),
+                                 table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_language_id": op2_language_id,
@@ -119,5 +139,8 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_mixing": op10_mixing,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_lexical_search": op13_lexical_search,
     "pipeline": corpus_pipeline.run,
 }
