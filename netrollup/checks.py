@@ -17,9 +17,11 @@ from netrollup.shared import new_path, stage
 from netrollup.sinks.merge import merge, read_table
 from netrollup.sources.files import stream_archive, write_archive
 from netrollup.sources.sample import raw_from_events, read_events, sample_raw
+from netrollup.sources.segments import read_range, stream_segments, with_offsets, write_segments
 from netrollup.streaming.arrival import arrival_stream
 from netrollup.streaming.common import table_sink
 from netrollup.streaming.event_time import event_stream
+from netrollup.streaming.stateful import read_late, stateful_stream
 
 DAY = 86400
 CUT_EVERY = 97
@@ -274,6 +276,70 @@ def stream_event_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{path}/tables/{FLOW.table}").select(FLOW.columns)
 
 
+#: Every tenth message of the state check takes ten days to arrive.
+SLOW = "if(e % 10 = 3, 864000, 0)"
+CLOSE_DELAY = DAY // 2
+
+
+def _segments(spark: SparkSession, sf_dir: str, delay_s: str = "0") -> DataFrame:
+    """The flow topic's lines in two partitions, with offsets by arrival."""
+    raw = raw_from_events(read_events(spark, sf_dir), delay_s=delay_s)
+    flow = raw.where((F.col("topic") == FLOW.topic) & F.col("value").contains(f'"{FLOW.tag}"'))
+    nth = F.get_json_object("value", "$.rxBytes").cast("bigint")
+    return stage(with_offsets(flow, F.col("value").contains('"eth1"'), nth), [])
+
+
+def _closing_stream(spark: SparkSession, path: str, cap: int, once: bool = False) -> None:
+    """Work off the archive at ``path``, ``cap`` records of each partition in a batch."""
+    raw = stream_segments(spark, f"{path}/raw", rate_per_partition=cap, trigger_s=1,
+                          position=f"{path}/position")
+    stateful_stream(
+        raw, [FLOW], table_sink(f"{path}/tables", slice_s=DAY), f"{path}/progress",
+        lambda start, end: read_range(spark, f"{path}/raw", start, end), f"{path}/late",
+        window_s=DAY, delay_s=CLOSE_DELAY, once=once, trigger_s=0,
+    ).drain()
+
+
+def stream_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows written as they close, and the late lines of each; the stream is stopped half-way
+    and started again."""
+    path, records = new_path(spark, "closing"), _segments(spark, sf_dir, SLOW)
+    n = records.count()
+    cap = n // 12
+    for half in (F.col("offset") < 3 * cap, F.col("offset") >= 3 * cap):
+        write_segments(records.where(half), f"{path}/raw", segment_rows=max(n // 20, 1))
+        _closing_stream(spark, path, cap)
+    late = read_late(spark, f"{path}/late").groupBy(
+        "partition", bucket_ms(F.unix_seconds("event_ts"), DAY).alias("window")).agg(
+        F.count(F.lit(1)).alias("n"))
+    return _all_long({FLOW.table: read_table(spark, f"{path}/tables/{FLOW.table}")
+                      .select(FLOW.columns)}).unionByName(late.select(
+        F.lit("late").alias("table_name"), F.col("partition").cast("string").alias("_id"),
+        F.col("window").alias("dealTime"), F.lit("n_lines").alias("column_name"),
+        F.lit(None).cast("string").alias("text"), F.col("n").cast("double").alias("number")))
+
+
+def stream_delivered_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record is delivered a second time, under the same offset."""
+    path, records = new_path(spark, "twice"), _segments(spark, sf_dir)
+    n = records.count()
+    for _ in range(2):
+        write_segments(records, f"{path}/raw", segment_rows=max(n // 6, 1))
+    _closing_stream(spark, path, max(n // 6, 1), once=True)
+    return read_table(spark, f"{path}/tables/{FLOW.table}").select(FLOW.columns)
+
+
+def op_offset_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a capped reader takes in its second batch, read again by offsets."""
+    path, records = new_path(spark, "range"), _segments(spark, sf_dir)
+    write_segments(records, path, segment_rows=16)
+    start, end = ({f"{FLOW.topic}/{p}": at for p in (0, 1)} for at in (10, 40))
+    return read_range(spark, path, start, end).groupBy("topic", "partition").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.min("offset").alias("first_offset"),
+        F.max("offset").alias("last_offset"),
+        F.sum(F.get_json_object("value", "$.rxBytes").cast("bigint")).alias("rx_bytes"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -282,7 +348,8 @@ QUERIES = {
         op_bucket5_float32, op_doc_key_null, op_ratio_zero, r09_at_300s, r09_by_arrival,
         r06_float32, all_tables_one_pass, op_upsert_merge, op_upsert_collisions,
         stream_arrival_rollup, stream_arrival_restart, stream_arrival_windows,
-        stream_event_rollup, stream_event_late,
+        stream_event_rollup, stream_event_late, stream_closed_windows, stream_delivered_twice,
+        op_offset_range,
     )
 } | {
     "stream_program": _program("vpe"),

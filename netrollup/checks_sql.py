@@ -183,9 +183,45 @@ def _all_long(tables: dict[str, str]) -> str:
     return " union all ".join(_long(key, sql) for key, sql in tables.items())
 
 
+_SLOW = "case when e % 10 = 3 then 864000 else 0 end"
 _TABLES = _tables()
 _R5, _R9 = _TABLES["r05_cpe_pop"], _TABLES["r09_vpe_interface"]
 
+# The flow topic's lines as records of two partitions: their offsets, the batches a capped reader
+# makes of them, and whether a line comes after its window was closed.  A batch turns away what the
+# watermark of the batch before had passed; between the two halves of the stream the watermark
+# moves on in a batch without lines.
+_RECORDS = """
+records as (
+  select *, row_number() over (partition by side order by c + {delay}, e) - 1 as off,
+         count(*) over () // {parts} as cap
+  from m where route = 7
+), batches as (select *, off // cap as batch from records),
+times as (select batch, max(c) as c from batches group by batch),
+closed as (
+  select b.batch, max(t.c) - 43200 as until from times b join times t
+    on t.batch <= b.batch - case when b.batch = {restart} then 1 else 2 end group by b.batch),
+told as (
+  select batches.*, coalesce(w + 86400 <= until, false) as late
+  from batches left join closed using (batch)),
+ended as (select max(c) - 43200 as last from records)
+"""
+
+
+def _closing(sql: str, delay: str, parts: int, restart: int) -> str:
+    """``sql`` over lines ``m`` for those alone that a window holds which has closed."""
+    records = _RECORDS.format(delay=delay, parts=parts, restart=restart)
+    own = " from told, ended where not late and w + 86400 <= last and "
+    return sql.replace(" from m where ", own).replace(_TELEMETRY, f"{_TELEMETRY}, {records}", 1)
+
+
+def _late_lines(delay: str, parts: int, restart: int) -> str:
+    records = _RECORDS.format(delay=delay, parts=parts, restart=restart)
+    return f"""
+        select 'late', side::varchar, w * 1000, 'n_lines', null, count(*)::double
+        from ({_TELEMETRY}, {records} select * from told where late) group by side, w"""
+
+
 # The same for one arrival window, labelled by hand.
 _ONE_WINDOW = _tables(window="1706745600", deal="1706745600000")
 
@@ -280,6 +316,15 @@ ORACLE: dict[str, str] = _TABLES | {
         "cast(floor(epoch(ts)) as bigint) as c",
         "cast(floor(epoch(ts)) as bigint) + case when event_id = (select max(event_id)"
         " from events where event_id % 11 = 7) then 72000 else 0 end as c"),
+    "stream_closed_windows": _long("r09_vpe_interface", _closing(_R9, _SLOW, 12, 3))
+    + " union all " + _late_lines(_SLOW, 12, 3),
+    "stream_delivered_twice": _closing(_R9, "0", 6, -1),
+    "op_offset_range": f"""
+        {_TELEMETRY}, {_RECORDS.format(delay="0", parts=6, restart=-1)}
+        select 'vpe' as topic, side::integer as partition, count(*) as n_lines,
+               min(off) as first_offset, max(off) as last_offset,
+               sum(e * 1500)::bigint as rx_bytes
+        from records where off >= 10 and off < 40 group by side""",
 } | {
     name: _one_result(program) for name, program in (
         ("stream_program", "vpe"), ("stream_program_cpe", "cpe"), ("stream_program_ce", "ce"))

@@ -16,12 +16,13 @@ from netrollup.schema import ALL_FIELDS, MISFIT, lenient_records, typed_schema
 
 
 def parse(raw: DataFrame, fields: Iterable[str] = ALL_FIELDS,
-          keep: Iterable[str] = ()) -> DataFrame:
+          keep: Iterable[str] = (), position: str | None = None) -> DataFrame:
     """Parse every line once; only ``fields`` are extracted.
 
     A line may hold one object or an array of objects; a blank line gives no
     row.  A malformed line gives one row with ``malformed`` set.  ``keep`` names
-    further columns of ``raw`` to carry along.
+    further columns of ``raw`` to carry along, ``position`` a column for an object's
+    place in its line.
     """
     fields, carried = list(fields), ["topic", "arrival", *keep]
     record = F.col("record")
@@ -33,7 +34,11 @@ def parse(raw: DataFrame, fields: Iterable[str] = ALL_FIELDS,
     records = F.expr(
         f"if(message.{MISFIT} is null, array(message), {lenient_records(fields)})"
     )
-    rows = lines.select(*carried, F.explode_outer(records).alias("record"))
+    if position is None:
+        rows = lines.select(*carried, F.explode_outer(records).alias("record"))
+    else:
+        rows = lines.select(*carried, F.posexplode_outer(records).alias(position, "record"))
+        carried.append(position)
     return rows.where(record.isNotNull()).select(
         *carried, record[MISFIT].alias("malformed"), *[record[f].alias(f) for f in fields]
     )

@@ -117,6 +117,12 @@ def rollup_many(parsed: DataFrame, specs, keep_malformed: bool = False) -> DataF
     return tagged.groupBy("rollup", "dealTime", *keys).agg(*aggs)
 
 
+def grouped_by(parsed: DataFrame, specs, window: Column) -> DataFrame:
+    """Aggregates of several roll-ups by another window than ``dealTime``."""
+    tagged, keys = _tagged(parsed, specs)
+    return tagged.groupBy("rollup", window, *keys).agg(*aggregates(specs))
+
+
 def malformed_of(grouped: DataFrame) -> DataFrame:
     """The malformed lines in the result of ``rollup_many``, each as often as it came."""
     return grouped.where(F.col("rollup") == MALFORMED).select(

@@ -5,9 +5,13 @@ Needs Spark's Kafka connector package on the session's class path.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 
-RAW_COLUMNS = ("topic", "cast(value as string) as value", "timestamp as arrival")
+# Topic, partition and offset are a record's identity: what is delivered twice has them twice.
+RAW_COLUMNS = ("topic", "cast(value as string) as value", "timestamp as arrival", "partition",
+               "offset")
 
 
 def kafka_options(servers: str, topics, starting: str = "latest",
@@ -45,3 +49,17 @@ def read_kafka_batch(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     """The records between the given offsets, by default all that the topics hold now."""
     return spark.read.format("kafka").options(**batch_options(options)).load() \
         .selectExpr(*RAW_COLUMNS)
+
+
+def read_kafka_range(spark: SparkSession, options: dict[str, str], start: dict,
+                     end: dict) -> DataFrame:
+    """The records between two sets of offsets, by topic and partition as a checkpoint has them."""
+    def at(offsets: dict, missing: int) -> str:
+        # A partition that one side lacks is read from its beginning.
+        return json.dumps({topic: {p: offsets.get(topic, {}).get(p, missing) for p in parts}
+                           for topic, parts in end.items()})
+
+    kept = {k: v for k, v in batch_options(options).items() if k != "subscribe"}
+    return read_kafka_batch(spark, kept | {
+        "assign": json.dumps({t: sorted(map(int, parts)) for t, parts in end.items()}),
+        "startingOffsets": at(start, -2), "endingOffsets": at(end, -1)})

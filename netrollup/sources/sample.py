@@ -65,10 +65,12 @@ def _message(tag: str, fields: dict[str, str]) -> str:
     return f"to_json(named_struct({pairs}))"
 
 
-def raw_from_events(events: DataFrame, cut_every: int | None = None) -> DataFrame:
+def raw_from_events(events: DataFrame, cut_every: int | None = None,
+                    delay_s: str = "0") -> DataFrame:
     """Raw records (``topic``, ``value``, ``arrival``), one per event.
 
-    ``cut_every=n`` spoils every n-th message by dropping its last character.
+    ``cut_every=n`` spoils every n-th message by dropping its last character; ``delay_s``, SQL
+    over the event id ``e``, is the time a message takes to arrive.
     """
     topic = " ".join(f"when {i} then '{t}'" for i, (t, _, _) in enumerate(ROUTES))
     value = " ".join(f"when {i} then {_message(g, f)}" for i, (_, g, f) in enumerate(ROUTES))
@@ -83,7 +85,7 @@ def raw_from_events(events: DataFrame, cut_every: int | None = None) -> DataFram
         "e",
         f"case e % 11 {topic} end as topic",
         f"explode(array({value})) as value",
-        "timestamp_seconds(c) as arrival",
+        f"timestamp_seconds(c + {delay_s}) as arrival",
     )
     if cut_every:
         raw = raw.withColumn("value", F.expr(
