@@ -14,6 +14,7 @@ from netrollup.operators.route import route
 from netrollup.plans.batch import replay, replay_all, replay_tables, route_counts
 from netrollup.plans.specs import BY_KEY, PROGRAMS, ROLLUPS
 from netrollup.shared import new_path, stage
+from netrollup.sinks.documents import read_documents, write_documents
 from netrollup.sinks.merge import merge, read_table
 from netrollup.sources.files import stream_archive, write_archive
 from netrollup.sources.sample import raw_from_events, read_events, sample_raw
@@ -21,7 +22,12 @@ from netrollup.sources.segments import read_range, stream_segments, with_offsets
 from netrollup.streaming.arrival import arrival_stream
 from netrollup.streaming.common import table_sink
 from netrollup.streaming.event_time import event_stream
-from netrollup.streaming.stateful import read_late, stateful_stream
+from netrollup.streaming.stateful import (
+    closed_windows,
+    read_late,
+    stateful_stream,
+    stream_documents,
+)
 
 DAY = 86400
 CUT_EVERY = 97
@@ -329,6 +335,34 @@ def stream_delivered_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{path}/tables/{FLOW.table}").select(FLOW.columns)
 
 
+def op_document_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as ``op_upsert_merge``, into the document store."""
+    path = new_path(spark, "documents")
+    full = stage(replay(sample_raw(spark, sf_dir), FLOW, window_s=DAY), [])
+    early = full.where(F.col("dealTime") <= EARLY_UNTIL).drop("rxBytes", "txBytes")
+    late = full.where(F.col("dealTime") >= LATE_FROM)
+    for rows in (early, late, early):
+        write_documents(rows, path, FLOW.table, list(FLOW.keys))
+    return read_documents(spark, path, FLOW.table, full.schema)
+
+
+def stream_document_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A replay's documents of one device without rates, then closed windows of all devices."""
+    path, records = new_path(spark, "store"), _segments(spark, sf_dir)
+    write_segments(records, f"{path}/raw", segment_rows=max(records.count() // 6, 1))
+    full = replay(sample_raw(spark, sf_dir), FLOW, window_s=DAY)
+    write_documents(full.where("resourceUuid = 'dev-0'").drop("rxBytes", "txBytes"), path,
+                    FLOW.table, list(FLOW.keys))
+    raw = stream_segments(spark, f"{path}/raw")
+    query = stream_documents(closed_windows(raw, [FLOW], DAY, CLOSE_DELAY), FLOW, path,
+                             f"{path}/progress", "flow", trigger_s=0)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return read_documents(spark, path, FLOW.table, full.schema)
+
+
 def op_offset_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a capped reader takes in its second batch, read again by offsets."""
     path, records = new_path(spark, "range"), _segments(spark, sf_dir)
@@ -349,7 +383,7 @@ QUERIES = {
         r06_float32, all_tables_one_pass, op_upsert_merge, op_upsert_collisions,
         stream_arrival_rollup, stream_arrival_restart, stream_arrival_windows,
         stream_event_rollup, stream_event_late, stream_closed_windows, stream_delivered_twice,
-        op_offset_range,
+        op_offset_range, op_document_upsert, stream_document_store,
     )
 } | {
     "stream_program": _program("vpe"),

@@ -319,6 +319,12 @@ ORACLE: dict[str, str] = _TABLES | {
     "stream_closed_windows": _long("r09_vpe_interface", _closing(_R9, _SLOW, 12, 3))
     + " union all " + _late_lines(_SLOW, 12, 3),
     "stream_delivered_twice": _closing(_R9, "0", 6, -1),
+    "stream_document_store": f"""
+        select * from ({_closing(_R9, "0", 6, -1)})
+        union all by name
+        select * replace (null::double as rxBytes, null::double as txBytes) from ({_R9})
+        where resourceUuid = 'dev-0'
+          and _id not in (select _id from ({_closing(_R9, "0", 6, -1)}))""",
     "op_offset_range": f"""
         {_TELEMETRY}, {_RECORDS.format(delay="0", parts=6, restart=-1)}
         select 'vpe' as topic, side::integer as partition, count(*) as n_lines,
@@ -330,6 +336,7 @@ ORACLE: dict[str, str] = _TABLES | {
         ("stream_program", "vpe"), ("stream_program_cpe", "cpe"), ("stream_program_ce", "ce"))
 }
 
+ORACLE["op_document_upsert"] = ORACLE["op_upsert_merge"]
 ORACLE["op_array_lines"] = (
     "select topic, resourceLogo, n_rows * 2 as n_rows, n_malformed"
     f" from ({ORACLE['op_route_counts']})"

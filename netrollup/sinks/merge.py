@@ -65,7 +65,7 @@ def one_row_each(rows: DataFrame, ids: DataFrame | None, order_by: list[str]) ->
     return rows.join(ids, is_one, "left_anti").unionByName(best)
 
 
-def _order(rows: DataFrame, keys: list[str] | None) -> list[str]:
+def collision_order(rows: DataFrame, keys: list[str] | None) -> list[str]:
     """Latest ``timestamp`` first, then the group keys, then every other column,
     so the choice among colliding rows is the same on every run."""
     first = [c for c in ["timestamp", *(keys or [])] if c in rows.columns]
@@ -167,7 +167,7 @@ def merge(rows: DataFrame, path: str, keys: list[str] | None = None,
             is_in = F.col(SLICE).isin([s for s in block if s is not None])
             mine = staged.where(is_in | F.col(SLICE).isNull() if None in block else is_in)
             _write_block(spark, path, block,
-                         one_row_each(mine, ids if found.n else None, _order(rows, keys)))
+                         one_row_each(mine, ids if found.n else None, collision_order(rows, keys)))
         return lost
     finally:
         for made in filter(None, (staged_path, ids_path)):

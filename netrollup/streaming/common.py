@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from netrollup.operators.parse import quarantine
+from netrollup.sinks.documents import write_documents
 from netrollup.sinks.merge import merge
 from netrollup.sinks.other import write_external
 
@@ -42,6 +43,14 @@ def external_sink(fmt: str, options: dict[str, str] | None = None,
     return write
 
 
+def document_sink(path: str) -> Sink:
+    """Upsert each roll-up into its collection of the document store at ``path``."""
+    def write(rows: DataFrame, spec) -> None:
+        write_documents(rows, path, spec.table, list(spec.keys))
+
+    return write
+
+
 def write_tables(spark: SparkSession, tables, sink: Sink, at_once: int = 4) -> None:
     """Hand (rows, roll-up) pairs to ``sink``, some side by side: each is a few short
     jobs that would leave a cluster idle one after the other."""

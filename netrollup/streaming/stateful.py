@@ -24,6 +24,7 @@ from netrollup.operators.parse import parse
 from netrollup.operators.rollup import event_seconds, grouped_by, table_of
 from netrollup.plans.batch import fields_of
 from netrollup.shared import read_stage, remove, write_stage
+from netrollup.sinks.documents import register
 from netrollup.streaming.common import Sink, start, write_tables
 from netrollup.streaming.windows import query_id
 
@@ -64,6 +65,17 @@ def closed_windows(raw: DataFrame, specs, window_s: int = 300, delay_s: int = 60
         "dealTime", F.unix_millis(F.col("window.start"))).drop("window")
 
 
+def stream_documents(closed: DataFrame, spec, path: str, checkpoint: str, batch: str,
+                     trigger_s: int = 300, compat_float32: bool = False) -> StreamingQuery:
+    """Upsert the closed windows of one roll-up into its collection as they come, without
+    ``foreachBatch``.  ``batch`` names the query among all that write to the collection."""
+    register(closed.sparkSession)
+    writer = table_of(closed, spec, compat_float32).writeStream.outputMode("append") \
+        .format("documents").option("path", path).option("collection", spec.table) \
+        .option("batch", batch)
+    return start(writer, checkpoint, trigger_s, False)
+
+
 class LateLines:
     """The lines that a query's closed windows do not hold, by batch."""
 
