@@ -8,7 +8,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netrollup.functions import bucket_ms, doc_key, epoch_seconds_ntz, ratio, round2
+from netrollup.functions import (
+    bucket_ms,
+    doc_key,
+    epoch_seconds_ntz,
+    exact_mean,
+    ratio,
+    round2,
+)
 from netrollup.operators.parse import parse, quarantine
 from netrollup.operators.route import route
 from netrollup.plans.batch import replay, replay_all, replay_tables, route_counts
@@ -118,6 +125,15 @@ def op_ratio_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op_exact_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Great values that cancel out, added in an order that changes with every run."""
+    far = (F.col("event_id") % 3 - 1) * F.lit(1e9) + F.col("value")
+    shuffled = read_events(spark, sf_dir).repartition(7, F.rand())
+    return shuffled.groupBy((F.col("user_id") % 7).alias("device")).agg(
+        F.round(exact_mean(far).cast("decimal(28,9)"), 4).cast("double").alias("mean"),
+        round2(exact_mean(F.col("value"))).alias("mean2"))
+
+
 def r09_at_300s(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay(sample_raw(spark, sf_dir), FLOW, window_s=300)
 
@@ -379,7 +395,7 @@ QUERIES = {
     for f in (
         op_route_counts, op_cpe_flag_route, op_quarantine, op_after_quarantine,
         op_lenient_numbers, op_array_lines, op_replay_quarantine, op_bucket5,
-        op_bucket5_float32, op_doc_key_null, op_ratio_zero, r09_at_300s, r09_by_arrival,
+        op_bucket5_float32, op_doc_key_null, op_ratio_zero, op_exact_means, r09_at_300s, r09_by_arrival,
         r06_float32, all_tables_one_pass, op_upsert_merge, op_upsert_collisions,
         stream_arrival_rollup, stream_arrival_restart, stream_arrival_windows,
         stream_event_rollup, stream_event_late, stream_closed_windows, stream_delivered_twice,

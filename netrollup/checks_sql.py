@@ -24,6 +24,10 @@ def _r2(x: str) -> str:
     return f"cast(round(cast({x} as decimal(38,8)), 2) as double)"
 
 
+def _whole(x: str) -> str:
+    return f"cast(floor(cast({x} as decimal(38,8))) as bigint)"
+
+
 def _growth(x: str) -> str:
     return f"max({x}) - min({x})"
 
@@ -135,11 +139,11 @@ def _tables(**options) -> dict[str, str]:
                 "diskAvalible": _r2("avg(v * 10000) / 1024 / 1024"),
                 "diskTotal": _r2("avg(5000000 + e) / 1024 / 1024"),
                 "inodesTotal": "cast(floor(avg(100000)) as bigint)",
-                "inodesFree": "cast(floor(avg(v * 100)) as bigint)",
+                "inodesFree": _whole("avg(v * 100)"),
             },
             "route = 5", ["resourceUuid"]),
         "r08_vpe_connection": of(
-            _device("vpeConnection"), {"connections": "cast(floor(avg(v)) as bigint)"},
+            _device("vpeConnection"), {"connections": _whole("avg(v)")},
             "route = 6", ["resourceUuid"]),
         "r09_vpe_interface": _flow(_PORT_KEYS, ["resourceUuid", "ifName"], **options),
         "r10_vpe_peer_flow": _flow(
@@ -287,6 +291,11 @@ ORACLE: dict[str, str] = _TABLES | {
         select device, {_r2('avg(used) * 100')} as diskUsedRate, count(used) as n_used,
                count(*) as n_all
         from t group by device""",
+    "op_exact_means": f"""
+        select user_id % 7 as device,
+               cast(round(cast(favg((event_id % 3 - 1) * 1e9::double + value) as decimal(28,9)), 4)
+                    as double) as mean, {_r2('avg(value)')} as mean2
+        from events group by user_id % 7""",
     "r09_at_300s": _flow(_PORT_KEYS, ["resourceUuid", "ifName"], window="(c - c % 300)"),
     "r09_by_arrival": _R9,
     "r06_float32": _rollup(

@@ -3,11 +3,15 @@
 from netrollup.functions.metrics import (
     bit_rate,
     delta,
+    exact_mean,
+    mean_of_parts,
     percent,
     ratio,
     round2,
     span,
+    sum_parts,
     to_mega,
+    whole,
 )
 from netrollup.functions.timekeys import (
     bucket_ms,
@@ -18,5 +22,6 @@ from netrollup.functions.timekeys import (
 
 __all__ = [
     "bit_rate", "bucket_ms", "delta", "doc_key", "epoch_seconds_ntz",
-    "percent", "ratio", "round2", "slice_ms", "span", "to_mega",
+    "exact_mean", "mean_of_parts", "percent", "ratio", "round2", "slice_ms", "span", "sum_parts",
+    "to_mega", "whole",
 ]

@@ -13,14 +13,51 @@ from pyspark.sql import functions as F
 def round2(x: Column) -> Column:
     """HALF_UP to two places.
 
-    Rounding goes through decimal(38,8), which absorbs the last-bit noise that
-    summation order leaves in a double average.  Values a decimal cannot hold
+    Rounding goes through decimal(38,8), which absorbs the last-bit noise of binary
+    fractions: 0.145 counts as that.  Values a decimal cannot hold
     (NaN, infinities, 1e30 and up) take the plain double rounding.
     """
     exact = F.round(x.try_cast("decimal(38,8)"), 2).cast("double")
     return F.coalesce(exact, F.round(x, 2))
 
 
+def whole(x: Column) -> Column:
+    """Floor; what binary fractions leave below a whole number counts as that, as in ``round2``."""
+    exact = F.floor(x.try_cast("decimal(38,8)")).try_cast("bigint")
+    return F.coalesce(exact, F.floor(x))
+
+
+#: Below this, a value is added up as a whole number and a fraction in parts of 2^-36.
+_EXACT = 2.0 ** 36
+
+
+def sum_parts(x: Column) -> dict[str, Column]:
+    """Aggregates that give the sum of ``x`` whatever the order of the rows: sums of the whole
+    numbers and of the fractions, both integers, a plain sum of what is too great for that, and
+    the count.  Those of several batches add up, column by column."""
+    small = F.abs(x) < _EXACT
+    whole = F.floor(x)
+    part = F.rint((x - whole) * _EXACT).cast("bigint")
+    return {
+        "whole": F.try_sum(F.when(small, whole)), "part": F.try_sum(F.when(small, part)),
+        "rest": F.sum(F.when(~small, x)), "n": F.count(x),
+    }
+
+
+def mean_of_parts(whole: Column, part: Column, rest: Column, n: Column) -> Column:
+    """The mean from the results of :func:`sum_parts`; null where nothing was counted."""
+    def or_zero(value: Column) -> Column:
+        return F.coalesce(value.cast("double"), F.lit(0.0))
+
+    total = or_zero(whole) + or_zero(part) / _EXACT + or_zero(rest)
+    return F.try_divide(total, n.cast("double"))
+
+
+def exact_mean(x: Column) -> Column:
+    """``avg`` that does not depend on the order in which rows are added."""
+    return mean_of_parts(**sum_parts(x))
+
+
 def percent(x: Column) -> Column:
     return x * 100
 

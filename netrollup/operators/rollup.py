@@ -1,8 +1,9 @@
 """Group parsed rows and compute a roll-up's output columns.
 
-Rows carry ``dealTime`` (ms), the window they belong to.  All aggregates are
-``avg``, ``max`` and ``min``, so Spark combines them before the shuffle and a hot
-key costs one partial row per task, however many samples it has.
+Rows carry ``dealTime`` (ms), the window they belong to.  All aggregates are sums,
+counts, ``max`` and ``min``, so Spark combines them before the shuffle and a hot key
+costs one partial row per task, however many samples it has.  Means come from sums of
+integers, so a value at the edge of rounding falls on the same side on every run.
 """
 
 from __future__ import annotations
@@ -10,7 +11,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from netrollup.functions import bucket_ms, delta, doc_key, span
+from netrollup.functions import (
+    bucket_ms,
+    delta,
+    doc_key,
+    exact_mean,
+    mean_of_parts,
+    span,
+    sum_parts,
+)
 from netrollup.operators.route import rollups_fed
 from netrollup.plans.specs import row_value
 from netrollup.schema import EVENT_TIME
@@ -49,11 +58,11 @@ def aggregates(specs) -> list[Column]:
     gauges = dict.fromkeys(n for s in specs for n in s.inputs(gauges=True))
     counters = dict.fromkeys(n for s in specs for n in s.inputs(gauges=False))
     seconds = F.col(EVENT_TIME)
-    columns = [F.avg(row_value(n)).alias(f"mean_{n}") for n in gauges]
+    columns = [exact_mean(row_value(n)).alias(f"mean_{n}") for n in gauges]
     columns += [delta(row_value(n)).alias(f"growth_{n}") for n in counters]
     if counters:
         columns.append(span(seconds).alias("span_s"))
-    return columns + [F.avg(seconds).alias("mean_s")]
+    return columns + [exact_mean(seconds).alias("mean_s")]
 
 
 def finish(grouped: DataFrame, spec, compat_float32: bool = False) -> DataFrame:
@@ -143,7 +152,7 @@ def partials_many(parsed: DataFrame, specs) -> DataFrame:
     tagged, keys = _tagged(parsed, specs)
     columns = []
     for name, value in [*((n, row_value(n)) for n in gauges), ("s", F.col(EVENT_TIME))]:
-        columns += [F.sum(value).alias(f"sum_{name}"), F.count(value).alias(f"n_{name}")]
+        columns += [c.alias(f"{part}_{name}") for part, c in sum_parts(value).items()]
     for name, value in [*((n, row_value(n)) for n in counters), ("s", F.col(EVENT_TIME))]:
         columns += [F.max(value).alias(f"max_{name}"), F.min(value).alias(f"min_{name}")]
     return tagged.groupBy("rollup", "dealTime", *keys).agg(*columns)
@@ -154,8 +163,8 @@ def combine(partials: DataFrame, specs) -> DataFrame:
     gauges, counters = _inputs(specs)
     columns = []
     for name in [*gauges, "s"]:
-        mean = F.try_divide(F.sum(f"sum_{name}"), F.sum(f"n_{name}").cast("double"))
-        columns.append(mean.alias(f"mean_{name}"))
+        added = {part: F.try_sum(f"{part}_{name}") for part in ("whole", "part", "rest", "n")}
+        columns.append(mean_of_parts(**added).alias(f"mean_{name}"))
     for name in counters:
         columns.append(F.try_subtract(F.max(f"max_{name}"), F.min(f"min_{name}"))
                        .alias(f"growth_{name}"))

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from netrollup.functions import bit_rate, percent, ratio, round2, to_mega
+from netrollup.functions import bit_rate, percent, ratio, round2, to_mega, whole
 from netrollup.schema import EVENT_TIME
 
 MEAN, FLOOR, GROWTH, RATE = "mean", "floor", "growth", "rate"
@@ -45,7 +45,7 @@ class Measure:
     def value(self, aggregate: Column, seconds: Column) -> Column:
         """Output value from the group's mean (gauge) or growth (counter)."""
         if self.kind == FLOOR:
-            return F.floor(aggregate)
+            return whole(aggregate)
         if self.kind == GROWTH:
             return aggregate
         if self.kind == RATE:

@@ -1,6 +1,7 @@
 """Column helpers on hand-made values."""
 
 import datetime as dt
+import math
 
 import pytest
 from hypothesis import given, settings
@@ -13,10 +14,13 @@ from netrollup.functions import (
     delta,
     doc_key,
     epoch_seconds_ntz,
+    exact_mean,
+    mean_of_parts,
     ratio,
     round2,
     slice_ms,
     span,
+    sum_parts,
 )
 
 
@@ -114,3 +118,37 @@ def test_epoch_seconds_ignore_the_session_zone(spark, when):
             assert one(spark, epoch_seconds_ntz(ts)) == want
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_means_do_not_depend_on_the_order_of_rows(spark):
+    """Two devices at an edge of rounding; doubles added in other orders fall on either side."""
+    values = [0.1, 0.2, 0.3, 0.4, 0.005, 1e10, -1e10, 33.335, 1 / 3, -7.77] * 30
+    rows = [(d, v) for d in ("a", "b") for v in values]
+    means = set()
+    for parts in (1, 3, 7):
+        for order in (rows, rows[::-1], sorted(rows, key=str)):
+            df = spark.createDataFrame(order, "d string, v double").repartition(parts)
+            got = df.groupBy("d").agg(exact_mean(F.col("v")).alias("m")).collect()
+            means |= {r.m for r in got}
+    assert len(means) == 1
+    assert means.pop() == pytest.approx(math.fsum(values) / len(values), abs=1e-11)
+
+
+def test_means_of_odd_values(spark):
+    def mean(*values):
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        return df.agg(exact_mean(F.col("v")).alias("m")).first().m
+
+    assert mean(None, None) is None and mean() is None
+    assert mean(1.0, None, 2.0) == 1.5 and mean(-0.25, -0.5) == -0.375
+    assert mean(1e300, 1e300) == 1e300 and mean(float("inf"), 1.0) == float("inf")
+    assert math.isnan(mean(float("nan"), 1.0))
+    assert mean(2.0 ** 40, 1.0) == (2.0 ** 40 + 1) / 2
+
+
+def test_parts_of_batches_add_up(spark):
+    df = spark.createDataFrame([(i % 4, 0.1 * i) for i in range(100)], "batch int, v double")
+    whole = df.agg(exact_mean(F.col("v")).alias("m")).first().m
+    parts = df.groupBy("batch").agg(*[c.alias(n) for n, c in sum_parts(F.col("v")).items()])
+    assert parts.agg(mean_of_parts(**{n: F.sum(n) for n in ("whole", "part", "rest", "n")})
+                     .alias("m")).first().m == whole
