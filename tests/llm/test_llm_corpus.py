@@ -377,7 +377,60 @@ def test_best_fit_and_bounds():
             search(i + 1, [*loads, items[i]])
 
         search(0, [])
-        assert packing.lower_bound(sizes, capacity) <= best <= len(fill)
+        least = packing.lower_bound(sizes, capacity)
+        assert least <= best <= len(fill)
+        bins, offsets, fill, met = packing.pack_sizes(sizes, capacity)
+        assert best <= len(fill) and met == (len(fill) <= least)
+        for b in range(len(fill)):
+            own = sorted(zip(offsets[bins == b], sizes[bins == b], strict=True))
+            assert [o for o, _ in own] == np.cumsum([0, *[s for _, s in own]])[:-1].tolist()
+            assert fill[b] == sizes[bins == b].sum() <= capacity
+
+
+def lengths(spark, sizes):
+    return spark.createDataFrame(list(enumerate(map(int, sizes))), "uid long, length long")
+
+
+def sequences_of(packed):
+    """Checks the places and returns the number of sequences."""
+    held = defaultdict(list)
+    for r in packed.collect():
+        held[r.sequence_id].append((r.offset, r.length, r.uid))
+    for own in held.values():
+        own.sort()
+        assert [o for o, _, _ in own] == np.cumsum([0, *[s for _, s, _ in own]])[:-1].tolist()
+        assert sum(s for _, s, _ in own) <= 2048
+    assert sorted(u for own in held.values() for _, _, u in own) == list(
+        range(sum(map(len, held.values()))))
+    return len(held)
+
+
+def test_pieces_that_leave_holes_are_packed_to_the_bound(spark):
+    sizes = np.random.default_rng(1).integers(600, 761, 40_000)
+    used = sequences_of(packing.pack(lengths(spark, sizes)))
+    assert used <= packing.lower_bound(sizes, 2048) * 1.01
+    assert len(packing.best_fit_decreasing(sizes, 2048)[2]) > used * 1.1
+
+
+def test_partitions_exchange_what_has_a_gap(spark, monkeypatch):
+    """Large pieces with no small ones beside them, and the other way round, in each deal."""
+    rng = np.random.default_rng(2)
+    sizes = np.concatenate([rng.integers(1100, 1500, 300), rng.integers(500, 1000, 330)])
+    rng.shuffle(sizes)
+    rounds = []
+    real = packing.staged
+    monkeypatch.setattr(packing, "staged", lambda df, name: (rounds.append(name), real(df, name))[1])
+    used = sequences_of(packing.pack(lengths(spark, sizes), part_rows=20))
+    # At least one exchange took place, and it ended by itself.
+    assert len(rounds) >= 2 and rounds == [f"pack-{i}" for i in range(len(rounds))]
+    alone = sum(len(packing.pack_sizes(part, 2048)[2]) for part in np.array_split(sizes, 32))
+    assert packing.lower_bound(sizes, 2048) <= used <= alone
+
+
+def test_full_pieces_alone_and_no_pieces(spark):
+    assert sequences_of(packing.pack(lengths(spark, [2048] * 5))) == 5
+    assert packing.pack(lengths(spark, [])).count() == 0
+    assert sequences_of(packing.pack(lengths(spark, [1, 2047, 2048, 1]))) == 3
     assert packing.lower_bound(np.array([6, 6, 6, 4]), 10) == 3
 
 
