@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from netrollup.llm.common import quoted, small_side, staged, text_or_empty, whole_row
+from netrollup.llm.common import gives_back, quoted, small_side, staged, text_or_empty, whole_row
 
 BITS = 14
 #: About so many distinct labelled texts of each language are learned from, those with the least
@@ -145,7 +145,7 @@ def _with_text_evidence(rows: DataFrame, model: Model) -> DataFrame:
                 names=[*names, "grams", "evidence"])
 
     schema = T.StructType([f for f in rows.schema if f.name != "text"])
-    return rows.mapInArrow(work, schema.add("grams", T.LongType()).add(
+    return rows.mapInArrow(gives_back(work), schema.add("grams", T.LongType()).add(
         "evidence", T.ArrayType(T.DoubleType())))
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netrollup.llm.blocks import deal
-from netrollup.llm.common import small_side, staged, whole_row
+from netrollup.llm.common import gives_back, small_side, staged, whole_row
 from netrollup.llm.components import components
 
 WORDS = 5          # words in a shingle
@@ -285,7 +285,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text: str = "tex
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                         F.col(text).cast("string").alias("text"))
     rows = staged(texts.withColumn("digest", _text_digest("text")).mapInArrow(
-        _sign(words), "doc_id long, digest string, n_shingles long, node string, "
+        gives_back(_sign(words)), "doc_id long, digest string, n_shingles long, node string, "
                       "bands array<long>, brief binary"), "signed")
     classes = staged(
         rows.where("node IS NOT NULL").groupBy("node").agg(
@@ -307,7 +307,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text: str = "tex
     sets = staged(
         texts.join(small_side(wanted.select("id").distinct()),
                    F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
-        .select("text").mapInArrow(_sets(words), "node string, elements array<long>")
+        .select("text").mapInArrow(gives_back(_sets(words)), "node string, elements array<long>")
         .join(small_side(wanted.select("wanted")), F.col("node") == F.col("wanted"), "left_semi")
         .dropDuplicates(["node"]), "sets")
 

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netrollup.llm.common import staged
+from netrollup.llm.common import gives_back, staged
 
 LENGTH = 2048
 PIECES_PER_PART = 8192
@@ -42,11 +42,10 @@ def token_bytes(path: str, ranks: str | None = None):
 
     ``path`` is a tokenizer of the ``tokenizers`` library.  ``ranks`` may name the same byte-level
     vocabulary as ranks, from which ``tiktoken`` makes the same ids in a third of the time;
-    texts that hold a special token's name or very long runs still go the first way.
+    texts that hold a special token's name or very long runs still go the first way, which is loaded
+    when the first of them comes.
     """
     if _worker.get("paths") != (path, ranks):
-        from tokenizers import Tokenizer
-
         fast = None
         if ranks is not None:
             import public_tokenizers
@@ -56,13 +55,20 @@ def token_bytes(path: str, ranks: str | None = None):
                 order = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
             fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN,
                                      mergeable_ranks=order, special_tokens={})
-        _worker.update(paths=(path, ranks), whole=Tokenizer.from_file(path), fast=fast)
-    whole, fast = _worker["whole"], _worker["fast"]
+        _worker.update(paths=(path, ranks), whole=None, fast=fast)
+    fast = _worker["fast"]
+
+    def whole():
+        if _worker["whole"] is None:
+            from tokenizers import Tokenizer
+
+            _worker["whole"] = Tokenizer.from_file(path)
+        return _worker["whole"]
 
     def encode(text: str) -> bytes:
         if (fast is None or _SPECIAL in text or _LONG_SPACE.search(text)
                 or len(text) > _LONG_WORD and max(map(len, text.split()), default=0) > _LONG_WORD):
-            return np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            return np.array(whole().encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return fast.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
 
     return encode
@@ -98,7 +104,7 @@ def tokenize_pieces(docs: DataFrame, tokenizer: str, *, ranks: str | None = None
                 names=["uid", "doc_id", "piece", "start", "length", "ids_crc32"])
 
     return docs.select(F.col(id_col).cast("long"), F.col(text).cast("string")).mapInArrow(
-        cut, PIECES)
+        gives_back(cut), PIECES)
 
 
 def best_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, list]:
