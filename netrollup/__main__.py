@@ -7,7 +7,8 @@
 Further reader options (say, security settings) come from the environment, as
 ``NETROLLUP_KAFKA_<option>``.  ``--sink-format`` hands the rows to a connector that upserts
 on ``_id``, in place of the parquet tables; its options, such as the address and that fields
-which are not sent are kept, come as ``NETROLLUP_SINK_<option>``.
+which are not sent are kept, come as ``NETROLLUP_SINK_<option>``.  ``--documents`` writes to the
+document store of ``sinks.documents``.
 """
 
 from __future__ import annotations
@@ -24,17 +25,19 @@ from netrollup.plans.specs import PROGRAMS
 from netrollup.session import REPLAY, STREAM, tune
 from netrollup.sinks.other import env_options
 from netrollup.sources.files import read_archive
-from netrollup.sources.kafka import kafka_options, read_kafka
+from netrollup.sources.kafka import kafka_options, read_kafka, read_kafka_range
 from netrollup.streaming.arrival import arrival_stream
 from netrollup.streaming.common import (
     Sink,
     await_any,
+    document_sink,
     external_sink,
-    stop_gracefully,
     table_sink,
     write_tables,
 )
+from netrollup.streaming.control import preview_stream, stop_gracefully, watch
 from netrollup.streaming.event_time import event_stream
+from netrollup.streaming.stateful import StatefulStream, stateful_stream
 
 _LOG = logging.getLogger("netrollup")
 
@@ -49,6 +52,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     stream.add_argument("--rate", type=int, help="records per second and partition")
     stream.add_argument("--partitions", type=int, help="topic partitions, for --rate")
     stream.add_argument("--event-time", action="store_true")
+    stream.add_argument("--closed-after", type=int, metavar="SECONDS",
+                        help="write event-time windows once, so long after their end; lines that"
+                             " come later go below the checkpoint")
+    stream.add_argument("--preview", action="store_true", help="print the first lines of batches")
     stream.add_argument("--trigger", type=int, default=60,
                         help="seconds between batches, with --event-time")
     replay = sub.add_parser("replay", help="roll up an archive of raw lines")
@@ -57,6 +64,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     for command in (stream, replay):
         command.add_argument("program", choices=[*PROGRAMS, "all"])
         command.add_argument("--tables", help="folder of the parquet tables")
+        command.add_argument("--documents", help="folder of a document store, instead")
         command.add_argument("--sink-format", help="connector to write with instead")
         command.add_argument("--sink-table-option", default="collection",
                              help="the connector's option that takes a table's name")
@@ -66,8 +74,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         command.add_argument("--window", type=int, default=300, help="window, seconds")
         command.add_argument("--compat-float32", action="store_true")
     args = parser.parse_args(argv)
-    if bool(args.tables) == bool(args.sink_format):
-        parser.error("give either --tables or --sink-format")
+    if sum(map(bool, (args.tables, args.documents, args.sink_format))) != 1:
+        parser.error("give one of --tables, --documents and --sink-format")
     return args
 
 
@@ -79,22 +87,36 @@ def sink_of(args: argparse.Namespace) -> Sink:
     if args.sink_format:
         return external_sink(args.sink_format, env_options("NETROLLUP_SINK"),
                              args.sink_table_option)
+    if args.documents:
+        return document_sink(args.documents)
     return table_sink(args.tables, args.slice)
 
 
 def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
     sink = sink_of(args)
-    trigger_s = args.trigger if args.event_time else args.window
+    by_event = args.event_time or args.closed_after is not None
+    trigger_s = args.trigger if by_event else args.window
+    watch(spark, slow_s=trigger_s)
+    closing: dict[str, StatefulStream] = {}
     for name, specs in chosen(args.program).items():
         topics = list(dict.fromkeys(s.topic for s in specs))
-        raw = read_kafka(spark, kafka_options(
+        options = kafka_options(
             args.servers, topics, args.starting, args.rate, args.partitions, trigger_s,
             env_options("NETROLLUP_KAFKA"),
-        ))
+        )
+        raw = read_kafka(spark, options)
+        if args.preview:
+            preview_stream(raw, name=f"{name}-preview")
         common = {"window_s": args.window, "compat_float32": args.compat_float32, "name": name}
         progress = f"{args.checkpoint}/{name}"
         bad = args.quarantine and f"{args.quarantine}/{name}"
-        if args.event_time:
+        if args.closed_after is not None:
+            made = stateful_stream(
+                raw, specs, sink, progress,
+                lambda begin, end, of=options: read_kafka_range(spark, of, begin, end),
+                f"{progress}/late", delay_s=args.closed_after, trigger_s=trigger_s, **common)
+            closing[made.query.id] = made
+        elif args.event_time:
             event_stream(raw, specs, sink, progress, trigger_s=trigger_s, quarantine_path=bad,
                          **common)
         else:
@@ -105,7 +127,8 @@ def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
         await_any(spark)
     finally:
         for query in spark.streams.active:
-            stop_gracefully(query)
+            made = closing.get(query.id)
+            made.stop() if made else stop_gracefully(query)
 
 
 def run_replay(spark: SparkSession, args: argparse.Namespace) -> None:

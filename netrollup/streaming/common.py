@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import logging
-import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -82,17 +81,6 @@ def start(writer: DataStreamWriter, checkpoint: str, trigger_s: int, available_n
     return writer.option("checkpointLocation", checkpoint).start()
 
 
-def stop_gracefully(query: StreamingQuery, timeout_s: float = 600.0) -> None:
-    """Stop once the batch in flight is written; after ``timeout_s``, stop anyway.
-
-    A batch cut short is run again on restart and lands on the same keys.
-    """
-    deadline = time.monotonic() + timeout_s
-    while query.isActive and query.status["isTriggerActive"] and time.monotonic() < deadline:
-        time.sleep(0.1)
-    query.stop()
-
-
 def await_any(spark: SparkSession) -> None:
     """Block while all streams of the session run; raise what ended the first."""
     spark.streams.awaitAnyTermination()

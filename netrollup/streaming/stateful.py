@@ -26,6 +26,7 @@ from netrollup.plans.batch import fields_of
 from netrollup.shared import read_stage, remove, write_stage
 from netrollup.sinks.documents import register
 from netrollup.streaming.common import Sink, start, write_tables
+from netrollup.streaming.control import start_batches, stop_gracefully
 from netrollup.streaming.windows import query_id
 
 _LOG = logging.getLogger("netrollup")
@@ -163,6 +164,11 @@ class StatefulStream:
             self.query.stop()
         self.late.catch_up(self.late.committed())
 
+    def stop(self, timeout_s: float = 600.0) -> None:
+        """Stop between two batches, with their late lines kept."""
+        stop_gracefully(self.query, timeout_s)
+        self.late.catch_up(self.late.committed())
+
 
 def stateful_stream(raw: DataFrame, specs, sink: Sink, checkpoint: str, read: RangeReader,
                     late_path: str, window_s: int = 300, delay_s: int = 600, ahead_s: int = 3600,
@@ -195,5 +201,6 @@ def stateful_stream(raw: DataFrame, specs, sink: Sink, checkpoint: str, read: Ra
         finally:
             remove(spark, made)
 
-    writer = closed.writeStream.outputMode("append").foreachBatch(write_windows)
-    return StatefulStream(start(writer, checkpoint, trigger_s, False, name), late)
+    query = start_batches(closed.writeStream.outputMode("append"), write_windows,
+                          lambda writer: start(writer, checkpoint, trigger_s, False, name))
+    return StatefulStream(query, late)

@@ -23,6 +23,7 @@ from netrollup.operators.rollup import combine, partials_many, table_of
 from netrollup.plans.batch import fields_of
 from netrollup.shared import read_stage, remove, write_stage
 from netrollup.streaming.common import Sink, start, write_quarantine, write_tables
+from netrollup.streaming.control import start_batches
 
 _LOG = logging.getLogger("netrollup")
 _NO_WINDOW = "__HIVE_DEFAULT_PARTITION__"
@@ -116,5 +117,6 @@ def window_stream(raw: DataFrame, specs, sink: Sink, checkpoint: str, deal_time,
             finally:
                 remove(spark, made)
 
-    writer = parsed.writeStream.foreachBatch(write_windows)
-    return start(writer, checkpoint, trigger_s, available_now, name)
+    return start_batches(
+        parsed.writeStream, write_windows,
+        lambda writer: start(writer, checkpoint, trigger_s, available_now, name))

@@ -13,7 +13,8 @@ from netrollup.schema import RAW_SCHEMA
 from netrollup.sinks.merge import read_table
 from netrollup.sources.files import stream_archive, write_archive
 from netrollup.streaming.arrival import arrival_stream
-from netrollup.streaming.common import external_sink, stop_gracefully, table_sink
+from netrollup.streaming.common import external_sink, table_sink
+from netrollup.streaming.control import preview_stream, stop_gracefully, watch
 from netrollup.streaming.event_time import event_stream, quarantine_stream
 
 FLOW = BY_KEY["r09_vpe_interface"]
@@ -251,3 +252,85 @@ def test_live_trigger_and_graceful_stop(spark, tmp):
     stop_gracefully(query, timeout_s=60)
     assert not query.isActive and query.exception() is None
     assert stored(spark, tmp) == [(f"u1_e0_{T0}000", 10000, 800.0, T0 * 1000)]
+
+
+def wait_for(test, seconds=90):
+    deadline = time.monotonic() + seconds
+    while not test() and time.monotonic() < deadline:
+        time.sleep(0.05)
+    assert test()
+
+
+def test_no_batch_begins_after_a_stop_request(spark, tmp):
+    """Files for many batches are there; the stop comes while one is being written."""
+    import threading
+
+    for i in range(8):
+        add_file(spark, f"{tmp}/raw", T0 + i, [message(i, uuid=f"u{i}")])
+    begun, written, go_on = [], [], threading.Event()
+
+    def slow_sink(rows, spec):
+        begun.append(len(begun))
+        if len(begun) == 2:
+            assert go_on.wait(60)
+        written.append([r.resourceUuid for r in rows.collect()])
+
+    listener = watch(spark)
+    try:
+        raw = stream_archive(spark, f"{tmp}/raw", files_per_trigger=1)
+        query = arrival_stream(raw, [FLOW], slow_sink, f"{tmp}/progress", clock=CLOCK,
+                               window_s=1, name="gate")
+        wait_for(lambda: len(begun) == 2)
+        threading.Timer(1.0, go_on.set).start()
+        stop_gracefully(query, timeout_s=60)
+        assert not query.isActive and written == [["u0"], ["u1"]]
+        time.sleep(1)
+        assert len(begun) == 2
+        wait_for(lambda: query.id in listener.ended)
+        seen = [p["batch"] for p in listener.progress[query.id] if p["rows"]]
+        assert seen == [0, 1]           # both are committed
+    finally:
+        spark.streams.removeListener(listener)
+    # A restart goes on with the third file.
+    run_arrival(spark, tmp, sink=slow_sink, window_s=1)
+    assert written[2:] == [[f"u{i}"] for i in range(2, 8)]
+
+
+def test_a_batch_planned_after_the_request_is_turned_away():
+    from netrollup.streaming.control import BatchGate, StopRequested
+
+    done = []
+    gate = BatchGate(lambda batch, batch_id: done.append(batch_id))
+    gate(None, 0)
+    gate.close()
+    with pytest.raises(StopRequested):
+        gate(None, 1)
+    assert done == [0] and gate.running is None and gate.last == 0
+
+
+def test_failing_batches_are_reported(spark, tmp):
+    add_file(spark, f"{tmp}/raw", T0, [message(0)])
+
+    def broken(rows, spec):
+        raise ValueError("no such place")
+
+    listener = watch(spark)
+    try:
+        query = arrival_stream(stream_archive(spark, f"{tmp}/raw"), [FLOW], broken,
+                               f"{tmp}/progress", clock=CLOCK, window_s=1)
+        wait_for(lambda: query.id in listener.ended)
+        assert "no such place" in listener.ended[query.id]
+        with pytest.raises(Exception, match="no such place"):
+            stop_gracefully(query)
+    finally:
+        spark.streams.removeListener(listener)
+
+
+def test_streams_are_previewed_on_the_console(spark, tmp):
+    add_file(spark, f"{tmp}/raw", T0, [message(0), message(1)])
+    query = preview_stream(stream_archive(spark, f"{tmp}/raw").select("value"), n=5)
+    query.processAllAvailable()
+    said = next(p for p in query.recentProgress if p["numInputRows"])
+    query.stop()
+    # What it prints goes to the JVM's console.
+    assert "Console" in said["sink"]["description"] and said["numInputRows"] == 2
