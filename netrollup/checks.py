@@ -24,6 +24,7 @@ from netrollup.shared import new_path, stage
 from netrollup.sinks.documents import read_documents, write_documents
 from netrollup.sinks.merge import merge, read_table
 from netrollup.sources.files import stream_archive, write_archive
+from netrollup.sources.routed import replay_routed, write_routed
 from netrollup.sources.sample import raw_from_events, read_events, sample_raw
 from netrollup.sources.segments import read_range, stream_segments, with_offsets, write_segments
 from netrollup.streaming.arrival import arrival_stream
@@ -125,6 +126,22 @@ def op_ratio_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op_routed_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One device's days from an archive laid out by route; some of its lines are arrays."""
+    path, raw = new_path(spark, "routed"), sample_raw(spark, sf_dir)
+    odd = F.pmod(F.xxhash64("value"), F.lit(5)) == 0
+    write_routed(raw.withColumn("value", F.when(odd, F.concat(F.lit("["), "value", F.lit("]")))
+                                .otherwise(F.col("value"))), path, row_group_mb=1)
+    return replay_routed(spark, path, FLOW, DAY, LATE_FROM // 1000, EARLY_UNTIL // 1000, "dev-3")
+
+
+def op_routed_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The roll-up that takes flagged lines only, from the same layout."""
+    path, spec = new_path(spark, "routed"), BY_KEY["r05_cpe_pop"]
+    write_routed(sample_raw(spark, sf_dir), path, row_group_mb=1)
+    return replay_routed(spark, path, spec, DAY)
+
+
 def op_exact_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Great values that cancel out, added in an order that changes with every run."""
     far = (F.col("event_id") % 3 - 1) * F.lit(1e9) + F.col("value")
@@ -395,7 +412,7 @@ QUERIES = {
     for f in (
         op_route_counts, op_cpe_flag_route, op_quarantine, op_after_quarantine,
         op_lenient_numbers, op_array_lines, op_replay_quarantine, op_bucket5,
-        op_bucket5_float32, op_doc_key_null, op_ratio_zero, op_exact_means, r09_at_300s, r09_by_arrival,
+        op_bucket5_float32, op_doc_key_null, op_ratio_zero, op_exact_means, op_routed_archive, op_routed_flag, r09_at_300s, r09_by_arrival,
         r06_float32, all_tables_one_pass, op_upsert_merge, op_upsert_collisions,
         stream_arrival_rollup, stream_arrival_restart, stream_arrival_windows,
         stream_event_rollup, stream_event_late, stream_closed_windows, stream_delivered_twice,

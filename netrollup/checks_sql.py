@@ -291,6 +291,10 @@ ORACLE: dict[str, str] = _TABLES | {
         select device, {_r2('avg(used) * 100')} as diskUsedRate, count(used) as n_used,
                count(*) as n_all
         from t group by device""",
+    "op_routed_archive": f"""
+        select * from ({_R9}) where resourceUuid = 'dev-3'
+          and dealTime >= 1704758400000 and dealTime < 1705622400000""",
+    "op_routed_flag": _R5,
     "op_exact_means": f"""
         select user_id % 7 as device,
                cast(round(cast(favg((event_id % 3 - 1) * 1e9::double + value) as decimal(28,9)), 4)
