@@ -21,7 +21,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from netrollup.plans.batch import replay_all
-from netrollup.plans.specs import PROGRAMS
+from netrollup.plans.specs import PROGRAMS, ROLLUPS
 from netrollup.session import REPLAY, STREAM, tune
 from netrollup.sinks.other import env_options
 from netrollup.sources.files import read_archive
@@ -80,7 +80,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 
 
 def chosen(program: str) -> dict[str, tuple]:
-    return PROGRAMS if program == "all" else {program: PROGRAMS[program]}
+    """The roll-ups of a program; ``all`` is one query, which reads every topic once."""
+    return {program: ROLLUPS if program == "all" else PROGRAMS[program]}
 
 
 def sink_of(args: argparse.Namespace) -> Sink:

@@ -248,7 +248,8 @@ def stream_arrival_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _program(name: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _all_long(_one_arrival_window(spark, sf_dir, PROGRAMS[name]))
+        specs = ROLLUPS if name == "all" else PROGRAMS[name]
+        return _all_long(_one_arrival_window(spark, sf_dir, specs))
 
     return run
 
@@ -422,4 +423,5 @@ QUERIES = {
     "stream_program": _program("vpe"),
     "stream_program_cpe": _program("cpe"),
     "stream_program_ce": _program("ce"),
+    "stream_program_all": _program("all"),
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from netrollup.plans.specs import BY_KEY, PROGRAMS
+from netrollup.plans.specs import BY_KEY, PROGRAMS, ROLLUPS
 
 # Every event with its route number and the fields its message would carry.
 _TELEMETRY = """
@@ -241,7 +241,8 @@ def _one_row_each(sql: str) -> str:
 
 
 def _one_result(program: str) -> str:
-    tables = {s.key: _ONE_WINDOW[s.key] for s in PROGRAMS[program]}
+    specs = ROLLUPS if program == "all" else PROGRAMS[program]
+    tables = {s.key: _ONE_WINDOW[s.key] for s in specs}
     if "r05_cpe_pop" in tables:
         tables["r05_cpe_pop"] = _one_row_each(tables["r05_cpe_pop"])
     return _all_long(tables)
@@ -346,7 +347,8 @@ ORACLE: dict[str, str] = _TABLES | {
         from records where off >= 10 and off < 40 group by side""",
 } | {
     name: _one_result(program) for name, program in (
-        ("stream_program", "vpe"), ("stream_program_cpe", "cpe"), ("stream_program_ce", "ce"))
+        ("stream_program", "vpe"), ("stream_program_cpe", "cpe"), ("stream_program_ce", "ce"),
+        ("stream_program_all", "all"))
 }
 
 ORACLE["op_document_upsert"] = ORACLE["op_upsert_merge"]

@@ -10,7 +10,7 @@ import netrollup.streaming.common as streaming_common
 from netrollup.__main__ import arguments, chosen, run_replay
 from netrollup.plans import batch as batch_plans
 from netrollup.plans.batch import replay
-from netrollup.plans.specs import BY_KEY, PROGRAMS
+from netrollup.plans.specs import BY_KEY, PROGRAMS, ROLLUPS
 from netrollup.session import REPLAY, STREAM, tune
 from netrollup.shared import new_path, shared_dir, stage, write_stage
 from netrollup.sinks.merge import read_table
@@ -190,7 +190,7 @@ def test_arguments():
     args = arguments(["stream", "all", "--servers", "h:1", "--checkpoint", "c", "--tables", "t",
                       "--rate", "80", "--partitions", "2", "--event-time"])
     assert (args.program, args.rate, args.event_time, args.window) == ("all", 80, True, 300)
-    assert chosen("all") == PROGRAMS and list(chosen("ce")) == ["ce"]
+    assert chosen("all") == {"all": ROLLUPS} and chosen("ce") == {"ce": PROGRAMS["ce"]}
 
 
 def test_shared_folder_is_the_clusters_where_it_names_one(spark):
