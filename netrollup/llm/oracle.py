@@ -154,6 +154,23 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM failed
 """
 
+OP5_POLICIES = f"""
+SELECT doc_id, failed, failed & 3 = 0 AS kept_base, failed & 15 = 0 AS kept_v1,
+       failed = 0 AS kept_v2
+FROM ({OP5})
+"""
+
+OP5_ABLATIONS = f"""
+WITH ledger AS MATERIALIZED ({OP5}),
+rules(rule, bit) AS (VALUES ('few_words', 1), ('repeated_windows', 2), ('symbols', 4),
+                            ('duplicate_lines', 8), ('word_length', 16), ('exclamations', 32)),
+policies(policy, mask) AS (VALUES ('base', 3), ('v1', 15), ('v2', 63)),
+asked AS (SELECT * FROM policies, rules WHERE mask & bit <> 0)
+SELECT policy, rule, count(*) FILTER (failed & bit <> 0) AS failing,
+       count(*) FILTER (failed & mask = bit) AS failing_this_alone
+FROM ledger, asked GROUP BY policy, rule
+"""
+
 OP6 = r"""
 WITH RECURSIVE worded AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -260,6 +277,8 @@ ORACLE = {
     "op1_pii": OP1,
     "op4_embedding_dedup": OP4,
     "op5_quality_rules": OP5,
+    "op5_policies": OP5_POLICIES,
+    "op5_ablations": OP5_ABLATIONS,
     "op6_minhash_dedup": OP6,
     "op10_mixing": OP10,
     "op12_line_dedup": OP12,

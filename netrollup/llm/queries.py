@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +24,7 @@ from netrollup.llm import (
     whitening,
 )
 from netrollup.llm import license as notices
-from netrollup.llm.common import table
+from netrollup.llm.common import staged, table
 from netrollup.llm.oracle import ORACLE as ORACLE
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -79,6 +81,21 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         base.alias("base_failed"), (~base & ~rules.fails(POLICY)).alias("kept"), "failed")
 
 
+def op5_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each version of the policy keeps, from one stored ledger."""
+    stored = staged(rules.ledger(table(spark, sf_dir, "documents")), "ledger")
+    return stored.select("doc_id", "failed", *[
+        (~rules.fails(p)).alias(f"kept_{p}") for p in rules.POLICIES])
+
+
+def op5_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per policy and rule: the documents that fail it, and those that it alone turns away."""
+    stored = staged(rules.ledger(table(spark, sf_dir, "documents")), "ledger")
+    found = [rules.ablations(stored, p).select(F.lit(p).alias("policy"), "*")
+             for p in rules.POLICIES]
+    return reduce(DataFrame.unionByName, found)
+
+
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Shingles of four words are this query's contract; the operator's own default is five.
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4).select(
@@ -100,7 +117,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     learned = table(spark, sf_dir, "labels").where(f"NOT ({HELD_OUT})")
     model = quality.train(quality.training_rows(docs, learned))
     return quality.score_documents(docs, model).select(
-        "doc_id", F.expr(HELD_OUT).alias("held_out"), "score",
+        "doc_id", F.expr(f"coalesce({HELD_OUT}, false)").alias("held_out"), "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
@@ -142,5 +159,7 @@ QUERIES = {
     "op11_embedding_whitening": op11_embedding_whitening,
     "op12_line_dedup": op12_line_dedup,
     "op13_lexical_search": op13_lexical_search,
+    "op5_policies": op5_policies,
+    "op5_ablations": op5_ablations,
     "pipeline": corpus_pipeline.run,
 }

@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -12,7 +13,7 @@ from hypothesis import strategies as st
 
 from netrollup.llm import license as notices
 from netrollup.llm import pii, quality, rules, token_counts
-from netrollup.llm.queries import BPE, PIECES, RANKS
+from netrollup.llm.queries import BPE, PIECES, QUERIES, RANKS
 
 EDGES = [
     (1, None), (2, ""), (3, " \t\n"), (None, "no id"), (4, "twice"), (4, "twice"),
@@ -384,9 +385,96 @@ def test_classifier_learns_and_leaves_edges_defined(docs_of, spark):
     assert quality.score_documents(docs_of([]), model).count() == 0
 
 
+def plain_training(rows, dim, epochs, rate, seed=7):
+    """The same descent feature by feature, in plain Python numbers; returns the model's numbers."""
+    import math
+
+    rng = np.random.default_rng(seed)
+    vectors = rng.uniform(-1 / dim, 1 / dim, (quality.BUCKETS + 1, dim)).tolist()
+    weights, bias = [[0.0, 0.0] for _ in range(dim)], [0.0, 0.0]
+    ones = sum(label for *_, label in rows)
+    heavy = [min(2.0, len(rows) / 2 / max(1, n)) for n in (len(rows) - ones, ones)]
+    step = 0
+    for _ in range(epochs):
+        for i in rng.permutation(len(rows)).tolist():
+            features, counts, label = rows[i]
+            now = rate * (1 - step / (epochs * len(rows))) * heavy[label]
+            step += 1
+            total = max(1, sum(counts))
+            hidden = [sum(c / total * vectors[f][d] for f, c in zip(features, counts, strict=True))
+                      for d in range(dim)]
+            scores = [sum(hidden[d] * weights[d][k] for d in range(dim)) + bias[k] for k in (0, 1)]
+            e = [math.exp(s - max(scores)) for s in scores]
+            wrong = [e[k] / sum(e) - (k == label) for k in (0, 1)]
+            back = [sum(weights[d][k] * wrong[k] for k in (0, 1)) for d in range(dim)]
+            for d in range(dim):
+                for k in (0, 1):
+                    weights[d][k] -= now * hidden[d] * wrong[k]
+            for k in (0, 1):
+                bias[k] -= 0.1 * now * wrong[k]
+            for f, c in zip(features, counts, strict=True):
+                for d in range(dim):
+                    vectors[f][d] -= now * 20 * c / total * back[d]
+    return vectors, weights, bias
+
+
+def test_training_equals_a_plain_descent():
+    rng = random.Random(6)
+    rows = []
+    for i in range(40):
+        text = " ".join(rng.choice(["good", "fine", "bad", "zz zz", "é"]) for _ in range(6))
+        features, counts = quality.document_features(text)
+        rows.append((features.tolist(), counts.tolist(), i % 3 == 0))
+    arrays = [(np.array(f, np.int32), np.array(c, np.int32), int(y)) for f, c, y in rows]
+    arrays.append((np.array([], np.int32), np.array([], np.int32), 1))     # an empty text
+    rows.append(([], [], 1))
+    model = quality.train(arrays, dim=3, epochs=2, rate=1.5)
+    vectors, weights, bias = plain_training([(f, c, int(y)) for f, c, y in rows], 3, 2, 1.5)
+    assert model.bias == pytest.approx(bias[1] - bias[0])
+    for f in {x for features, *_ in rows for x in features} | {0, 1, quality.BUCKETS}:
+        worth = sum(v * (w[1] - w[0]) for v, w in zip(vectors[f], weights, strict=True))
+        assert model.worth[f] == pytest.approx(worth, abs=1e-12)
+
+
+def quality_tables(spark, folder, flip_held_out=False, other=False):
+    """Documents of good and bad words, and labels of most of them."""
+    import zlib as z
+
+    rng = random.Random(3)
+    docs, labels = [], []
+    for i in range(400):
+        good = rng.random() < 0.5
+        words = ["river", "garden", "letter"] if good else ["xx##", "buy!!", "zzz"]
+        docs.append((i, " ".join(rng.choice(words) for _ in range(30)),
+                     "q" if other else "en", "s2" if other else f"s{i % 3}", 1))
+        held = z.crc32(str(i).encode()) % 4 == 2
+        if i % 10:
+            labels.append((i, int(good != (held and flip_held_out)), 0))
+    docs += [(None, "river garden", None, None, 1), (900, None, None, None, None)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long"
+                          ).coalesce(1).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").coalesce(1).write.parquet(
+        f"{folder}/labels.parquet")
+    return {r.doc_id: r for r in QUERIES["op9_quality_classifier"](spark, str(folder)).collect()}
+
+
+def test_scores_come_from_texts_and_from_labels_not_held_out(spark, tmp_path):
+    import zlib as z
+
+    first = quality_tables(spark, tmp_path / "a")
+    assert set(first) == {*range(400), None, 900}
+    for i, r in first.items():
+        assert r.held_out is (i is not None and z.crc32(str(i).encode()) % 4 == 2)
+        assert r.predicted == int(r.score >= 0.7) and 0 <= r.score <= 1
+    good = [r for r in first.values() if r.score > 0.9]
+    assert 150 < len(good) < 250
+    # Held-out labels, languages and sources move no score.
+    second = quality_tables(spark, tmp_path / "b", flip_held_out=True, other=True)
+    assert {i: r.score for i, r in second.items()} == {i: r.score for i, r in first.items()}
+
+
 def test_word_by_word_score_equals_the_average():
     """Against the average of all features' vectors."""
-    import numpy as np
 
     rng = np.random.default_rng(0)
     model = quality.Model(rng.standard_normal(quality.BUCKETS + 1), 0.3)
