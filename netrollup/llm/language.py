@@ -32,7 +32,9 @@ BITS = 14
 #: hashes.
 SAMPLE = 4000
 TRAIN_PARTS = 8
-MIN_ROWS = 5          # labelled rows of the table that make a language known
+MIN_ROWS = 5          # labelled rows that make a language known, whatever the table's size
+#: At most so many languages are known, those with the most rows; the rest are ``und``.
+MOST_LANGUAGES = 200
 GRAMS_COUNT = 100     # trigrams that a text counts as at most: they do not occur independently
 ODD = 0.1             # share of a text that may be names and codes of no language
 SMOOTHING = 20.0      # documents that a wider group counts as in a narrower one
@@ -76,10 +78,10 @@ def train(docs: DataFrame, *, text: str = "text", label: str = "lang",
         F.col("lang").isNotNull())
     # Copies are one text.  Labels are counted as rows, whether sampled or not.
     sizes = rows.groupBy("lang", F.md5("text").alias("key")).agg(F.count(F.lit(1)).alias("n")) \
-        .groupBy("lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts")).collect()
-    enough = min(MIN_ROWS, max((r.n for r in sizes), default=0))
+        .groupBy("lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts")) \
+        .where(F.col("n") >= MIN_ROWS).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
     bounds = rows.sparkSession.createDataFrame(
-        [(r.lang, int(min(1.0, sample / r.texts) * (1 << 40))) for r in sizes if r.n >= enough],
+        [(r.lang, int(min(1.0, sample / r.texts) * (1 << 40))) for r in sizes],
         "of string, bound long")
     chosen = (
         rows.withColumn("h", F.pmod(F.xxhash64("text"), F.lit(1 << 40)))

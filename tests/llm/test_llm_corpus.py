@@ -539,6 +539,19 @@ def test_a_rare_language_is_learned_at_every_size(docs_of):
     assert language.train(docs_of(rows), sample=100).languages == ["de", "en", "und"]
 
 
+def test_what_makes_a_language_known_is_the_same_at_every_size(docs_of, monkeypatch):
+    few = [r for r in language_docs() if r[3] == "de"]
+    words = ENGLISH.split()
+    many = [(1000 + i, " ".join(words[i % 9:i % 9 + 20]) + f" {i}", "h", "en") for i in range(300)]
+    for rows in (few[:4], few[:4] + many):
+        assert "de" not in language.train(docs_of(rows)).languages
+    for rows in (few[:5], few[:5] + many):
+        assert "de" in language.train(docs_of(rows)).languages
+    # Of very many labels those with the most rows are known.
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 1)
+    assert language.train(docs_of(few[:5] + many)).languages == ["en", "und"]
+
+
 def test_copies_teach_nothing_new(docs_of):
     rows = language_docs()
     alone = language.train(docs_of(rows))
