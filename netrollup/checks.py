@@ -144,7 +144,7 @@ def op_routed_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op_exact_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Great values that cancel out, added in an order that changes with every run."""
-    far = (F.col("event_id") % 3 - 1) * F.lit(1e9) + F.col("value")
+    far = (F.col("event_id") % 3 - 1) * F.lit(5e10) + F.floor(F.col("value") * 1024) / 1024
     shuffled = read_events(spark, sf_dir).repartition(7, F.rand())
     return shuffled.groupBy((F.col("user_id") % 7).alias("device")).agg(
         F.round(exact_mean(far).cast("decimal(28,9)"), 4).cast("double").alias("mean"),

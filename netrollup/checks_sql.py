@@ -298,8 +298,9 @@ ORACLE: dict[str, str] = _TABLES | {
     "op_routed_flag": _R5,
     "op_exact_means": f"""
         select user_id % 7 as device,
-               cast(round(cast(favg((event_id % 3 - 1) * 1e9::double + value) as decimal(28,9)), 4)
-                    as double) as mean, {_r2('avg(value)')} as mean2
+               cast(round(cast(sum((event_id % 3 - 1) * 51200000000000
+                                   + cast(floor(value * 1024) as bigint))::double / 1024 / count(*)
+                               as decimal(28,9)), 4) as double) as mean, {_r2('avg(value)')} as mean2
         from events group by user_id % 7""",
     "r09_at_300s": _flow(_PORT_KEYS, ["resourceUuid", "ifName"], window="(c - c % 300)"),
     "r09_by_arrival": _R9,

@@ -42,7 +42,8 @@ def test_kafka_records_become_raw_records(spark):
     records = spark.sql("select 'cpe' topic, encode('é', 'UTF-8') value, "
                         "timestamp'2024-01-01 00:00:00' timestamp, 0 partition, 1L offset")
     raw = records.selectExpr(*RAW_COLUMNS)
-    assert raw.dtypes == [("topic", "string"), ("value", "string"), ("arrival", "timestamp")]
+    assert raw.dtypes == [("topic", "string"), ("value", "string"), ("arrival", "timestamp"),
+                          ("partition", "int"), ("offset", "bigint")]
     assert raw.first().value == "é"
 
 
